@@ -1,7 +1,7 @@
 """Quality rules as a short-circuit cascade.
 
-Every rule gives a verdict for each document of a batch. On a bounded sample (``SAMPLE_ROWS``
-documents, spread by a hash of the text) the cost of each rule in nanoseconds a document and
+Every rule gives a verdict for each document of a batch. On a bounded random sample
+(``SAMPLE_ROWS`` documents) the cost of each rule in nanoseconds a document and
 the share that it rejects are measured; rules then run in order of rejections per cost, each
 only on what those before it let pass. The verdict is the conjunction of all rules, so the
 order never changes a result.
@@ -175,9 +175,8 @@ def estimate(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULE
             {k: pa.array([x[i] for x in out], t) for i, (k, t) in enumerate((("rule", pa.string()), ("n_rows", pa.int64()), ("n_rejected", pa.int64()), ("cost_ns", pa.int64())))}
         )
 
-    few = docs.select(F.col(text).alias("text")).sample(fraction=0.05, seed=7).limit(rows)
-    if not few.take(1):
-        few = docs.select(F.col(text).alias("text")).limit(rows)
+    share = min(1.0, 2 * rows / max(1, docs.count()))  # so about twice ``rows`` rows meet in the limit, at any size
+    few = docs.select(F.col(text).alias("text")).sample(fraction=share, seed=7).limit(rows)
     found = c.map_batches(few, run, "rule string, n_rows long, n_rejected long, cost_ns long")
     return found.groupBy("rule").agg(F.sum("n_rows").alias("n_rows"), F.sum("n_rejected").alias("n_rejected"), F.sum("cost_ns").alias("cost_ns"))
 
