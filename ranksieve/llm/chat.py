@@ -65,21 +65,23 @@ def paths(messages: DataFrame, best: int = 1) -> DataFrame:
     up = F.when(F.col("there"), F.col("parent"))
     nodes = c.Stage(nodes.select("tree", "id", up.alias("up"), "score"), "chat-nodes")
 
-    # up: the ancestor 2**k steps above; steps and total: what lies from the node to just below it
-    levels, now = [], c.Stage(nodes.df.select("tree", "id", "up", F.lit(1).cast("long").alias("steps"), F.col("score").alias("total")), "chat-level")
-    size = now.df.count()
-    while now.df.where("up is not null").limit(1).count() and (1 << len(levels)) <= size:
-        levels.append(now)
-        above = now.df.select(F.col("tree").alias("t"), F.col("id").alias("i"), F.col("up").alias("further"), F.col("steps").alias("s"), F.col("total").alias("sum"))
-        joined = now.df.join(above, F.col("tree").eqNullSafe(F.col("t")) & (F.col("up") == F.col("i")), "left")
-        now = c.Stage(joined.select("tree", "id", F.col("further").alias("up"), (F.col("steps") + F.coalesce("s", F.lit(0))).alias("steps"), (F.col("total") + F.coalesce("sum", F.lit(0.0))).alias("total")), "chat-level")
+    # up: the ancestor 2**k steps above; steps and total: what lies from the node to just below it.
+    # Only nodes with such an ancestor go into the next join; the others are at their root.
+    first = nodes.df.select("tree", "id", "up", F.lit(1).cast("long").alias("steps"), F.col("score").alias("total"))
+    levels, active, ended, size = [], first.where("up is not null"), first.where("up is null"), first.count()
+    while (1 << len(levels)) <= size and active.limit(1).count():
+        levels.append(active)
+        above = active.union(ended).select(F.col("tree").alias("t"), F.col("id").alias("i"), F.col("up").alias("further"), F.col("steps").alias("s"), F.col("total").alias("sum"))
+        joined = active.join(above, F.col("tree").eqNullSafe(F.col("t")) & (F.col("up") == F.col("i")))
+        now = c.Stage(joined.select("tree", "id", F.col("further").alias("up"), (F.col("steps") + F.col("s")).alias("steps"), (F.col("total") + F.col("sum")).alias("total")), "chat-level").df
+        active, ended = now.where("up is not null"), ended.union(now.where("up is null"))
 
     parents = nodes.df.where("up is not null").select(F.col("tree").alias("t"), F.col("up").alias("i")).distinct()
-    leaves = now.df.where("up is null").join(parents, F.col("tree").eqNullSafe(F.col("t")) & (F.col("id") == F.col("i")), "left_anti")
+    leaves = ended.join(parents, F.col("tree").eqNullSafe(F.col("t")) & (F.col("id") == F.col("i")), "left_anti")
     ranked = leaves.withColumn("rank", F.row_number().over(Window.partitionBy("tree").orderBy(F.desc(F.col("total") / F.col("steps")), "id")))
     found = ranked.where(F.col("rank") <= best).select("tree", "rank", "id", F.col("steps").alias("depth"))
     for k in reversed(range(len(levels))):
-        jump = levels[k].df.where("up is not null").select(F.col("tree").alias("t"), F.col("id").alias("i"), "up")
+        jump = levels[k].select(F.col("tree").alias("t"), F.col("id").alias("i"), "up")
         more = found.join(jump, F.col("tree").eqNullSafe(F.col("t")) & (F.col("id") == F.col("i")))
         found = found.unionByName(more.select("tree", "rank", F.col("up").alias("id"), (F.col("depth") - F.lit(1 << k)).alias("depth")))
         found = c.Stage(found, "chat-paths").df

@@ -160,4 +160,5 @@ def read(index: DataFrame, folder: str, page_type: str = "long") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(kinds)], names)
 
     schema = f"page_id {page_type}, url string, payload_bytes long, payload_digest string, record_type string, refers_to {page_type}, html string"
-    return ranges(index).mapInArrow(run, schema)
+    reads = ranges(index).repartition(int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # a row is little, its read is not
+    return reads.mapInArrow(run, schema)
