@@ -14,7 +14,7 @@ t*U tokens but for Z standard deviations of the hypergeometric law (``least_shar
    Pairs that share enough tokens are confirmed on full sets; confirmed ones are links.
 4. Lists that components leave whole are done with (skipped). In the rest, classes outside a
    list's largest component are paired with those of other components, each pair in the list of
-   its first common prefix token only, if sizes and shared tokens allow a link; then confirmed.
+   its first common prefix token only, if sizes, shared tokens and, for small sets, the sets themselves allow a link; then confirmed.
    So no pair of different components goes untried, while pairs inside one are never made.
 5. Components come from label propagation with pointer jumping.
 
@@ -47,6 +47,8 @@ Z = 4.5
 BROADCAST_ROWS = 200_000
 #: Rows of a posting list that one task compares with.
 LIST_BLOCK = 1024
+#: Largest set that step 4 compares whole, as 31-bit hashes, of which so many may coincide.
+FINE, SLACK = 512, 2
 
 _WORDS = c.Words(c.SPACED, fold=True)
 
@@ -108,11 +110,9 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if c.sizes_within(df, BROADCAST_ROWS) else df
 
 
-def _confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text: str, percent: int) -> DataFrame:
-    """Of pairs (a, b) of classes, those whose full sets reach the similarity."""
-    need = c.Stage(
-        pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "cls", "rep"), "node"), "minhash-need"
-    )
+def _full_sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text: str) -> c.Stage:
+    """node and items (its full set) of the classes in ``wanted``, read anew from one document of each."""
+    need = c.Stage(wanted.select("node").distinct().join(nodes.select("node", "cls", "rep"), "node"), "minhash-need")
     ids = _small(need.df.select(F.col("rep").alias("__rep")).distinct())
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")).join(ids, F.col("doc_id").eqNullSafe(F.col("__rep")), "left_semi")
 
@@ -123,12 +123,18 @@ def _confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, t
     ids_type = docs.schema[id_col].dataType.simpleString()
     found = c.map_batches(texts, run, f"doc_id {ids_type}, cls binary, items array<long>")
     full = need.df.join(found, (F.col("rep").eqNullSafe(F.col("doc_id"))) & (need.df["cls"] == found["cls"])).select("node", "items").dropDuplicates(["node"])
-    full = c.Stage(full, "minhash-sets")
+    out = c.Stage(full, "minhash-sets")
+    need.drop()
+    return out
+
+
+def _confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text: str, percent: int) -> DataFrame:
+    """Of pairs (a, b) of classes, those whose full sets reach the similarity."""
+    full = _full_sets(pairs.select(F.explode(F.array("a", "b")).alias("node")), nodes, docs, id_col, text)
     left = pairs.join(full.df.select(F.col("node").alias("a"), F.col("items").alias("x")), "a")
     both = left.join(full.df.select(F.col("node").alias("b"), F.col("items").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y")).cast("long")
     out = c.Stage(both.where(100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select("a", "b"), "minhash-links")
-    need.drop()
     full.drop()
     return out.df
 
@@ -185,20 +191,26 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent:
     mixed = sized.groupBy("token").agg(F.max(F.struct("k", "label")).alias("m"), F.sum("k").alias("k"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
     mixed = c.Stage(mixed.select("token", F.col("m.label").alias("major"), F.ceil(F.col("k") / LIST_BLOCK).cast("int").alias("blocks")), "minhash-mixed")
     some = labelled.df.join(mixed.df, "token")
-    detail = posts.df.select("node", "n", "least", "own", "prefix")
-    outer = some.where("label <> major").join(detail, "node").select(
-        "token", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("node").alias("a"), F.col("label").alias("ca"), F.col("major"), F.col("n").alias("na"), F.col("least").alias("la"), F.col("own").alias("oa"), F.col("prefix").alias("pa"))
-    inner = some.join(detail, "node").select(
-        "token", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), F.col("node").alias("b"), F.col("label").alias("cb"), F.col("n").alias("nb"), F.col("least").alias("lb"), F.col("own").alias("ob"), F.col("prefix").alias("pb"))
+    sets = _full_sets(some.select("node").join(posts.df.where(F.col("n") <= FINE).select("node"), "node"), nodes, docs, id_col, text)
+    fine = F.transform("items", lambda x: x.bitwiseAND(0x7FFFFFFF).cast("int"))
+    detail = c.Stage(posts.df.join(sets.df.select("node", fine.alias("fine")), "node", "left").select("node", "n", "least", "own", "prefix", "fine"), "minhash-detail")
+    sets.drop()
+    outer = some.where("label <> major").join(detail.df, "node").select(
+        "token", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("node").alias("a"), F.col("label").alias("ca"), F.col("major"), F.col("n").alias("na"), F.col("least").alias("la"), F.col("own").alias("oa"), F.col("prefix").alias("pa"), F.col("fine").alias("fa"))
+    inner = some.join(detail.df, "node").select(
+        "token", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), F.col("node").alias("b"), F.col("label").alias("cb"), F.col("n").alias("nb"), F.col("least").alias("lb"), F.col("own").alias("ob"), F.col("prefix").alias("pb"), F.col("fine").alias("fb"))
     first = F.element_at(F.array_intersect(F.slice("oa", 1, F.col("pa")), F.slice("ob", 1, F.col("pb"))), 1) == outer["token"]
+    # small sets are compared whole; SLACK allows for hashes that meet in 31 bits
+    most = F.size(F.array_intersect("fa", "fb")).cast("long") + SLACK
+    close = F.when(F.col("fa").isNotNull() & F.col("fb").isNotNull(), 100 * most >= percent * (F.col("na") + F.col("nb") - most)).otherwise(F.lit(True))
     once = (F.col("cb") == F.col("major")) | (F.col("a") < F.col("b"))
-    rest = outer.join(inner, (outer["token"] == inner["token"]) & (outer["block"] == inner["block"]) & (F.col("ca") != F.col("cb")) & once & fits & first)
+    rest = outer.join(inner, (outer["token"] == inner["token"]) & (outer["block"] == inner["block"]) & (F.col("ca") != F.col("cb")) & once & fits & first & close)
     rest = c.Stage(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "minhash-rest")
     if rest.df.limit(1).count():
         more = _confirm(rest.df, nodes, docs, id_col, text, percent)
         if more.limit(1).count():
             label = components(links.union(more))
-    for stage in (posts, pairs, labelled, mixed, rest):
+    for stage in (posts, pairs, labelled, mixed, detail, rest):
         stage.drop()
 
     # a label for every class, then for every document
