@@ -1 +1 @@
-""""""
+"""Queries and publication."""
