@@ -200,8 +200,8 @@ class Document:
         self.tables: list[Table] = []
         self.replace(0, 0, text)
 
-    def append(self, more: str) -> None:
-        self.replace(len(self.text), len(self.text), more)
+    def append(self, more: str) -> int:
+        return self.replace(len(self.text), len(self.text), more)
 
     def replace(self, start: int, end: int, new: str) -> int:
         """Put ``new`` in place of text[start:end]; returns how many bytes of tables were computed."""
