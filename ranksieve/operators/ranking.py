@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 def mark(scores: DataFrame, n: int, score: str = "score", ord: str = "ord", flag: str = "selected") -> DataFrame:
     """All rows, with their position and whether it is among the first n.
 
-    The first n are found by a top-k (no global sort); only narrow rows meet in the rank's window.
+    A position for every row needs one order over all: only (ord, score) pairs meet in that window. Where just the
+    first rows are wanted, ``page`` is a top-k without it.
     """
     order = Window.orderBy(F.desc(score), F.asc(ord))
     ranked = scores.select(ord, score).withColumn("position", F.row_number().over(order))
