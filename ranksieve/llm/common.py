@@ -8,6 +8,7 @@ probability of about 2**-64.
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -78,15 +79,27 @@ class Stage:
 
 
 # ---------------------------------------------------------------- Arrow plumbing
+def give_back() -> None:
+    """Freed memory goes back to the system: a worker lives on after its task, beside those of other steps."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):  # not this C library
+        pass
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """``mapInArrow`` with a function from batch to batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batch = out = None
         for batch in batches:
             if batch.num_rows:
                 out = fn(batch)
                 if out is not None and out.num_rows:
                     yield out
+        del batch, out
+        give_back()
 
     return df.mapInArrow(run, schema)
 
