@@ -6,8 +6,8 @@ itself. So a table with one token a byte holds the encodings of all prefixes; a
 is read from its end, an append only adds entries, and an edit redoes entries from its place on.
 
 A text is cut into chunks (an optional blank and a run of non-space, or white space, as the
-pattern cuts it), chunks into pieces by the pattern, and both are remembered within
-bounds (CHUNKS, PIECES), so each distinct one is encoded about once a worker. Texts are
+pattern cuts it), chunks into pieces by the pattern, and both are remembered in one table
+within a bound (REMEMBERED), so a frequent one is encoded about once a worker. Texts are
 read in parts of PART characters, cut where a chunk must begin.
 
 Cases: a null text is empty: no tokens, and the digests of nothing; repeated rows are encoded each;
@@ -32,10 +32,10 @@ from pyspark.sql import DataFrame
 
 from . import common as c
 
-#: Chunks and pieces that a worker remembers, and the longest remembered.
-CHUNKS, PIECES, LONGEST = 600_000, 400_000, 256
-#: Pairs of tokens whose fit a worker remembers.
-PAIRS = 1_000_000
+#: Chunks and pieces that a worker remembers (some 200 bytes each), and the longest remembered.
+REMEMBERED, LONGEST = 500_000, 256
+#: Pairs of tokens whose fit a worker remembers (some 100 bytes each).
+PAIRS = 300_000
 #: Characters of a text that are encoded at a time.
 PART = 1 << 20
 
@@ -167,8 +167,14 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary, pattern: str):
         self.v, self.pattern = vocabulary, regex.compile(pattern)
-        self._pieces = _Memo(lambda piece: pack(Table(self.v, piece.encode()).ids()), PIECES)
-        self._chunks = _Memo(lambda chunk: b"".join([self._pieces[p] for p in self.pattern.findall(chunk)]), CHUNKS)
+        self._chunks = _Memo(self._make, REMEMBERED)
+
+    def _make(self, chunk: str) -> bytes:
+        """A piece is a chunk that the pattern leaves whole."""
+        pieces = self.pattern.findall(chunk)
+        if len(pieces) == 1:
+            return pack(Table(self.v, chunk.encode()).ids())
+        return b"".join([self._chunks[p] for p in pieces])
 
     @classmethod
     @functools.lru_cache(maxsize=4)
