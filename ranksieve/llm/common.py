@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 U64 = np.uint64
 #: Text bytes that are hashed in one go.
 SLICE_BYTES = 1 << 20
+#: Bytes of a batch that a Python function works on at once, on average; what it returns is as bounded.
+BATCH_BYTES = 4 << 20
 
 
 # ---------------------------------------------------------------- shared folder
@@ -89,13 +91,14 @@ def give_back() -> None:
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """``mapInArrow`` with a function from batch to batch."""
+    """``mapInArrow`` with a function from batch to batch; it gets batches of about BATCH_BYTES, in as many calls as that takes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         batch = out = None
         for batch in batches:
-            if batch.num_rows:
-                out = fn(batch)
+            rows = max(1, batch.num_rows * BATCH_BYTES // max(1, batch.nbytes))
+            for at in range(0, batch.num_rows, rows):
+                out = fn(batch.slice(at, rows))
                 if out is not None and out.num_rows:
                     yield out
         del batch, out
