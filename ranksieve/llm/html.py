@@ -3,8 +3,8 @@
 A page becomes a tree of elements whose leaves are blocks of text. Each block that is long enough
 gives points (one, one a comma, one a hundred characters up to three) to its parent, half of them
 to its grandparent, and a third, a quarter, ... further up; a container's points are multiplied
-by one less its link density. The best container is kept with those siblings that score a fifth
-of it or are long paragraphs with few links. Menus, headers and footers of the page, sidebars,
+by one less its link density. The best container, or the whole article or else main that it lies
+in, is kept with those siblings that score a fifth of the best or are long paragraphs with few links. Menus, headers and footers of the page, sidebars,
 notices, adverts, forms, scripts, styles and reader comments, known by element, role or words of
 their class and id, never count nor stay.
 
@@ -184,7 +184,9 @@ def extract(page: str | None) -> str:
         best = next((x for _, n in found for x in _above(n) if x.tag in ("article", "main")), None)
         if best is None:
             return " ".join(t for t, _ in found)
-    least = max(10.0, best.score() / 5)
+    least = best.score() / 5
+    best = _whole(best)
+    least = max(10.0, least, best.score() / 5)
     keep: dict[int, bool] = {}
     out = []
     for text, node in found:
@@ -204,6 +206,14 @@ def extract(page: str | None) -> str:
     return " ".join(out)
 
 
+def _whole(node: _Node) -> _Node:
+    """The outermost article that has the node, else the outermost main, else the node."""
+    for tag in ("article", "main"):
+        if around := [x for x in _above(node) if x.tag == tag]:
+            return around[-1]
+    return node
+
+
 def _above(node: _Node | None):
     while node is not None:
         yield node

@@ -268,6 +268,19 @@ def test_html(spark):
     assert got[1] == want and got[2] == got[3] == got[5] == "" and got[4] == "x" and got[6] == f"{body} {body}"
 
 
+def test_html_keeps_long_nested_articles():
+    long = "Some long paragraph, with commas, and, as it goes on, enough words to score three points. " * 4
+    for tag in ("article", "main"):
+        entry = f"<h1>Title</h1><div class=entry>{f'<p>{long}</p>' * 40}</div><ul><li>one<li>two</ul><p>Short end.</p><div class=ad>buy</div>"
+        parts = f"<h1>Title</h1><section><p>Few words.</p></section><section>{f'<div><p>{long}</p></div>' * 40}</section><section><h2>Notes</h2><p>Short end.</p></section>"
+        for body in (entry, parts):
+            page = f"<body><nav>menu</nav><div><{tag}>{body}</{tag}></div><div><p>Outside.</p></div><footer>f</footer></body>"
+            want = " ".join(re.sub(r"<div class=ad>buy</div>|<[^>]*>", " ", body).split())
+            assert html.extract(page) == want
+    two = f"<body><main><article><h1>A</h1><div>{f'<p>{long}</p>' * 40}</div></article><article><h1>B</h1><div>{f'<p>{long}</p>' * 30}</div></article></main></body>"
+    assert html.extract(two) == " ".join(re.sub(r"<[^>]*>", " ", two).split())
+
+
 # ---------------------------------------------------------------- pipeline
 def test_pipeline(spark, tmp_path, texts):
     rng = random.Random(11)
