@@ -1,10 +1,11 @@
 """Secret scans with DataFrame functions only.
 
 Base kinds are patterns (fixed by the contract below). Beyond them, candidate strings of
-one character class (hex, base64) are scanned with a window of WINDOW characters: counts of the
-window's characters are carried from place to place, and with them the sum of n*log2(n), so each
-step changes two terms of the Shannon entropy; a candidate whose largest window entropy reaches
-its class's threshold is a secret, unless an allow-list pattern names it or a base span has it.
+one character class (hex, base64, letters of one case with digits, letters) are scanned with a window of
+WINDOW characters: counts of the window's characters are carried from place to place, and with them the
+sum of n*log2(n), so each step changes two terms of the Shannon entropy; a candidate whose largest window
+entropy reaches its class's threshold is a secret, unless an allow-list pattern names it. What base spans
+leave of it is reported, in several parts if they lie within.
 
 Places are code points, ends exclusive. They come from splitting a text at the very pattern whose
 matches are taken, and summing lengths.
@@ -26,10 +27,18 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 
 WINDOW = 20
-#: Characters, candidates and least entropy (bits a character, at most log2 of 20 = 4.32) of each class.
+RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20}"
+_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+_CHANGES = "(?:[A-Za-z]*?[A-Z][a-z][A-Z]){2}"
+#: Characters, candidates and least entropy (bits a character, at most log2 of 20 = 4.32) of each class. Hex and base64
+#: candidates are whole runs of base64 characters, however long; the others are runs of letters and digits.
+#: Long words and joined ones reach 3.8 bits, so letters alone have a high threshold unless their case changes as no words' does.
 CLASSES = {
     "entropy_hex": ("0123456789abcdefABCDEF", r"(?<![A-Za-z0-9+/_=-])(?=[A-Fa-f]*[0-9])(?=[0-9]*[A-Fa-f])[0-9A-Fa-f]{20,}(?![A-Za-z0-9+/_=-])", 3.0),
-    "entropy_base64": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-", r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,64}[0-9])(?=[a-z0-9+/_=-]{0,64}[A-Z])(?=[A-Z0-9+/_=-]{0,64}[a-z])[A-Za-z0-9+/_=-]{20,}(?![A-Za-z0-9+/_=-])", 3.6),
+    "entropy_base64": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-", r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])(?=[a-z0-9+/_=-]*+[A-Z])(?=[A-Z0-9+/_=-]*+[a-z])[A-Za-z0-9+/_=-]{20,}+", 3.6),
+    "entropy_one_case": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", r"(?<![A-Za-z0-9])(?=[A-Za-z]*+[0-9])(?=[0-9]*+[A-Za-z])(?:[a-z0-9]{20,}+|[A-Z0-9]{20,}+)(?![A-Za-z0-9])", 3.4),
+    "entropy_mixed_case": (_LETTERS, rf"(?<![A-Za-z0-9])(?={_CHANGES})[A-Za-z]{{20,}}+(?![A-Za-z0-9])", 3.6),
+    "entropy_letters": (_LETTERS, rf"(?<![A-Za-z0-9])(?!{_CHANGES})[A-Za-z]{{20,}}+(?![A-Za-z0-9])", 4.0),
 }
 #: Candidates of these forms are no secrets: one character or a short unit repeated, words of examples, paths.
 ALLOW = r"(?i)^(.{1,6})\1+.{0,6}$|example|sample|placeholder|dummy|redacted|xxxx|0123456789|abcdefgh|^[a-z]+(?:[-_/][a-z]+){2,}[0-9]{0,4}$"
@@ -95,17 +104,33 @@ def spans(text: Column) -> tuple[Column, Column]:
     for k, (kind, (alphabet, pattern, least)) in enumerate(CLASSES.items()):
         some = F.when(whole.rlike(pattern), whole).otherwise(F.lit(""))
         more.append(_places(some, pattern, F.regexp_extract_all(some, F.lit(pattern), F.lit(0)), lambda m, v, a=alphabet, t=least: ~v.rlike(ALLOW) & (entropy(v, a) >= t), kind, 3 + k))
-    return base, F.array_sort(F.concat(*more))
+    # every candidate lies in such a run, which few texts have
+    return base, F.when(whole.rlike(RUN), F.array_sort(F.concat(*more))).otherwise(_none())
 
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """All columns of docs, and ``__base`` and ``__spans`` (base and added ones)."""
     base, more = spans(F.col(f"`{text}`"))
     out = docs.withColumn("__base", base).withColumn("__more", more)
-    apart = F.filter("__more", lambda m: ~F.exists("__base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
+    apart = F.flatten(F.transform("__more", lambda m: _apart(m, F.col("__base"))))
     return out.withColumn("__spans", F.array_sort(F.concat("__base", apart))).drop("__more")
 
 
+def _apart(span: Column, base: Column) -> Column:
+    """The parts of a span that no base span (they are in order) covers."""
+
+    def part(start: Column, end: Column) -> Column:
+        one = F.struct(start.alias("start"), end.alias("end"), span["ord"].alias("ord"), span["kind"].alias("kind"))
+        return F.when(start < end, F.array(one)).otherwise(_none())
+
+    def step(acc, b):
+        out = F.concat(acc["out"], part(acc["at"], F.least(b["start"], span["end"])))
+        return F.struct(F.greatest(acc["at"], b["end"]).alias("at"), out.alias("out"))
+
+    start = F.struct(span["start"].alias("at"), _none().alias("out"))
+    return F.aggregate(base, start, step, lambda acc: F.concat(acc["out"], part(acc["at"], span["end"])))
+
+
 def joined(spans: Column) -> Column:
     """``kind:start:end``, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")

@@ -220,6 +220,25 @@ def test_secrets(spark, texts):
     assert clean[len(own) - 2] == "see [SECRET]!" and clean[0] == own[0] and clean[texts.index(None)] is None
 
 
+def test_secrets_are_found_whole(spark):
+    rng = random.Random(8)
+    draw = {k: "".join(rng.choice(a) for _ in range(40)) for k, a in (("mixed", "ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz123456789"), ("small", "ghijkmnopqrstuvwxyz23456789"), ("capital", "GHJKLMNPQRSTUVWXYZ23456789"), ("letters", "ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"))}
+    path = "host/deploy/services/internal/deploy/services/internal/deploy/services/internal/"
+    access, hexes = "AKIA" + "Q7" * 8, "0f1e2d3c" * 4
+    own = [f"see {path * n}{draw['mixed']} end" for n in (1, 20)]
+    own += [f"see {p}{draw[k]}, end" for k in ("small", "capital", "letters") for p in ("", "a/b-c/")]
+    own += [f"{access}/{draw['mixed']} end", f"{draw['mixed']}-{access} end", f"{draw['mixed']}-{hexes}-{draw['mixed'][::-1]} end"]
+    clean = secrets.redact(docs_of(spark, own), length=None).orderBy("doc_id").collect()
+    for r, x in zip(clean, own, strict=True):
+        assert not any(key[i : i + 8] in r["text"] for k in draw.values() for key in (k, k[::-1]) for i in range(33)), x
+        assert r["text"].endswith(" end") and "[SECRET]" in r["text"]
+    spans = {r["doc_id"]: r["spans"] for r in secrets.report(docs_of(spark, own)).collect()}
+    assert spans[8] == "access:0:20,entropy_base64:20:61" and spans[9] == "entropy_base64:0:41,access:41:61"
+    assert spans[10] == "entropy_base64:0:41,hex:41:73,entropy_base64:73:114"
+    plain = ["Donaudampfschifffahrtsgesellschaft AbstractSingletonProxyFactoryBean", path, f"commit-{hexes}"]
+    assert [r["spans"] for r in secrets.report(docs_of(spark, plain)).orderBy("doc_id").collect()] == ["", "", "hex:7:39"]
+
+
 def test_entropy(spark):
     s = "aabbccddeeffgghhiijj0123456789abcdefghij"
     got = spark.range(1).select(secrets.entropy(F.lit(s), secrets.CLASSES["entropy_base64"][0])).first()[0]
