@@ -27,7 +27,7 @@ from . import common as c
 #: Shortest block, in characters, that gives points.
 SHORTEST = 25
 
-_RAW = "script|style|noscript|template|svg|iframe|select|textarea|math|object|canvas"
+_RAW = "script|style|noscript|template|svg|iframe|select|textarea|object|canvas"
 _TOKEN = re.compile(
     rf"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<({_RAW})\b[^>]*+(?:(?<=/)>|>.*?(?:</\1\s*>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*')*+)>|</?[a-zA-Z][^>]*>""",
     re.S | re.I,
@@ -44,18 +44,27 @@ _WORD = set(
     "header login masthead menu menus modal nav navbar navigation newsletter notice notices notification pager pagination popup promo promoted promotion "
     "recommended related replies reply respond responses search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Words that an article's own parts may have as names, and words that tell nothing beside others.
+_DOUBT = set("advertising comment consent cookie cookies discussion footer header login menu menus navigation notice notices notification notifications pagination promotion recommended related replies reply respond responses search share sharing social".split())
+_PLAIN = set("area bar block box container inner list section slot unit wrap wrapper".split())
 _NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)(?:hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none)""", re.I)
+_HEADING = re.compile("h[1-6]")
 _PARTS = re.compile(r"[a-z]+")
 _PRIOR = {"article": 25.0, "main": 15.0, "section": 5.0, "div": 5.0, "blockquote": 3.0, "td": 3.0, "pre": 3.0, "ul": -3.0, "ol": -3.0, "dl": -3.0, "li": -3.0, "form": -3.0, "th": -5.0}
 
 
 class _Node:
-    __slots__ = ("chars", "links", "out", "parent", "points", "tag")
+    __slots__ = ("chars", "doubt", "form", "links", "out", "parent", "points", "tag")
 
     def __init__(self, tag: str, parent: _Node | None, out: bool):
         self.tag, self.parent, self.out = tag, parent, out
         self.points, self.chars, self.links = None, 0, 0
+        self.doubt = self.form = False
+
+    def dropped(self) -> bool:
+        """Unwanted, or in an element of a doubtful name that mostly links or holds a form."""
+        return self.out or any(x.doubt and (x.form or 2 * x.links > x.chars) for x in _above(self))
 
     def score(self) -> float:
         return (self.points or 0.0) * (1 - self.links / self.chars if self.chars else 1.0)
@@ -72,12 +81,25 @@ def _unwanted(tag: str, attributes: str, inside: bool) -> bool:
         if m[1].lower() == "role":
             if _ROLE & set(value.split()):
                 return True
-        elif hit := _WORD & set(_PARTS.findall(value)):
-            if not (inside and hit == {"header"}):
+        elif not inside:
+            if _WORD & set(_PARTS.findall(value)):
                 return True
+        elif not _HEADING.fullmatch(tag) and any(_sure(set(_PARTS.findall(x))) for x in value.split()):
+            return True
     return bool(_HIDDEN.search(attributes))
 
 
+def _sure(words: set[str]) -> bool:
+    """Whether a name within an article can only be of an unwanted part."""
+    return bool(words & (_WORD - _DOUBT)) and words <= _WORD | _PLAIN
+
+
+def _doubtful(tag: str, attributes: str) -> bool:
+    if _HEADING.fullmatch(tag) or tag in ("article", "main"):
+        return False
+    return any(m[1].lower() != "role" and (_WORD - {"header"}) & set(_PARTS.findall((m[2] or m[3] or m[4] or "").lower())) for m in _NAMES.finditer(attributes))
+
+
 def blocks(page: str) -> list[tuple[str, _Node]]:
     """The page's blocks of text in order, each with its element, and the tree above them."""
     root = _Node("html", None, False)
@@ -149,6 +171,10 @@ def blocks(page: str) -> list[tuple[str, _Node]]:
             above = stack[-1]
             inside = any(x.tag in ("article", "main") for x in stack)
             stack.append(_Node(tag, above, above.out or _unwanted(tag, m[4] or "", inside)))
+            stack[-1].doubt = inside and _doubtful(tag, m[4] or "")
+            if tag == "form":
+                for x in stack:
+                    x.form = True
     if at < len(page):
         take(page[at:])
     flush()
@@ -157,7 +183,7 @@ def blocks(page: str) -> list[tuple[str, _Node]]:
 
 def extract(page: str | None) -> str:
     """The main text: its blocks in page order, one space between them."""
-    found = [(t, n) for t, n in blocks(page or "") if not n.out]
+    found = [(t, n) for t, n in blocks(page or "") if not n.dropped()]
     if not found:
         return ""
     for text, node in found:

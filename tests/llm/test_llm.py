@@ -300,6 +300,15 @@ def test_html_keeps_long_nested_articles():
     assert html.extract(two) == " ".join(re.sub(r"<[^>]*>", " ", two).split())
 
 
+def test_html_names_inside_articles():
+    long = "Some long paragraph, with commas, and, as it goes on, enough words to score well. "
+    kept = f'<h2 id="Related_work">Work</h2><section id="discussion"><p>{long}</p></section><div class="search-algorithms">Trees</div><h2 id="Advertising_revenue">Revenue</h2><p>so <math><mi>x</mi></math> holds</p>'
+    gone = '<div class="ad-box">buy</div><div class="related"><a href=x>More of it</a></div><div class="search-box">Find<form>f</form></div>'
+    want = " ".join(re.sub(r"</?(?:math|mi)>", "", kept).replace("<", " <").split())
+    assert html.extract(f"<body><article><p>{long}</p>{kept}{gone}<p>End.</p></article></body>") == " ".join(f"{long}{re.sub(r'<[^>]*>', ' ', want)} End.".split())
+    assert html.extract(f"<article><p>{long}<math>never closed</p><p>{long}</p></article>").count("Some long") == 2
+
+
 # ---------------------------------------------------------------- pipeline
 def test_pipeline(spark, tmp_path, texts):
     rng = random.Random(11)
