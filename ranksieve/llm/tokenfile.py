@@ -7,21 +7,23 @@ gives it, or any run of ids, without copying. Shards hold ranges of ids in ascen
 index table (Parquet) names for each document its shard, its place there and its length.
 
 Cases: a null text is empty and has the end id alone; documents of equal ids lie in order of their
-texts; null ids come first; an empty table gives no shard and an empty result.
+texts; null ids come first; an empty table gives no shard and an empty result. Strings of the file's
+added tokens within a text get their ids, as the library does by default.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import unicodedata
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,81 +33,116 @@ from . import common as c
 LENGTH, ROWS = 2048, 64
 #: Bytes of text that a shard is made of, about.
 SHARD_BYTES = 64 << 20
-#: Raw words and words that a worker remembers.
-RAW, WORDS, LONGEST = 600_000, 400_000, 256
-PART = 1 << 20
+#: Words and blank-separated runs that a worker remembers, and the longest of them.
+WORDS, RUNS, LONGEST = 800_000, 200_000, 256
+#: Characters that are encoded at a time.
+PART = 2 << 20
+
+
+class _Memo(dict):
+    """Computes what it lacks. Half of ``most`` entries are at hand; when these are full they become the other half, from
+    which those still asked for come back. Long keys are not kept."""
+
+    def __init__(self, make, most: int):
+        super().__init__()
+        self.make, self.most, self.older = make, most, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= LONGEST:
+            if 2 * len(self) >= self.most:
+                self.older = dict(self)
+                self.clear()
+            self[key] = value
+        return value
 
 
 class WordEncoder:
     """The tokenizers library, asked once for each distinct word.
 
-    Ids depend on nothing beyond a word's ends, and words end at ASCII white space at the latest; so a
-    text's ids are those of its blank-separated words in a row. Words of letters up to U+024F are cut
-    by the file's own pattern and given to the library's model; others go through the whole library.
+    Characters up to U+024F are in normal form already, so a text of them is put into lower case and cut
+    by the file's own pattern, and its distinct words are given to the library's model. Blank-separated
+    runs that hold others, or one of the file's added tokens, go through the whole library: ids depend on
+    nothing beyond a word's ends, and words end at white space at the latest.
     """
 
-    #: The pattern of the tokenizer file.
-    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    #: The pattern of the tokenizer file, and its white space up to U+024F.
+    PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{spaces}{letters}{numbers}]+"
+    SPACES = "\\t-\\r \x85\xa0"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.model, self.normalizer = self.tokenizer.model, self.tokenizer.normalizer
-        self.cut = regex.compile(self.PATTERN)
-        self.far = re.compile("[^\x00-ɏ]")
+        self.model = self.tokenizer.model
+        near = sorted({*map(chr, range(0x250)), *"".join(map(chr, range(0x250))).lower()})
+        kinds = {kind: "".join(ch for ch in near if unicodedata.category(ch)[0] == kind) for kind in "LN"}
+        self.cut = re.compile(self.PATTERN.format(letters=kinds["L"], numbers=kinds["N"], spaces=self.SPACES)).findall
+        added = "|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.added, self.far = re.compile(added).search if added else lambda text: None, re.compile("[^\\x00-\\u024f]").search
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.letters = {}
-        for b in range(256):  # the library's letter for each byte
-            ch = chr(b) if b < 128 else None
-            if ch is not None:
-                self.letters[b] = level.pre_tokenize_str(ch)[0][0]
-        for cp in range(0x80, 0x800):
-            for x, y in zip(chr(cp).encode(), level.pre_tokenize_str(chr(cp))[0][0], strict=True):
-                self.letters[x] = y
-        self.raw: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.letters: dict[int, str] = {}  # the library's letter for each byte of those characters
+        for ch in near:
+            self.letters.update(zip(ch.encode(), level.pre_tokenize_str(ch)[0][0], strict=True))
+        self.words, self.runs = _Memo(self._word, WORDS), _Memo(self._run, RUNS)
 
     def _word(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            letters = self.letters
-            ids = np.array([t.id for t in self.model.tokenize("".join([letters[b] for b in word.encode()]))], "<u4").tobytes()
-            if len(word) <= LONGEST:
-                if len(self.words) >= WORDS:
-                    self.words.clear()
-                self.words[word] = ids
-        return ids
-
-    def _missing(self, raw: str) -> bytes:
-        if len(raw) > LONGEST or self.far.search(raw):
-            return np.array(self.tokenizer.encode(raw, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join([self._word(w) for w in self.cut.findall(self.normalizer.normalize_str(raw))])
-
-    def encode(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
-        out, at, known = [], 0, self.raw
-        while at < len(text):
-            end = len(text)
-            if end - at > PART:
-                m = _BLANK.search(text, at + PART)
-                end = m.end() if m else end
-            for raw in text[at:end].split(" "):
-                ids = known.get(raw)
-                if ids is None:
-                    ids = self._missing(raw)
-                    if len(raw) <= LONGEST:
-                        if len(known) >= RAW:
-                            known.clear()
-                        known[raw] = ids
-                out.append(ids)
-            at = end
-        return b"".join(out)
-
-
-_BLANK = re.compile(" ")
+        if not (word.isascii() and word.isprintable()):  # others are their own letters
+            word = "".join([self.letters[b] for b in word.encode()])
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+
+    def _run(self, run: str) -> bytes:
+        return array("I", self.tokenizer.encode(run, add_special_tokens=False).ids).tobytes()
+
+    def encode(self, text: str) -> np.ndarray:
+        """The ids of a text."""
+        return np.concatenate([ids for _, ids, _ in self.encode_all([text])])
+
+    def encode_all(self, texts: Iterable[str]) -> Iterator[tuple[int, np.ndarray, bool]]:
+        """(number of the text, ids, whether they are its last ones), in order: texts in parts of bounded size."""
+        held, size = [], 0
+        for number, text in enumerate(texts):
+            at = 0
+            while True:
+                end = len(text)
+                if end - at > PART:
+                    end = text.find(" ", at + PART) + 1 or end
+                held.append((number, text[at:end], end == len(text)))
+                size, at = size + end - at, end
+                if size >= PART:
+                    yield from self._parts(held)
+                    held, size = [], 0
+                if at == len(text):
+                    break
+        if held:
+            yield from self._parts(held)
+
+    def _parts(self, held: list[tuple[int, str, bool]]) -> Iterator[tuple[int, np.ndarray, bool]]:
+        """Each word that the parts have is looked up once; the ids are put together by the words' numbers."""
+        words, ends, others = [], [], {}
+        for k, (_, part, _) in enumerate(held):
+            if self.added(part) or not part.isascii() and self.far(part):
+                others[k] = np.frombuffer(b"".join([self.runs[run] for run in part.split(" ")]), np.uint32)
+            else:
+                words += self.cut(part.lower())
+            ends.append(len(words))
+        coded = pa.array(words, pa.large_string()).dictionary_encode()
+        del words
+        known = [self.words[word] for word in coded.dictionary.to_numpy(zero_copy_only=False)]
+        count = np.fromiter(map(len, known), np.int64, len(known)) >> 2
+        start = np.cumsum(count) - count
+        word = coded.indices.to_numpy()
+        n = count[word]
+        bounds = np.concatenate([[0], np.cumsum(n)])
+        ids = np.frombuffer(b"".join(known), np.uint32)[np.repeat(start[word] - bounds[:-1], n) + np.arange(bounds[-1])]
+        lo = 0
+        for k, (number, _, last) in enumerate(held):
+            hi = bounds[ends[k]]
+            yield number, others[k] if k in others else ids[lo:hi], last
+            lo = hi
 
 
 @lru_cache(maxsize=2)
@@ -190,7 +227,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_col: str
     total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-total // shard_bytes), int(own.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ordered = own.repartitionByRange(parts, "doc_id").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    kind = schema(vocabulary)
+    kind, end = schema(vocabulary), np.array([end_id], np.uint32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
@@ -203,13 +240,14 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_col: str
                 fs.create_dir(at, recursive=True)
                 sink = fs.open_output_stream(f"{at}/{name}", compression=None)
                 writer = Writer(sink, kind)
-            place, n = [], []
-            for value in batch.column(1):
-                ids = np.append(np.frombuffer(encoder(tokenizer).encode(value.as_py()), "<u4"), np.uint32(end_id))
-                place.append(writer.total)
-                n.append(len(ids))
+            place, n, k = [], [], batch.num_rows
+            for number, ids, last in encoder(tokenizer).encode_all(value.as_py() for value in batch.column(1)):
+                if number == len(place):
+                    place.append(writer.total)
                 writer.add(ids)
-            k = batch.num_rows
+                if last:
+                    writer.add(end)
+                    n.append(writer.total - place[-1])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([shard] * k, pa.int32()), pa.array([name] * k), pa.array(place, pa.int64()), pa.array(n, pa.int64())],
                 ["doc_id", "shard", "file", "place", "n_tokens"],

@@ -179,6 +179,20 @@ def test_token_files(spark, texts):
     assert tokenfile.write(df.where("false"), common.scratch(spark, "t"), path, 1).count() == 0
 
 
+def test_word_encoder_equals_the_library():
+    from tokenizers import Tokenizer
+
+    path, rng = P.path("word_bpe_49k.json"), random.Random(1)
+    encoder, lib = tokenfile.WordEncoder(path), Tokenizer.from_file(path)
+    pool = [*map(chr, range(0x250)), *("abc 's't're <|endoftext|> '" * 12), *["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "'LL", "İ", "ẞ", "K", "\u0301", "日", "😀", "\u2028", "\x85", "ΑΣ"] * 12]
+    own = ["".join(rng.choice(pool) for _ in range(rng.randrange(14))) for _ in range(3000)]
+    assert all(encoder.encode(x).tolist() == lib.encode(x, add_special_tokens=False).ids for x in own)
+    parts = {}
+    for number, ids, _ in encoder.encode_all(own):
+        parts.setdefault(number, []).extend(ids.tolist())
+    assert [parts[k] for k in range(len(own))] == [lib.encode(x, add_special_tokens=False).ids for x in own]
+
+
 # ---------------------------------------------------------------- 7
 def test_shards(spark, texts):
     rng = random.Random(9)
