@@ -161,8 +161,7 @@ def test_token_files(spark, texts):
 
     path = P.path("word_bpe_49k.json")
     lib = Tokenizer.from_file(path)
-    lib.encode_special_tokens = True
-    own = [*texts, "İΣΑΣ <|endoftext|> é́ é don't 123　x\xa0y\x85z ﬁ DŽ", "日本 áb"]
+    own = [*texts, "İΣΑΣ <|endoftext|> é́ é don't 123　x\xa0y\x85z ﬁ DŽ", "日本 áb", "a <|endoftext|> b<|startoftext|>c <|EndOfText|>", "ȺɄ Ⱦx\x1fy \x00\x9a"]
     folder = common.scratch(spark, "t")
     df = docs_of(spark, own)
     index = common.Stage(tokenfile.write(df.orderBy(F.desc("doc_id")), folder, path, 1), "t").df
