@@ -2,32 +2,42 @@
 
 Base kinds are patterns (fixed by the contract below). Beyond them, candidate strings of
 one character class (hex, base64, letters of one case with digits, letters) are scanned with a window of
-WINDOW characters: counts of the window's characters are carried from place to place, and with them the
-sum of n*log2(n), so each step changes two terms of the Shannon entropy; a candidate whose largest window
-entropy reaches its class's threshold is a secret, unless an allow-list pattern names it. What base spans
-leave of it is reported, in several parts if they lie within.
+WINDOW characters: the counts of the window's characters are carried from place to place, eight to a
+64-bit number, and with them the sum of n*log2(n), so each step changes two counts and two terms of the
+Shannon entropy; a candidate whose largest window entropy reaches its class's threshold is a secret, unless an
+allow-list form names it. Windows near an allow-listed word do not count. What base spans leave of a
+candidate is reported, in several parts if they lie within.
 
-Places are code points, ends exclusive. They come from splitting a text at the very pattern whose
-matches are taken, and summing lengths.
+One pass finds the runs of base64 characters, WINDOW or longer; candidates, access keys and hex strings lie
+within runs, so all other patterns but that of assignments see runs only. Places are code points, ends
+exclusive, summed from the lengths of the parts that a text is split into.
 
 Cases: a null text is empty and has no spans; empty tables give empty results; matches that touch or
-repeat are all kept; very long texts are scanned whole; documents repeat as often as they stand.
+repeat are all kept; texts and candidates are scanned whole, in time linear in their length; documents
+repeat as often as they stand; columns of any name pass untouched.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import common as c
+
 #: The base kinds. Runs shorter than a kind's least are dropped; for access and hex that
 #: equals asking for the least in the pattern, as a run is matched from its start or not at all.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
-ASSIGN_HINT = r"(?i)passw|secret|token|api_?key"
+ASSIGN_HINTS = ("passw", "secret", "token", "apikey", "api_key")
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 
 WINDOW = 20
-RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20}"
+_RUN = "[A-Za-z0-9+/_=-]"
+RUN = rf"(?<!{_RUN}){_RUN}{{{WINDOW}}}"
+#: Where runs begin and end.
+RUN_EDGES = rf"(?<!{_RUN})(?={_RUN}{{{WINDOW}}})|(?!{_RUN})(?<={_RUN}{{{WINDOW}}})"
 _LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 _CHANGES = "(?:[A-Za-z]*?[A-Z][a-z][A-Z]){2}"
 #: Characters, candidates and least entropy (bits a character, at most log2 of 20 = 4.32) of each class. Hex and base64
@@ -40,95 +50,134 @@ CLASSES = {
     "entropy_mixed_case": (_LETTERS, rf"(?<![A-Za-z0-9])(?={_CHANGES})[A-Za-z]{{20,}}+(?![A-Za-z0-9])", 3.6),
     "entropy_letters": (_LETTERS, rf"(?<![A-Za-z0-9])(?!{_CHANGES})[A-Za-z]{{20,}}+(?![A-Za-z0-9])", 4.0),
 }
-#: Candidates of these forms are no secrets: one character or a short unit repeated, words of examples, paths.
-ALLOW = r"(?i)^(.{1,6})\1+.{0,6}$|example|sample|placeholder|dummy|redacted|xxxx|0123456789|abcdefgh|^[a-z]+(?:[-_/][a-z]+){2,}[0-9]{0,4}$"
+#: Candidates of these forms are no secrets: one character or a short unit repeated, paths.
+ALLOW_FORMS = r"(?i)^(.{1,6})\1++.{0,6}$|^[a-z]++(?:[-_/][a-z]++){2,}+[0-9]{0,4}$"
+#: Words of examples: windows within NEAR characters of one do not count.
+ALLOW_WORDS, NEAR = "example|sample|placeholder|dummy|redacted|xxxx|0123456789|abcdefgh", 64
 
-_SPAN = "struct<start:long,end:long,ord:int,kind:string>"
+_SPAN = "struct<start:long,ord:int,end:long,kind:string>"
+_TERMS = [0.0, *(n * math.log2(n) for n in range(1, WINDOW + 2))]
 
 
 def _none() -> Column:
     return F.array().cast(f"array<{_SPAN}>")
 
 
-def _places(text: Column, pattern: str, value: Column, keep, kind: str, ord: int) -> Column:
-    """Spans of the matches for which ``keep`` holds (of the match and a second string for it)."""
-    matches, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    start = F.struct(F.lit(0).cast("long").alias("at"), _none().alias("out"))
+def _span(start: Column, end: Column, ord: Column, kind: Column) -> Column:
+    return F.struct(start.cast("long").alias("start"), ord.cast("int").alias("ord"), end.cast("long").alias("end"), kind.alias("kind"))
+
+
+def _let(value: Column, of) -> Column:
+    """``of`` a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), of), 1)
+
+
+def _places(text: Column, offset: Column, pattern: str, keep, kind: str, ord: int) -> Column:
+    """Spans of the matches for which ``keep`` holds; ``offset`` is where the text begins."""
+    start = F.struct(offset.cast("long").alias("at"), _none().alias("out"))
 
     def step(acc, x):
         at = acc["at"] + F.length(x["before"])
-        end = at + F.length(x["match"])
-        span = F.struct(at.cast("long").alias("start"), end.cast("long").alias("end"), F.lit(ord).alias("ord"), F.lit(kind).alias("kind"))
-        out = F.when(keep(x["match"], x["value"]), F.concat(acc["out"], F.array(span))).otherwise(acc["out"])
+        end = at + F.coalesce(F.length(x["match"]), F.lit(0))
+        out = F.when(x["match"].isNotNull() & keep(x["match"]), F.concat(acc["out"], F.array(_span(at, end, F.lit(ord), F.lit(kind))))).otherwise(acc["out"])
         return F.struct(end.cast("long").alias("at"), out.alias("out"))
 
-    zipped = F.arrays_zip(matches.alias("match"), F.slice(between, 1, F.size(matches)).alias("before"), value.alias("value"))
+    # what follows the last match stands beside none
+    zipped = F.arrays_zip(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("match"), F.split(text, pattern, -1).alias("before"))
     return F.aggregate(zipped, start, step, lambda acc: acc["out"])
 
 
 def entropy(s: Column, alphabet: str) -> Column:
-    """The largest Shannon entropy of any WINDOW characters of a string, in bits a character."""
-    size = len(alphabet)
-    code = F.transform(F.split(s, ""), lambda ch: F.instr(F.lit(alphabet), ch))
-    gain = F.lit(0.0)
-
-    def log(x: Column) -> Column:
-        return F.when(x > 1, x * F.log2(x.cast("double"))).otherwise(gain)
-
-    start = F.struct(F.array_repeat(F.lit(0), size + 1).alias("counts"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"), F.lit(0).alias("seen"), code.alias("code"))
-
-    def step(acc, ch):
-        new = F.element_at(acc["counts"], ch + 1)
-        old_code = F.when(acc["seen"] >= WINDOW, F.element_at(acc["code"], F.greatest(acc["seen"] - WINDOW + 1, F.lit(1)))).otherwise(F.lit(-1))
-        entered = acc["sum"] + log(new + 1) - log(new)
-        old = F.when(old_code >= 0, F.element_at(acc["counts"], F.greatest(old_code, F.lit(0)) + 1) + F.when(old_code == ch, 1).otherwise(0)).otherwise(F.lit(0))
-        total = entered + F.when(old_code >= 0, log(old - 1) - log(old)).otherwise(gain)
-        counts = F.transform(acc["counts"], lambda n, i: n + F.when(i == ch, 1).otherwise(0) - F.when(i == old_code, 1).otherwise(0))
-        bits = F.when(acc["seen"] + 1 >= WINDOW, F.lit(0.0) + F.log2(F.lit(float(WINDOW))) - total / WINDOW).otherwise(gain)
-        return F.struct(counts.alias("counts"), total.alias("sum"), F.greatest(acc["best"], bits).alias("best"), (acc["seen"] + 1).alias("seen"), acc["code"].alias("code"))
-
-    return F.aggregate(code, start, step, lambda acc: acc["best"])
-
-
-def spans(text: Column) -> tuple[Column, Column]:
-    """Base spans, and those that the entropy of candidates adds; arrays of (start, end, ord, kind) in order."""
-    whole = F.coalesce(text, F.lit(""))
-    hinted = F.when(whole.rlike(ASSIGN_HINT), whole).otherwise(F.lit(""))
-    assign = _places(hinted, ASSIGN, F.regexp_extract_all(hinted, F.lit(ASSIGN), F.lit(2)), lambda m, v: F.length(v) >= 6, "assign", 0)
-    keyed = F.when(F.contains(whole, F.lit("AKIA")), whole).otherwise(F.lit(""))
-    access = _places(keyed, ACCESS, F.regexp_extract_all(keyed, F.lit(ACCESS), F.lit(0)), lambda m, v: F.lit(True), "access", 1)
-    runs = F.when(whole.rlike(HEX), whole).otherwise(F.lit(""))
-    hexes = _places(runs, HEX, F.regexp_extract_all(runs, F.lit(HEX), F.lit(0)), lambda m, v: F.lit(True), "hex", 2)
-    base = F.array_sort(F.concat(assign, access, hexes))
-    more = []
-    for k, (kind, (alphabet, pattern, least)) in enumerate(CLASSES.items()):
-        some = F.when(whole.rlike(pattern), whole).otherwise(F.lit(""))
-        more.append(_places(some, pattern, F.regexp_extract_all(some, F.lit(pattern), F.lit(0)), lambda m, v, a=alphabet, t=least: ~v.rlike(ALLOW) & (entropy(v, a) >= t), kind, 3 + k))
-    # every candidate lies in such a run, which few texts have
-    return base, F.when(whole.rlike(RUN), F.array_sort(F.concat(*more))).otherwise(_none())
-
-
-def scan(docs: DataFrame, text: str = "text") -> DataFrame:
-    """All columns of docs, and ``__base`` and ``__spans`` (base and added ones)."""
-    base, more = spans(F.col(f"`{text}`"))
-    out = docs.withColumn("__base", base).withColumn("__more", more)
-    apart = F.flatten(F.transform("__more", lambda m: _apart(m, F.col("__base"))))
-    return out.withColumn("__spans", F.array_sort(F.concat("__base", apart))).drop("__more")
+    """The largest Shannon entropy of any WINDOW characters of a string of the alphabet, in bits a character; 0 for shorter ones."""
+    terms = F.array(*map(F.lit, _TERMS))
+
+    def term(n: Column) -> Column:
+        return F.element_at(terms, n + 1)
+
+    def count(counts: Column, code: Column) -> Column:
+        held = F.call_function("shiftright", F.element_at(counts, F.shiftright(code, 3) + 1), code.bitwiseAND(7) * 8)
+        return held.bitwiseAND(255).cast("int")
+
+    def one(code: Column, i: Column) -> Column:
+        unit = F.call_function("shiftleft", F.lit(1).cast("long"), code.bitwiseAND(7) * 8)
+        return F.when(F.shiftright(code, 3) == i, unit).otherwise(F.lit(0).cast("long"))
+
+    def step(acc, x):
+        new, old = x["new"], x["old"]
+        n = count(acc["counts"], new)
+        total = acc["sum"] + term(n + 1) - term(n)
+        m = count(acc["counts"], old) + F.when(old == new, 1).otherwise(0)
+        total = F.when(old < 0, total).otherwise(total + term(m - 1) - term(m))
+        counts = F.transform(acc["counts"], lambda held, i: held + one(new, i) - one(old, i))
+        bits = F.when(acc["seen"] + 1 >= WINDOW, F.lit(math.log2(WINDOW)) - total / WINDOW).otherwise(F.lit(0.0))
+        return F.struct(counts.alias("counts"), total.alias("sum"), F.greatest(acc["best"], bits).alias("best"), (acc["seen"] + 1).alias("seen"))
+
+    def scan(code):
+        old = F.slice(F.concat(F.array_repeat(F.lit(-1), WINDOW), code), 1, F.size(code))
+        counts = F.array_repeat(F.lit(0).cast("long"), len(alphabet) // 8 + 1)
+        start = F.struct(counts.alias("counts"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"), F.lit(0).alias("seen"))
+        return F.aggregate(F.arrays_zip(code.alias("new"), old.alias("old")), start, step, lambda acc: acc["best"])
+
+    return _let(F.transform(F.split(s, ""), lambda ch: F.instr(F.lit(alphabet), ch) - 1), scan)
+
+
+def _is_secret(candidate: Column, alphabet: str, least: float) -> Column:
+    """A window's entropy is at most the logarithm of its different characters, so strings of too few are not scanned."""
+    near = rf"(?i).{{0,{NEAR}}}(?:{ALLOW_WORDS}).{{0,{NEAR}}}"
+    parts = F.when(candidate.rlike(f"(?i){ALLOW_WORDS}"), F.split(candidate, near, -1)).otherwise(F.array(candidate))
+    many = math.ceil(2**least - 1e-9)
+    high = F.exists(parts, lambda p: (F.length(p) >= WINDOW) & (F.size(F.array_distinct(F.split(p, ""))) >= many) & (entropy(p, alphabet) >= least))
+    return ~candidate.rlike(ALLOW_FORMS) & high
+
+
+def _runs(text: Column) -> Column:
+    """Place and characters of each run."""
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<at:long,s:string>>").alias("out"))
+
+    def step(acc, part):
+        run = F.struct(acc["at"].alias("at"), part.alias("s"))
+        out = F.when(part.rlike(RUN), F.concat(acc["out"], F.array(run))).otherwise(acc["out"])
+        return F.struct((acc["at"] + F.length(part)).alias("at"), out.alias("out"))
+
+    return F.aggregate(F.split(text, RUN_EDGES, -1), start, step, lambda acc: acc["out"])
+
+
+def _in_run(run: Column) -> Column:
+    """Spans of all kinds but assignments in a run; of base kinds first."""
+    always = lambda m: F.lit(True)
+    kinds = [("access", ACCESS, always), ("hex", HEX, always)]
+    kinds += [(kind, pattern, lambda m, a=alphabet, t=least: _is_secret(m, a, t)) for kind, (alphabet, pattern, least) in CLASSES.items()]
+    return F.concat(*(F.when(run["s"].rlike(pattern), _places(run["s"], run["at"], pattern, keep, kind, 1 + k)).otherwise(_none()) for k, (kind, pattern, keep) in enumerate(kinds)))
+
+
+def scan(docs: DataFrame, text: str = "text") -> tuple[DataFrame, str, str]:
+    """All columns of docs and two more, whose names are returned: base spans, and all spans; arrays of (start, ord, end, kind) in order."""
+    whole, low, found, base, spans = c.free_names(docs, "whole", "low", "found", "base", "spans")
+    out = docs.withColumn(whole, F.coalesce(F.col(c.quoted(text)), F.lit("")))
+    # each is used more than once below, so it has a column of its own
+    out = out.withColumn(low, F.lower(whole)).withColumn(found, F.when(F.col(whole).rlike(RUN), F.flatten(F.transform(_runs(F.col(whole)), _in_run))).otherwise(_none()))
+    hinted = F.lit(False)
+    for hint in ASSIGN_HINTS:
+        hinted |= F.contains(F.col(low), F.lit(hint))
+    assign = _places(F.col(whole), F.lit(0), ASSIGN, lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= 6, "assign", 0)
+    out = out.withColumn(base, F.array_sort(F.concat(F.when(hinted, assign).otherwise(_none()), F.filter(found, lambda s: s["ord"] <= 2))))
+    apart = F.flatten(F.transform(F.filter(found, lambda s: s["ord"] > 2), lambda m: _apart(m, F.col(base))))
+    return out.withColumn(spans, F.array_sort(F.concat(F.col(base), apart))).drop(whole, low, found), base, spans
 
 
 def _apart(span: Column, base: Column) -> Column:
     """The parts of a span that no base span (they are in order) covers."""
 
     def part(start: Column, end: Column) -> Column:
-        one = F.struct(start.alias("start"), end.alias("end"), span["ord"].alias("ord"), span["kind"].alias("kind"))
-        return F.when(start < end, F.array(one)).otherwise(_none())
+        return F.when(start < end, F.array(_span(start, end, span["ord"], span["kind"]))).otherwise(_none())
 
     def step(acc, b):
         out = F.concat(acc["out"], part(acc["at"], F.least(b["start"], span["end"])))
         return F.struct(F.greatest(acc["at"], b["end"]).alias("at"), out.alias("out"))
 
     start = F.struct(span["start"].alias("at"), _none().alias("out"))
-    return F.aggregate(base, start, step, lambda acc: F.concat(acc["out"], part(acc["at"], span["end"])))
+    near = F.filter(base, lambda b: (b["end"] > span["start"]) & (b["start"] < span["end"]))
+    return F.aggregate(near, start, step, lambda acc: F.concat(acc["out"], part(acc["at"], span["end"])))
 
 
 def joined(spans: Column) -> Column:
@@ -138,27 +187,37 @@ def joined(spans: Column) -> Column:
 
 def report(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans of each document."""
-    found = scan(docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")))
+    found, base, spans = scan(docs.select(F.col(c.quoted(id_col)).alias("doc_id"), F.col(c.quoted(text)).alias("text")))
 
     def count(kind: str) -> Column:
-        return F.size(F.filter("__base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
-    return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(joined(F.col("__base")), 256).alias("base_sha256"), joined(F.col("__spans")).alias("spans"))
+    return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(joined(F.col(base)), 256).alias("base_sha256"), joined(F.col(spans)).alias("spans"))
 
 
 def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", length: str | None = "n_chars") -> DataFrame:
-    """Documents with every span (overlapping ones as one) replaced by ``mark``; ``length`` is brought up to date."""
-    body = F.col(f"`{text}`")
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+    """Documents with every span (overlapping ones as one) replaced by ``mark``; ``length``, if there, is brought up to date."""
+    found, _, spans = scan(docs, text)
+    (clean,) = c.free_names(found, "clean")
+    body = F.col(c.quoted(text))
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(acc, s):
         fresh = s["start"] >= acc["at"]
         before = F.substr(body, (acc["at"] + 1).cast("int"), F.greatest(F.lit(0), s["start"] - acc["at"]).cast("int"))
-        out = F.when(fresh, F.concat(acc["out"], before, F.lit(mark))).otherwise(acc["out"])
+        out = F.when(fresh, F.concat(acc["out"], F.array(before, F.lit(mark)))).otherwise(acc["out"])
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
 
-    clean = F.aggregate("__spans", start, step, lambda acc: F.concat(acc["out"], F.substr(body, (acc["at"] + 1).cast("int"))))
-    new = F.when(F.size("__spans") > 0, clean).otherwise(body)
-    out = scan(docs, text).withColumn("__text", new)
-    cols = [F.col("__text").alias(x) if x == text else F.when(F.size("__spans") > 0, F.length("__text").cast(docs.schema[x].dataType)).otherwise(F.col(f"`{x}`")).alias(x) if x == length else F.col(f"`{x}`") for x in docs.columns]
-    return out.select(*cols)
+    pieces = F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.array(F.substr(body, (acc["at"] + 1).cast("int")))))
+    some = F.size(spans) > 0
+    out = found.withColumn(clean, F.when(some, F.array_join(pieces, "")).otherwise(body))
+
+    def column(name: str) -> Column:
+        own = F.col(c.quoted(name))
+        if name == text:
+            own = F.col(clean)
+        elif name == length:
+            own = F.when(some, F.length(clean).cast(docs.schema[name].dataType)).otherwise(own)
+        return own.alias(name)
+
+    return out.select(*map(column, docs.columns))

@@ -252,6 +252,48 @@ def test_secrets_are_found_whole(spark):
     assert [r["spans"] for r in secrets.report(docs_of(spark, plain)).orderBy("doc_id").collect()] == ["", "", "hex:7:39"]
 
 
+def brute_added(x):
+    """All spans by trying every window of every candidate, without runs, counts or places summed up."""
+    covered = [tuple(map(int, b.split(":")[1:])) for b in brute_secrets(x).split(",") if b]
+    found = [(int(b.split(":")[1]), 0, int(b.split(":")[2]), b.split(":")[0]) for b in brute_secrets(x).split(",") if b]
+    for k, (kind, (_, pattern, least)) in enumerate(secrets.CLASSES.items()):
+        for m in re.finditer(pattern, x):
+            v = m[0]
+            if re.search(secrets.ALLOW_FORMS, v):
+                continue
+            parts = re.split(rf"(?i).{{0,{secrets.NEAR}}}(?:{secrets.ALLOW_WORDS}).{{0,{secrets.NEAR}}}", v)
+            windows = [p[i : i + 20] for p in parts for i in range(len(p) - 19)]
+            if any(-sum(n / 20 * np.log2(n / 20) for n in Counter(w).values()) >= least for w in windows):
+                at = m.start()
+                for a, b in sorted(covered):
+                    if b > m.start() and a < m.end():
+                        found += [(at, 4 + k, a, kind)] if at < a else []
+                        at = max(at, b)
+                found += [(at, 4 + k, m.end(), kind)] if at < m.end() else []
+    return ",".join(f"{k}:{s}:{e}" for s, _, e, k in sorted(found))
+
+
+def test_added_spans(spark, texts):
+    rng, alphabets = random.Random(6), ["0123456789abcdef", "0123456789ABCDEF", "abcdefghijklmnopqrstuvwxyz234567", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-", "ab", "abcdefgh1", "AbC"]
+    glue = [" ", "/", "-", "_", "=", ".", "é", "😀", "\n", "example", " token=", "AKIA", "", "xXxX"]
+
+    def part():
+        a = rng.choice(alphabets)
+        return "".join(rng.choice(rng.choice(alphabets) if rng.random() < 0.05 else a) for _ in range(rng.randrange(60))) + rng.choice(glue)
+
+    own = ["".join(part() for _ in range(rng.randrange(1, 9))) for _ in range(400)]
+    own += ["a" * 64 + "7Zq9Xw3Lk8" + "mN1pQ2rS5tUv", "q" * 40 + "7Zq9Xw3Lk8Pq", "wkdjfhgbvncmxlsoqpeirutyaz" * 3 + "7Zq9Xw3Lk8", "".join(rng.choice(alphabets[4]) for _ in range(3000)), "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"]
+    got = secrets.report(docs_of(spark, own)).orderBy("doc_id").collect()
+    assert [r["spans"] for r in got] == [brute_added(x) for x in own]
+    assert sum(":" in r["spans"] for r in got) > 100 and got[-3]["spans"] == "entropy_base64:0:88" and not got[-1]["spans"]
+
+
+def test_secrets_beside_clashing_names(spark):
+    rows = [(1, "see Ab3dE5gH7jK9mN1pQ2rSx", 7, "x", "y", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __base int, __spans string, `a``b` string, n_chars long")
+    assert tuple(secrets.redact(df).first()) == (1, "see [SECRET]", 7, "x", "y", 12)
+
+
 def test_entropy(spark):
     s = "aabbccddeeffgghhiijj0123456789abcdefghij"
     got = spark.range(1).select(secrets.entropy(F.lit(s), secrets.CLASSES["entropy_base64"][0])).first()[0]
