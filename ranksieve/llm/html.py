@@ -2,15 +2,19 @@
 
 A page becomes a tree of elements whose leaves are blocks of text. Each block that is long enough
 gives points (one, one a comma, one a hundred characters up to three) to its parent, half of them
-to its grandparent, and a third, a quarter, ... further up; a container's points are multiplied
-by one less its link density. The best container, or the whole article or else main that it lies
-in, is kept with those siblings that score a fifth of the best or are long paragraphs with few links. Menus, headers and footers of the page, sidebars,
-notices, adverts, forms, scripts, styles and reader comments, known by element, role or words of
-their class and id, never count nor stay.
+to its grandparent, and a sixth, a ninth, ... to the next of LEVELS ancestors; a container's points are
+multiplied by one less its link density. The best container, or the whole article or else main that it lies
+in, is kept with those siblings that score a fifth of the best or are long paragraphs with few links.
+
+Menus, footers, sidebars and the like that an element or role states never count nor stay. A class or id
+drops an element only if all its words say so (cookie-notice, but not no-sidebar or social-science) and most
+of the page's text, or an article or main, lies elsewhere; so with headers of the page and forms. Reader comments
+go even where they are most of a page that has another text. Other names with such words (has-sidebar) drop an element only if it
+mostly links or holds a form.
 
 Cases: null or empty html, and pages without text, give an empty text; unclosed or misplaced tags,
 broken references and unclosed scripts are read as browsers do, roughly; repeated pages are
-extracted each; texts are never cut.
+extracted each; texts are never cut; time is linear in a page's length, however deep its elements.
 """
 
 from __future__ import annotations
@@ -24,17 +28,20 @@ from pyspark.sql import functions as F
 
 from . import common as c
 
-#: Shortest block, in characters, that gives points.
-SHORTEST = 25
+#: Shortest block, in characters, that gives points, and the ancestors that get them.
+SHORTEST, LEVELS = 25, 6
 
 _RAW = "script|style|noscript|template|svg|iframe|select|textarea|object|canvas"
+#: Comments, declarations, raw elements whole, and tags; a tag's attributes hold no "<" that could begin another tag, so
+#: one that is never closed is given up at the next. The last form is for tags of uneven quotes.
 _TOKEN = re.compile(
-    rf"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<({_RAW})\b[^>]*+(?:(?<=/)>|>.*?(?:</\1\s*>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*')*+)>|</?[a-zA-Z][^>]*>""",
+    rf"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(?:{_RAW})\b[^>]*+(?:(?<=/)>|>.*?(?:</(?:{_RAW})\s*+>|\Z)|\Z)"""
+    r"""|<(/?)([a-zA-Z][^\s/<>]*+)((?:[^"'<>]|"[^"]*"|'[^']*'|<(?![a-zA-Z/!?]))*+)(?:>|\Z)|<(/?)([a-zA-Z][^\s/<>]*+)([^<>]*+)(?:>|\Z)""",
     re.S | re.I,
 )
 _BLOCK = set("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul head".split())
 _VOID = {"hr"}
-_OUT = set("aside button dialog footer form head menu nav title".split())
+_OUT = set("aside button dialog footer head menu nav title".split())
 #: What an opening element ends if it is open: paragraphs end at any block.
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 _HOLDS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr"}, "th": {"tr"}}
@@ -47,6 +54,9 @@ _WORD = set(
 #: Words that an article's own parts may have as names, and words that tell nothing beside others.
 _DOUBT = set("advertising comment consent cookie cookies discussion footer header login menu menus navigation notice notices notification notifications pagination promotion recommended related replies reply respond responses search share sharing social".split())
 _PLAIN = set("area bar block box container inner list section slot unit wrap wrapper".split())
+#: Beside them, words of place; and words of what readers write.
+_PLACE = set("bottom left main page right site top".split())
+_READERS = set("comment comments discussion disqus replies reply respond responses".split())
 _NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)(?:hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none)""", re.I)
 _HEADING = re.compile("h[1-6]")
@@ -55,55 +65,51 @@ _PRIOR = {"article": 25.0, "main": 15.0, "section": 5.0, "div": 5.0, "blockquote
 
 
 class _Node:
-    __slots__ = ("chars", "doubt", "form", "links", "out", "parent", "points", "tag")
+    __slots__ = ("article", "chars", "depth", "doubt", "form", "gone", "inside", "links", "out", "parent", "points", "readers", "sure", "tag", "top")
 
     def __init__(self, tag: str, parent: _Node | None, out: bool):
-        self.tag, self.parent, self.out = tag, parent, out
-        self.points, self.chars, self.links = None, 0, 0
-        self.doubt = self.form = False
+        self.tag, self.parent, self.out, self.gone = tag, parent, out, out
+        self.depth = parent.depth + 1 if parent is not None else 0
+        self.inside = tag in ("article", "main") or (parent is not None and parent.inside)
+        self.points, self.chars, self.links, self.article, self.top = None, 0, 0, 0, None
+        self.doubt = self.form = self.sure = self.readers = False
 
-    def dropped(self) -> bool:
-        """Unwanted, or in an element of a doubtful name that mostly links or holds a form."""
-        return self.out or any(x.doubt and (x.form or 2 * x.links > x.chars) for x in _above(self))
+    def density(self) -> float:
+        return self.links / self.chars if self.chars else 0.0
 
     def score(self) -> float:
-        return (self.points or 0.0) * (1 - self.links / self.chars if self.chars else 1.0)
+        return (self.points or 0.0) * (1 - self.density())
 
 
-def _unwanted(tag: str, attributes: str, inside: bool) -> bool:
-    """``inside``: within an article, where a header belongs to the article."""
-    if tag in _OUT or (tag == "header" and not inside):
-        return True
+def _names(node: _Node, attributes: str) -> None:
+    """What an element's attributes and name say of it; ``inside`` an article, where a header belongs to the article."""
+    tag, inside = node.tag, node.parent.inside
+    node.sure = tag == "form" or (tag == "header" and not inside)
     if not attributes or tag in ("html", "body", "article", "main"):
-        return False
+        return
     for m in _NAMES.finditer(attributes):
         value = (m[2] or m[3] or m[4] or "").lower()
         if m[1].lower() == "role":
-            if _ROLE & set(value.split()):
-                return True
-        elif not inside:
-            if _WORD & set(_PARTS.findall(value)):
-                return True
-        elif not _HEADING.fullmatch(tag) and any(_sure(set(_PARTS.findall(x))) for x in value.split()):
-            return True
-    return bool(_HIDDEN.search(attributes))
-
-
-def _sure(words: set[str]) -> bool:
-    """Whether a name within an article can only be of an unwanted part."""
-    return bool(words & (_WORD - _DOUBT)) and words <= _WORD | _PLAIN
-
-
-def _doubtful(tag: str, attributes: str) -> bool:
-    if _HEADING.fullmatch(tag) or tag in ("article", "main"):
-        return False
-    return any(m[1].lower() != "role" and (_WORD - {"header"}) & set(_PARTS.findall((m[2] or m[3] or m[4] or "").lower())) for m in _NAMES.finditer(attributes))
-
-
-def blocks(page: str) -> list[tuple[str, _Node]]:
-    """The page's blocks of text in order, each with its element, and the tree above them."""
+            node.out = node.out or bool(_ROLE & set(value.split()))
+        elif not (inside and _HEADING.fullmatch(tag)):
+            for name in value.split():
+                words = set(_PARTS.findall(name))
+                own = words & _WORD
+                if not own:
+                    continue
+                plain = words <= (_WORD | _PLAIN if inside else _WORD | _PLAIN | _PLACE)
+                if plain and (not inside or own - _DOUBT):
+                    node.sure, node.readers = True, node.readers or bool(own & _READERS)
+                elif not _HEADING.fullmatch(tag) and not own <= {"header"}:
+                    node.doubt = True
+    node.out = node.out or bool(_HIDDEN.search(attributes))
+
+
+def blocks(page: str) -> tuple[list[tuple[str, _Node]], list[_Node]]:
+    """The page's blocks of text in order, each with its element, and all elements, parents first."""
     root = _Node("html", None, False)
-    stack, out, held, link = [root], [], [], 0
+    nodes, stack, out, held, link = [root], [root], [], [], 0
+    places: dict[str, list[int]] = {}  # of open elements in the stack, by tag
     chars = 0
 
     def flush() -> None:
@@ -111,17 +117,18 @@ def blocks(page: str) -> list[tuple[str, _Node]]:
         text = " ".join("".join(held).split())
         held.clear()
         if text:
-            out.append((text, stack[-1]))
             node = stack[-1]
-            while node is not None:
+            out.append((text, node))
+            if not node.out:
                 node.chars += len(text)
                 node.links += min(chars, len(text))
-                node = node.parent
         chars = 0
 
     def pop(k: int) -> None:
         nonlocal link
         flush()
+        for node in stack[k:]:
+            places[node.tag].pop()
         del stack[k:]
         link = 0
 
@@ -132,21 +139,25 @@ def blocks(page: str) -> list[tuple[str, _Node]]:
         if link:
             chars += len(text.strip())
 
+    def last(tags) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
     at = 0
     for m in _TOKEN.finditer(page):
         if m.start() > at:
             take(page[at : m.start()])
         at = m.end()
-        tag = (m[3] or "").lower()
+        tag = (m[2] or m[5] or "").lower()
         if not tag:
             continue
+        closing = m[1] or m[4]
         if tag == "br":
             held.append("\n")
         elif tag == "a":
-            link = 0 if m[2] else 1
+            link = 0 if closing else 1
         elif tag in _BLOCK:
-            if m[2]:
-                k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag), 0)
+            if closing:
+                k = last((tag,))
                 if k:
                     pop(k)
                 else:
@@ -155,81 +166,83 @@ def blocks(page: str) -> list[tuple[str, _Node]]:
             flush()
             if tag in ("html", "body") and len(stack) > 1 and stack[-1].tag != "head":
                 continue
-            k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == "p"), 0)
-            if k and all(x.tag == "p" for x in stack[k:]):
+            if stack[-1].tag == "p":
+                pop(len(stack) - 1)
+            if tag in _ENDS and (k := last(_ENDS[tag])) > last(_HOLDS[tag]):
                 pop(k)
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag in _HOLDS.get(tag, ()):
-                    break
-                if stack[k].tag in _ENDS.get(tag, ()):
-                    pop(k)
-                    break
             if tag == "body" and stack[-1].tag == "head":
                 pop(len(stack) - 1)
             if tag in _VOID:
                 continue
             above = stack[-1]
-            inside = any(x.tag in ("article", "main") for x in stack)
-            stack.append(_Node(tag, above, above.out or _unwanted(tag, m[4] or "", inside)))
-            stack[-1].doubt = inside and _doubtful(tag, m[4] or "")
-            if tag == "form":
-                for x in stack:
-                    x.form = True
+            node = _Node(tag, above, above.out or tag in _OUT)
+            _names(node, m[3] or m[6] or "")
+            node.form = tag == "form"
+            places.setdefault(tag, []).append(len(stack))
+            stack.append(node)
+            nodes.append(node)
     if at < len(page):
         take(page[at:])
     flush()
-    return out
+    return out, nodes
+
+
+def _judge(nodes: list[_Node]) -> None:
+    """Sums of texts, links and forms over what an element holds; then which elements go."""
+    for node in reversed(nodes):
+        if node.tag in ("article", "main"):
+            node.article = node.chars
+        if node.parent is not None:
+            node.parent.article += node.article
+            node.parent.chars += node.chars
+            node.parent.links += node.links
+            node.parent.form = node.parent.form or node.form
+    total, articles = nodes[0].chars, nodes[0].article
+    for node in nodes:
+        up = node.parent is not None and node.parent.gone
+        minor = 2 * node.chars <= total or (node.readers and node.chars < total) or (not node.inside and node.article < articles)
+        node.gone = up or node.out or (node.sure and minor) or (node.doubt and (node.form or 2 * node.links > node.chars) and minor)
 
 
 def extract(page: str | None) -> str:
     """The main text: its blocks in page order, one space between them."""
-    found = [(t, n) for t, n in blocks(page or "") if not n.dropped()]
+    found, nodes = blocks(page or "")
+    _judge(nodes)
+    found = [(t, n) for t, n in found if not n.gone]
     if not found:
         return ""
     for text, node in found:
         if len(text) < SHORTEST:
             continue
-        density = node.links / node.chars if node.chars else 0.0
-        points = (1 + text.count(",") + min(len(text) // 100, 3)) * (1 - density)
-        up = node.parent if node.tag in ("p", "pre", "td", "blockquote") or node.tag[:1] == "h" and len(node.tag) == 2 else node
-        level = 0
-        while up is not None:
+        points = (1 + text.count(",") + min(len(text) // 100, 3)) * (1 - node.density())
+        up = node.parent if node.tag in ("p", "pre", "td", "blockquote") or _HEADING.fullmatch(node.tag) else node
+        for level in range(LEVELS):
+            if up is None:
+                break
             if up.points is None:
                 up.points = _PRIOR.get(up.tag, 0.0)
             up.points += points if level == 0 else points / (2 if level == 1 else level * 3)
-            up, level = up.parent, level + 1
-    scored: dict[int, _Node] = {}
-    for _, node in found:
-        while node is not None:
-            if node.points is not None:
-                scored[id(node)] = node
-            node = node.parent
+            up = up.parent
+    scored = [n for n in nodes if n.points is not None]
     if scored:
-        best = max(scored.values(), key=_Node.score)
+        best = max(scored, key=lambda n: (n.score(), n.depth))
     else:  # nothing long enough
-        best = next((x for _, n in found for x in _above(n) if x.tag in ("article", "main")), None)
+        best = next((x for _, n in found if n.inside for x in _above(n) if x.tag in ("article", "main")), None)
         if best is None:
             return " ".join(t for t, _ in found)
     least = best.score() / 5
     best = _whole(best)
     least = max(10.0, least, best.score() / 5)
-    keep: dict[int, bool] = {}
-    out = []
-    for text, node in found:
-        top = node
-        for x in _above(node):
-            if x is best or x.parent is best.parent:
-                top = x
-                break
-        else:
-            continue
-        ok = keep.get(id(top))
-        if ok is None:
-            density = top.links / top.chars if top.chars else 0.0
-            ok = keep[id(top)] = top is best or (best.parent is not None and (top.score() >= least or (top.tag == "p" and top.chars > 80 and density < 0.25)))
-        if ok:
-            out.append(text)
-    return " ".join(out)
+    for node in nodes:  # top: the element beside the best, or the best itself, that a node lies in
+        if node is best or (best.parent is not None and node.parent is best.parent):
+            node.top = node
+        elif node.parent is not None:
+            node.top = node.parent.top
+
+    def kept(top: _Node | None) -> bool:
+        return top is not None and (top is best or top.score() >= least or (top.tag == "p" and top.chars > 80 and top.density() < 0.25))
+
+    return " ".join(text for text, node in found if kept(node.top))
 
 
 def _whole(node: _Node) -> _Node:

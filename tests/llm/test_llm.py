@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -364,6 +365,29 @@ def test_html_names_inside_articles():
     assert html.extract(f"<article><p>{long}<math>never closed</p><p>{long}</p></article>").count("Some long") == 2
 
 
+def test_html_names_around_articles():
+    body = "Some long paragraph, with commas, and enough words to score well in any page."
+    part = f"<div><h1>Head</h1>{f'<p>{body}</p>' * 3}</div>"
+    want = " ".join(["Head", *[body] * 3])
+    for name in ("no-sidebar", "content has-sidebar", "layout-with-header", "post-with-comments", "page-ads-free", "social-science", "widget", "wrap comments-closed"):
+        assert html.extract(f'<body><nav>menu</nav><div class="{name}">{part}</div><footer>f</footer>') == want, name
+        assert html.extract(f'<body><form id="aspnetForm"><div id="{name}">{part}</div></form>') == want, name
+    for name in ("sidebar", "left-sidebar", "page-footer", "cookie-notice box", "comments", "related", "site-header"):
+        assert html.extract(f'<body>{part}<div class="{name}"><p>{body} {body}</p></div>') == want, name
+    readers = f'<div class="comments">{f"<div><p>{body}</p></div>" * 9}</div>'
+    assert html.extract(f"<body>{part}{readers}") == want == html.extract(f"<body><article>{part}</article>{readers}")
+
+
+def test_html_is_linear():
+    body = "Some long paragraph, with commas, and enough words to score well in any page. "
+    n = 40_000
+    pages = ["<a " * 8 * n, "<div>" * 5 * n, "<div>text, x " * 2 * n, "<div>" * n + "<li></li>" * n, "<a '<b \"" * 2 * n, "<script " * 3 * n, "<!--" * 3 * n, "<td><tr>" + "<div>" * n + "<td></td>" * n, "<form>" * 3 * n + body, "<div>" * n + "</p>x" * n, "&" * 8 * n, "<" * 8 * n]
+    for page in pages:
+        began = time.process_time()
+        html.extract(page)
+        assert time.process_time() - began < 5, page[:30]
+
+
 # ---------------------------------------------------------------- pipeline
 def test_pipeline(spark, tmp_path, texts):
     rng = random.Random(11)
