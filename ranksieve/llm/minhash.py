@@ -5,17 +5,21 @@ signature is a one-permutation MinHash: a shingle's upper bits name its coordina
 coordinate keeps its least hash, and that hash, which contains the coordinate, is the token a
 document is posted under. Of U coordinates that either of two documents fills, those with equal
 tokens are a draw without replacement from the union of the sets; so a pair of similarity t shares
-t*U tokens but for Z standard deviations of the hypergeometric law (``least_shared``).
+fewer than ``least_shared`` tokens with a probability of at most MISS, by the hypergeometric law.
 
 1. Documents with equal sets form a class; classes, not copies, are compared.
 2. Tokens are counted. A class's tokens are ordered rarest first; sharing m of e tokens means
-   sharing one of the first e-m+1 (prefix), so only those are posted, and only if two classes have them.
-3. In each posting list the most central class is pivot; every other is paired with it once.
-   Pairs that share enough tokens are confirmed on full sets; confirmed ones are links.
-4. Lists that components leave whole are done with (skipped). In the rest, classes outside a
-   list's largest component are paired with those of other components, each pair in the list of
-   its first common prefix token only, if sizes, shared tokens and, for small sets, the sets themselves allow a link; then confirmed.
-   So no pair of different components goes untried, while pairs inside one are never made.
+   sharing one of the first e-m+1 (prefix), so only those are posted, and only if two classes have them;
+   the m-1 longest lists of a class are skipped.
+3. In each posting list the most central class is pivot; every other is paired with it once. Collisions
+   of a pair are counted, the skipped lists being probed for it alone; pairs with enough of them are
+   confirmed on full sets; confirmed ones are links.
+4. Lists that components leave whole are done with. Classes of the other lists are joined once more, on
+   prefixes of their full sets: rarest shingles first, of two sets of n <= m shingles the smaller one is
+   posted under its first n - ceil(2tn/(1+t)) + 1 and looked up by the larger one's first m - ceil(tm) + 1, which
+   every link has in common. Pairs of different components whose places allow a link are
+   confirmed. So no pair of different components goes untried, pairs inside one are never made, and texts
+   of one template that stay below the similarity, however many, have only shingles of their own there.
 5. Components come from label propagation with pointer jumping.
 
 Nothing is collected to the driver but counts. Tables between steps go to the shared folder.
@@ -30,10 +34,11 @@ from __future__ import annotations
 
 import hashlib
 import math
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common as c
@@ -41,24 +46,37 @@ from . import common as c
 WIDTH = 5
 #: Coordinates of a signature; a power of two.
 COORDINATES = 128
-#: Standard deviations that a link's shared tokens may stay below their mean.
-Z = 4.5
+#: Highest probability that a pair at the threshold shares fewer tokens than are asked for.
+MISS = 1e-6
 #: Most rows that are broadcast (ids or digests of at most 24 bytes).
 BROADCAST_ROWS = 200_000
 #: Rows of a posting list that one task compares with.
 LIST_BLOCK = 1024
-#: Largest set that step 4 compares whole, as 31-bit hashes, of which so many may coincide.
-FINE, SLACK = 512, 2
+#: Part of all rows that a class's copies may be before its rows are joined apart, so there are at most 1/HOT such classes.
+HOT = 0.001
 
 _WORDS = c.Words(c.SPACED, fold=True)
+_log_factorials = np.zeros(1)
 
 
+def _log_choose(n: int, k: np.ndarray | int) -> np.ndarray:
+    """Logarithms of binomial coefficients; -inf where there is none."""
+    global _log_factorials
+    if n >= len(_log_factorials):
+        _log_factorials = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, 2 * n + 2)))])
+    f, k = _log_factorials, np.asarray(k)
+    ok = (k >= 0) & (k <= n)
+    k = np.where(ok, k, 0)
+    return np.where(ok, f[n] - f[k] - f[n - k], -np.inf)
+
+
+@lru_cache(maxsize=1 << 17)
 def least_shared(filled: int, size: int, percent: int) -> int:
-    """Tokens that a class with ``filled`` of them and ``size`` shingles shares with any linked one, at least."""
-    t = percent / 100
-    union = size / t
-    spread = filled * t * (1 - t) * max(0.0, union - filled) / max(1.0, union - 1)
-    return max(1, math.ceil(t * filled - Z * math.sqrt(spread) - 1e-9))
+    """Tokens that a class with ``filled`` of them and ``size`` shingles shares with any linked one, but for MISS."""
+    union = 100 * size // percent
+    k = np.arange(filled + 1)
+    chance = np.exp(_log_choose(size, k) + _log_choose(union - size, filled - k) - _log_choose(union, filled))
+    return max(1, int(np.searchsorted(np.cumsum(chance), MISS, side="right")))
 
 
 def shingles(hashes: np.ndarray) -> np.ndarray:
@@ -128,14 +146,53 @@ def _full_sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str
     return out
 
 
-def _confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text: str, percent: int) -> DataFrame:
+def _confirm(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """Of pairs (a, b) of classes, those whose full sets reach the similarity."""
-    full = _full_sets(pairs.select(F.explode(F.array("a", "b")).alias("node")), nodes, docs, id_col, text)
-    left = pairs.join(full.df.select(F.col("node").alias("a"), F.col("items").alias("x")), "a")
-    both = left.join(full.df.select(F.col("node").alias("b"), F.col("items").alias("y")), "b")
+    left = pairs.join(full.select(F.col("node").alias("a"), F.col("items").alias("x")), "a")
+    both = left.join(full.select(F.col("node").alias("b"), F.col("items").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y")).cast("long")
-    out = c.Stage(both.where(100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select("a", "b"), "minhash-links")
-    full.drop()
+    return c.Stage(both.where(100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select("a", "b"), "minhash-links").df
+
+
+def _by_rarity(sets: DataFrame, keys: list[str], own: str) -> DataFrame:
+    """keys and s: what two or more of the rows have of the array ``own``, as (often, token), rarest first."""
+    tokens = sets.select(*keys, F.explode(own).alias("token"))
+    often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    return tokens.join(often, "token").groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("often", "token"))).alias("s"))
+
+
+def _open_pairs(sets: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that the prefixes of their full sets and the places in them leave open."""
+    sized = sets.select("node", F.size("items").alias("n"), "items")
+    shared = _by_rarity(sized, ["node", "n"], "items").join(label, "node", "left")
+    alone = F.col("n") - F.size("s")  # shingles that no other set has come first
+    index = F.col("n") - F.ceil(2 * percent * F.col("n") / (100 + percent)) + 1
+    probe = F.col("n") - F.ceil(percent * F.col("n") / 100) + 1
+    posts = shared.select("node", "n", F.coalesce("label", "node").alias("label"), (index - alone).alias("index"), alone.alias("alone"), F.posexplode(F.slice("s.token", 1, F.greatest(F.lit(0), probe - alone).cast("int"))))
+    posts = posts.select("node", "n", "label", (F.col("pos") < F.col("index")).alias("posted"), (F.col("pos") + F.col("alone") + 1).alias("at"), F.col("col").alias("token"))
+    posts = c.Stage(posts, "minhash-prefixes")
+    sizes = posts.df.groupBy("token", "label").agg(F.count(F.lit(1)).alias("k"))
+    mixed = sizes.groupBy("token").agg(F.max(F.struct("k", "label")).alias("m"), F.sum("k").alias("k"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
+    mixed = mixed.select("token", F.col("m.label").alias("major"), F.ceil(F.col("k") / LIST_BLOCK).cast("int").alias("blocks"))
+    listed = c.Stage(posts.df.join(mixed, "token").withColumn("minor", F.col("label") != F.col("major")), "minhash-lists")
+    x = listed.df.where("posted").select("token", F.col("node").alias("a"), F.col("label").alias("ca"), F.col("n").alias("na"), F.col("at").alias("ia"), "minor", "blocks")
+    y = listed.df.select("token", F.col("node").alias("b"), F.col("label").alias("cb"), F.col("n").alias("nb"), F.col("at").alias("ib"), F.col("minor").alias("other"), "blocks")
+
+    def block(of: str) -> Column:
+        return F.pmod(F.xxhash64(of), F.col("blocks")).cast("int").alias("block")
+
+    def every() -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+
+    smaller = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
+    most = F.least("ia", "ib") + F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib"))
+    fits = smaller & (F.col("ca") != F.col("cb")) & ((100 + percent) * most >= percent * (F.col("na") + F.col("nb")))
+    # of two classes one at least is outside the list's largest component
+    one = x.where("minor").select("*", every()).join(y.select("*", block("b")), ["token", "block"]).where(fits)
+    two = x.where("not minor").select("*", block("a")).join(y.where("other").select("*", every()), ["token", "block"]).where(fits)
+    out = c.Stage(one.select("a", "b").union(two.select("a", "b")).distinct(), "minhash-rest")
+    posts.drop()
+    listed.drop()
     return out.df
 
 
@@ -159,15 +216,12 @@ def components(links: DataFrame) -> DataFrame:
 def groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = 85, coordinates: int = COORDINATES) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: a row for each document."""
     sk = c.Stage(sketches(docs, id_col, text, percent, coordinates), "minhash-sketches")
-    nodes = sk.df.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"))
+    nodes = sk.df.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     nodes = c.Stage(nodes.withColumn("node", F.monotonically_increasing_id()), "minhash-nodes").df
 
     # tokens that two classes have, and from them what each class posts
     one = sk.df.join(nodes, (sk.df["cls"] == nodes["cls"]) & sk.df["doc_id"].eqNullSafe(nodes["rep"])).select("node", "n", "least", F.size("tokens").alias("filled"), "tokens")
-    tokens = one.select("node", F.explode("tokens").alias("token"))
-    often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
-    shared = tokens.join(often, "token").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("often", "token"))).alias("s"))
-    posts = shared.join(one.select("node", "n", "least", "filled"), "node").dropDuplicates(["node"])
+    posts = _by_rarity(one, ["node"], "tokens").join(one.select("node", "n", "least", "filled"), "node").dropDuplicates(["node"])
     prefix = F.greatest(F.lit(0), F.col("filled") - F.col("least") + 1 - (F.col("filled") - F.size("s")))
     posts = posts.where(F.size("s") >= F.col("least")).select(
         "node", "n", "least", F.col("s.token").alias("own"), prefix.alias("prefix"), F.aggregate("s.often", F.lit(0).cast("long"), lambda a, x: a + x).alias("central")
@@ -175,57 +229,61 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent:
     posts = c.Stage(posts, "minhash-posts")
     listed = posts.df.select("node", "central", F.explode(F.slice("own", 1, F.col("prefix"))).alias("token"))
 
-    # pivots
+    # pivots; skipped lists are probed for their pairs
     pivot = listed.groupBy("token").agg(F.max(F.struct("central", "node")).alias("p"), F.count(F.lit(1)).alias("k")).where("k > 1")
     pairs = listed.join(pivot, "token").where("node <> p.node").select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
     x = posts.df.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("least").alias("la"), F.col("own").alias("oa"))
     y = posts.df.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("least").alias("lb"), F.col("own").alias("ob"))
     fits = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (F.size(F.array_intersect("oa", "ob")) >= F.greatest("la", "lb"))
     pairs = c.Stage(pairs.join(x, "a").join(y, "b").where(fits).select("a", "b"), "minhash-pairs")
-    links = _confirm(pairs.df, nodes, docs, id_col, text, percent)
+    full = _full_sets(pairs.df.select(F.explode(F.array("a", "b")).alias("node")), nodes, docs, id_col, text)
+    links = _confirm(pairs.df, full.df, percent)
     label = components(links)
+    full.drop()
 
     # what pivots have left open
-    labelled = c.Stage(listed.join(label, "node", "left").select("token", "node", F.coalesce("label", "node").alias("label")), "minhash-lists")
-    sized = labelled.df.groupBy("token", "label").agg(F.count(F.lit(1)).alias("k"))
-    mixed = sized.groupBy("token").agg(F.max(F.struct("k", "label")).alias("m"), F.sum("k").alias("k"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
-    mixed = c.Stage(mixed.select("token", F.col("m.label").alias("major"), F.ceil(F.col("k") / LIST_BLOCK).cast("int").alias("blocks")), "minhash-mixed")
-    some = labelled.df.join(mixed.df, "token")
-    sets = _full_sets(some.select("node").join(posts.df.where(F.col("n") <= FINE).select("node"), "node"), nodes, docs, id_col, text)
-    fine = F.transform("items", lambda x: x.bitwiseAND(0x7FFFFFFF).cast("int"))
-    detail = c.Stage(posts.df.join(sets.df.select("node", fine.alias("fine")), "node", "left").select("node", "n", "least", "own", "prefix", "fine"), "minhash-detail")
-    sets.drop()
-    outer = some.where("label <> major").join(detail.df, "node").select(
-        "token", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("node").alias("a"), F.col("label").alias("ca"), F.col("major"), F.col("n").alias("na"), F.col("least").alias("la"), F.col("own").alias("oa"), F.col("prefix").alias("pa"), F.col("fine").alias("fa"))
-    inner = some.join(detail.df, "node").select(
-        "token", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), F.col("node").alias("b"), F.col("label").alias("cb"), F.col("n").alias("nb"), F.col("least").alias("lb"), F.col("own").alias("ob"), F.col("prefix").alias("pb"), F.col("fine").alias("fb"))
-    first = F.element_at(F.array_intersect(F.slice("oa", 1, F.col("pa")), F.slice("ob", 1, F.col("pb"))), 1) == outer["token"]
-    # small sets are compared whole; SLACK allows for hashes that meet in 31 bits
-    most = F.size(F.array_intersect("fa", "fb")).cast("long") + SLACK
-    close = F.when(F.col("fa").isNotNull() & F.col("fb").isNotNull(), 100 * most >= percent * (F.col("na") + F.col("nb") - most)).otherwise(F.lit(True))
-    once = (F.col("cb") == F.col("major")) | (F.col("a") < F.col("b"))
-    rest = outer.join(inner, (outer["token"] == inner["token"]) & (outer["block"] == inner["block"]) & (F.col("ca") != F.col("cb")) & once & fits & first & close)
-    rest = c.Stage(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "minhash-rest")
-    if rest.df.limit(1).count():
-        more = _confirm(rest.df, nodes, docs, id_col, text, percent)
+    labelled = listed.join(label, "node", "left").select("token", "node", F.coalesce("label", "node").alias("label"))
+    mixed = labelled.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
+    some = c.Stage(listed.select("token", "node").join(mixed, "token").select("node").distinct(), "minhash-open")
+    full = _full_sets(some.df, nodes, docs, id_col, text)
+    rest = _open_pairs(full.df, label, percent)
+    if rest.limit(1).count():
+        more = _confirm(rest, full.df, percent)
         if more.limit(1).count():
             label = components(links.union(more))
-    for stage in (posts, pairs, labelled, mixed, detail, rest):
+    for stage in (posts, pairs, some, full):
         stage.drop()
 
-    # a label for every class, then for every document
-    named = nodes.join(label, "node", "left").select("cls", "rep", F.coalesce("label", "node").alias("label"))
+    # a label for every class, then for every document; classes of very many copies are looked up apart
+    named = nodes.join(label, "node", "left").select("cls", "rep", "copies", F.coalesce("label", "node").alias("label"))
     least = named.groupBy("label").agg(F.min("rep").alias("component"))
-    of = c.Stage(named.join(least, "label").select(F.col("cls").alias("of"), "component"), "minhash-groups").df
-    out = sk.df.select("doc_id", "n", "cls").join(of, F.col("cls") == F.col("of"), "left")
+    of = c.Stage(named.join(least, "label").select(F.col("cls").alias("of"), "component", "copies"), "minhash-groups").df
+    many = F.lit(HOT) * (of.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]) < F.col("copies")
+    hot, rows = F.broadcast(of.where(many)), sk.df.select("doc_id", "n", "cls")  # fewer than 1/HOT
+    out = rows.join(hot, F.col("cls") == F.col("of"), "left_anti").join(of.where(~many), F.col("cls") == F.col("of"), "left").unionByName(rows.join(hot, F.col("cls") == F.col("of")))
     component = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
 
 
 def keep(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
-    """The document with the least id of each group, with all its columns.
+    """One document of each group, with all its columns: of the least id, null last, and of such rows any one.
 
-    Rows that repeat a kept id stay with it; rows whose id is null stay, as nothing names them.
+    Documents with the empty set are in no group and all stay.
     """
-    out = c.Stage(groups(docs, id_col, text, percent).where("not kept and doc_id is not null").select(F.col("doc_id").alias("__dropped")).distinct(), "minhash-dropped")
-    return docs.join(_small(out.df), F.col(id_col) == F.col("__dropped"), "left_anti")
+    dropped, row = c.free_names(docs, "dropped", "row")
+    found = c.Stage(groups(docs, id_col, text, percent), "minhash-found")
+    if found.df.where("n_shingles > 0").groupBy("doc_id").agg(F.count(F.lit(1)).alias("k")).where("k > 1 or doc_id is null").limit(1).count():
+        # ids do not tell rows apart, so rows get numbers
+        docs = c.Stage(docs.withColumn(row, F.monotonically_increasing_id()), "minhash-rows").df
+        by_row = groups(docs, row, text, percent).where("n_shingles > 0").select(F.col("doc_id").alias("r"), "component_id")
+        ids = docs.select(F.col(row).alias("r"), F.col(c.quoted(id_col)).alias("id"))
+        first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "r"))
+        named = c.Stage(by_row.join(ids, "r"), "minhash-named").df
+        one = named.groupBy("component_id").agg(first.alias("f")).select(F.col("f.r").alias("r"))
+        gone = named.join(one, "r", "left_anti").select(F.col("r").alias(dropped))
+        id_col = row
+    else:
+        gone = found.df.where("not kept and n_shingles > 0").select(F.col("doc_id").alias(dropped))
+    gone = c.Stage(gone, "minhash-dropped")
+    found.drop()
+    return docs.join(_small(gone.df), F.col(c.quoted(id_col)) == F.col(dropped), "left_anti").drop(row)
