@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,11 +13,14 @@ LINE_BREAK = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}]"
 SPACE = r"[\t-\r\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
 
+def let(value: Column, of: Callable[[Column], Column]) -> Column:
+    """``of`` a value that is computed once, also within lambdas."""
+    return F.element_at(F.transform(F.array(value), of), 1)
+
+
 def lines(text: Column) -> Column:
     """Lines of a text, without the empty one that a final break would leave."""
-    parts = F.split(text, LINE_BREAK, -1)
-    n = F.size(parts)
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, n - 1)).otherwise(parts)
+    return let(F.split(text, LINE_BREAK, -1), lambda x: F.when(F.element_at(x, -1) == "", F.slice(x, 1, F.size(x) - 1)).otherwise(x))
 
 
 def strip(text: Column) -> Column:
@@ -22,11 +28,16 @@ def strip(text: Column) -> Column:
 
 
 def is_header(line: Column, shortest: int = 3, longest: int = 80, letters: int = 3, upper: float = 0.8) -> Column:
-    """Short lines most of whose letters are capitals."""
-    own = strip(line)
-    n = F.length(F.regexp_replace(own, r"\P{L}", ""))
-    up = F.length(F.regexp_replace(own, r"\P{Lu}", ""))
-    return F.length(own).between(shortest, longest) & (n >= letters) & (up >= upper * n)
+    """Short lines most of whose letters are capitals. Lines of too few capitals are known at a glance."""
+    least = max(0, math.ceil(letters * upper - 1e-9))
+    glance = line.rlike(r"(?:\p{Lu}\P{Lu}*+)" + f"{{{least}}}")
+
+    def full(own: Column) -> Column:
+        n = F.length(F.regexp_replace(own, r"\P{L}", ""))
+        up = F.length(F.regexp_replace(own, r"\P{Lu}", ""))
+        return F.length(own).between(shortest, longest) & (n >= letters) & (up >= upper * n)
+
+    return F.when(glance, let(strip(line), full)).otherwise(F.lit(False))
 
 
 def slug(x: Column) -> Column:
@@ -86,3 +97,22 @@ def profile_units(markdown: Column, uses: str = "## Aplicações típicas", term
     """A unit a bullet of the uses, and one of all terms."""
     words = strip(section(markdown, terms))
     return F.concat(bullets(section(markdown, uses)), F.when(words != "", F.array(words)).otherwise(F.array().cast("array<string>")))
+
+
+def day_prefix(x: Column) -> Column:
+    """The date that a time begins with; null is ''."""
+    return F.substring(F.coalesce(x, F.lit("")), 1, 10)
+
+
+def compact_day(day: Column) -> Column:
+    """YYYYMMDD of YYYY-MM-DD."""
+    return F.replace(day, F.lit("-"), F.lit(""))
+
+
+def yesterday() -> Column:
+    return F.date_format(F.date_sub(F.current_date(), 1), "yyyy-MM-dd")
+
+
+def has_error_code(body: Column, code: str) -> Column:
+    """Whether a JSON object names an error; other texts do not."""
+    return F.coalesce(F.get_json_object(body, "$.error_code") == code, F.lit(False))

@@ -2,26 +2,39 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ranksieve.functions.names import quoted
+
 
 def greedy(rows: DataFrame, group: str, ord: str, tokens: str, most: int, budget: int) -> DataFrame:
     """group, ord, batch: a batch closes before the row that would exceed its count or its tokens; a larger row stands alone.
 
-    The fold needs a group's rows in order, so groups should be of bounded size (a call's texts).
+    Where a batch closes depends on all rows before it, so a group's rows pass one task, in order; the task holds a
+    batch's count and sum, never a group. Null tokens count as 0.
     """
-    listed = rows.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(F.col(ord).alias("o"), F.col(tokens).cast("long").alias("t")))).alias("l"))
-    none = F.array().cast("array<struct<o:bigint,b:int>>")
-    start = F.struct(F.lit(0).alias("b"), F.lit(0).alias("n"), F.lit(0).cast("long").alias("s"), none.alias("out"))
-
-    def step(acc, x):
-        full = (acc["n"] > 0) & ((acc["n"] >= most) | (acc["s"] + x["t"] > budget))
-        b = acc["b"] + F.when(full, 1).otherwise(0)
-        row = F.struct(x["o"].cast("long").alias("o"), b.cast("int").alias("b"))
-        return F.struct(b.alias("b"), F.when(full, 1).otherwise(acc["n"] + 1).alias("n"), F.when(full, x["t"]).otherwise(acc["s"] + x["t"]).alias("s"), F.concat(acc["out"], F.array(row)).alias("out"))
-
-    return listed.select(group, F.explode(F.aggregate("l", start, step, lambda a: a["out"])).alias("x")).select(group, F.col("x.o").alias(ord), F.col("x.b").alias("batch"))
+    own = rows.select(F.col(quoted(group)).alias("g"), F.col(quoted(ord)).alias("o"), F.coalesce(F.col(quoted(tokens)), F.lit(0)).cast("long").alias("t"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, batch, count, held = object(), 0, 0, 0
+        for part in batches:
+            out = []
+            for key, size in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), strict=True):
+                if key != now:
+                    now, batch, count, held = key, 0, 0, 0
+                elif count >= most or held + size > budget:
+                    batch, count, held = batch + 1, 0, 0
+                count, held = count + 1, held + size
+                out.append(batch)
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(out, pa.int32())], ["g", "o", "batch"])
+
+    kinds = [own.schema[k].dataType.simpleString() for k in ("g", "o")]
+    found = own.repartition("g").sortWithinPartitions("g", "o").mapInArrow(run, f"g {kinds[0]}, o {kinds[1]}, batch int")
+    return found.select(F.col("g").alias(group), F.col("o").alias(ord), "batch")
 
 
 def backoff(attempt: Column, base: float, cap: float | None = None, jitter: Column | None = None) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ranksieve.functions.names import free_names, quoted
+
 from .ranking import last_wins
 
 
@@ -25,12 +27,14 @@ def lookup(texts: DataFrame, cache: DataFrame, text: str = "text", ord: str = "o
 
 def stale(now: DataFrame, before: DataFrame, key: str, date: str) -> DataFrame:
     """Rows whose date differs from the processed one in any way, a missing one being ''."""
-    old = before.select(F.col(key).alias("__k"), F.col(date).alias("__d"))
-    joined = now.join(old, F.col(key) == F.col("__k"), "left")
-    changed = F.col("__k").isNull() | ~F.coalesce(F.col(date), F.lit("")).eqNullSafe(F.coalesce(F.col("__d"), F.lit("")))
-    return joined.where(changed).drop("__k", "__d")
+    k, d = free_names(now, "k", "d")
+    old = before.select(F.col(quoted(key)).alias(k), F.col(quoted(date)).alias(d))
+    joined = now.join(old, F.col(quoted(key)) == F.col(k), "left")
+    changed = F.col(k).isNull() | ~F.coalesce(F.col(quoted(date)), F.lit("")).eqNullSafe(F.coalesce(F.col(d), F.lit("")))
+    return joined.where(changed).drop(k, d)
 
 
 def append(rows: DataFrame, path: str, model: str) -> None:
-    """New vectors of a model, one a hash, added to the cache table."""
-    rows.dropDuplicates(["hash"]).withColumn("modelo", F.lit(model)).write.mode("append").partitionBy("modelo").parquet(path)
+    """New vectors of a model, one a hash, added to the cache table; ``ord`` is the time, for ``lookup``."""
+    rows = rows.dropDuplicates(["hash"]).withColumn("ord", F.unix_micros(F.current_timestamp()))
+    rows.withColumn("modelo", F.lit(model)).write.mode("append").partitionBy("modelo").parquet(path)

@@ -5,24 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ranksieve.functions.text import is_header, lines, strip
+from ranksieve.functions.names import free_names, quoted
+from ranksieve.functions.text import is_header, let, lines, strip
 
 SIZE, STEP, SHORTEST = 2000, 1700, 50
 MANY, MEAN = 200, 250
 
 
 def sections(text: Column) -> Column:
-    """Sections of a text, trimmed, in order. A fold over its lines: no shuffle, one row a text."""
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.array().cast("array<string>").alias("held"))
+    """Sections of a text, trimmed, in order: slices of its lines between header lines. No shuffle, one row a text."""
 
-    def step(acc, line):
-        new = is_header(line) & (F.size(acc["held"]) > 0)
-        done = F.when(new, F.concat(acc["done"], F.array(F.array_join(acc["held"], "\n")))).otherwise(acc["done"])
-        held = F.when(new, F.array(line)).otherwise(F.concat(acc["held"], F.array(line)))
-        return F.struct(done.alias("done"), held.alias("held"))
+    def cut(own: Column) -> Column:
+        first = F.transform(own, lambda line, i: F.when((i == 0) | is_header(line), i))
+        starts = F.filter(first, lambda i: i.isNotNull())
 
-    joined = F.aggregate(lines(text), start, step, lambda acc: F.concat(acc["done"], F.array(F.array_join(acc["held"], "\n"))))
-    return F.transform(joined, strip)
+        def section(s: Column, i: Column) -> Column:
+            end = F.coalesce(F.get(s["starts"], i + 1), F.size(s["lines"]))
+            start = F.get(s["starts"], i)
+            return strip(F.array_join(F.slice(s["lines"], start + 1, end - start), "\n"))
+
+        both = F.struct(own.alias("lines"), starts.alias("starts"))
+        return let(both, lambda s: F.transform(s["starts"], lambda _, i: section(s, i)))
+
+    return F.when(text == "", F.array(F.lit(""))).otherwise(let(lines(text), cut))
 
 
 def windows(text: Column, size: int = SIZE, step: int = STEP) -> Column:
@@ -39,8 +44,10 @@ def is_degenerate(parts: Column, many: int = MANY, mean: int = MEAN) -> Column:
 
 def chunks(docs: DataFrame, key: str = "doc_id", text: str = "text", many: int = MANY, mean: int = MEAN) -> DataFrame:
     """key, chunk_ord, chunk. Texts that fall into degenerate sections are cut as they are."""
-    parts = docs.select(key, F.coalesce(F.col(text), F.lit("")).alias("__t")).withColumn("__s", sections(F.col("__t")))
-    raw = F.when(is_degenerate(F.col("__s"), many, mean), F.array("__t")).otherwise(F.col("__s"))
+    own = F.coalesce(F.col(quoted(text)), F.lit(""))
+    whole, parts = free_names(docs, "whole", "parts")
+    cut_up = docs.select(key, own.alias(whole)).withColumn(parts, sections(F.col(whole)))
+    raw = F.when(is_degenerate(F.col(parts), many, mean), F.array(whole)).otherwise(F.col(parts))
     cut = F.flatten(F.transform(raw, lambda x: windows(x)))
     kept = F.filter(cut, lambda x: F.length(strip(x)) >= SHORTEST)
-    return parts.select(key, F.posexplode(kept).alias("chunk_ord", "chunk"))
+    return cut_up.select(key, F.posexplode(kept).alias("chunk_ord", "chunk"))

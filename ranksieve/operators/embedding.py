@@ -165,6 +165,42 @@ def fill(texts: DataFrame, cache: DataFrame, path: str, model: str, client: Call
     return done.where("erro is not null").select("hash", "erro")
 
 
+def slow_client(post: Post, **how) -> Client:
+    """The client of the service with small batches: 250 texts, 14,000 tokens, one in 35 s; too many tokens are not halved."""
+    return Client(post, **({"most": 250, "budget": 14_000, "spacing": 35.0} | how))
+
+
+def too_many_tokens(status: int, said: str) -> bool:
+    """Whether an answer says that a batch held too many tokens; texts that are no JSON objects do not."""
+    try:
+        body = json.loads(said)
+    except ValueError:
+        return False
+    return status == 400 and isinstance(body, dict) and body.get("error_code") == "TOO_MANY_TOKENS_IN_BATCH"
+
+
+def profile_vectors(units: DataFrame, cached: DataFrame, model: str, client: Callable[[], Callable[[list[str]], list[list[float]]]]) -> tuple[DataFrame, DataFrame]:
+    """name, hash, modelo, unit, text, vector of all profile units; and those embedded now, to replace cache entries.
+
+    A profile whose hash and model the cache has is taken from there; each of the others is embedded with one call. ``units``:
+    name, hash, unit, text; a profile is a file that a person wrote, so its units fit one task.
+    """
+    same = ["name", "hash", "modelo"]
+    own = units.withColumn("modelo", F.lit(model))
+    have = cached.select(*same).distinct()
+    lacking = own.join(have, same, "left_anti")
+
+    def embed(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("unit")
+        frame["vector"] = client()(frame["text"].tolist())
+        return frame
+
+    schema = "name string, hash string, unit int, text string, modelo string, vector array<double>"
+    columns = [*same, "unit", "text", "vector"]
+    new = lacking.select("name", "hash", F.col("unit").cast("int").alias("unit"), "text", "modelo").groupBy("name").applyInPandas(embed, schema).select(*columns)
+    return cached.join(own.select(*same).distinct(), same, "left_semi").select(*columns).unionByName(new), new
+
+
 def migrate(old: DataFrame, path: str, value: str = "value") -> None:
     """Legacy caches, each one JSON object {modelo, vetores: {hash: vector}} a row, added to the cache table once.
 

@@ -5,16 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ranksieve.functions.names import free_names
+
+
+#: Rows whose keys the driver sees to split the order, and rows a range, about, at most RANGES of them.
+SAMPLE, RANGE_ROWS, RANGES = 4096, 100_000, 512
+
 
 def mark(scores: DataFrame, n: int, score: str = "score", ord: str = "ord", flag: str = "selected") -> DataFrame:
-    """All rows, with their position and whether it is among the first n.
+    """All rows, with their position and whether it is among the first n; null scores come last.
 
-    A position for every row needs one order over all: only (ord, score) pairs meet in that window. Where just the
-    first rows are wanted, ``page`` is a top-k without it.
+    A sample of keys (score, ord) splits the order into ranges; a range's rows are numbered by one task, beginning with
+    the number of rows in the ranges before it. Scores are read three times: costly ones are best a written table.
+    Where just the first rows are wanted, ``page`` is a top-k without that.
     """
-    order = Window.orderBy(F.desc(score), F.asc(ord))
-    ranked = scores.select(ord, score).withColumn("position", F.row_number().over(order))
-    return scores.join(ranked.select(ord, "position"), ord).withColumn(flag, F.col("position") <= n)
+    a, b = F.col(score), F.col(ord)
+    sample = scores.select(a, b).orderBy(F.xxhash64(b, a), a, b).limit(SAMPLE).collect()
+    (bucket,) = free_names(scores, "bucket")
+    ranged, before = scores.withColumn(bucket, F.lit(0)), [0]
+    if len(sample) == SAMPLE:
+        parts = min(RANGES, -(-scores.count() // RANGE_ROWS))
+        keys = sorted(((r[0] is None, -(r[0] or 0.0), r[1]) for r in sample if r[1] is not None))
+        cuts = sorted({keys[len(keys) * i // parts] for i in range(1, parts)})
+        after = F.lit(0)
+        for none, value, at in cuts:  # whether a row stands behind the cut
+            late = a.isNull() & (b > F.lit(at)) if none else a.isNull() | (a < -value) | ((a == -value) & (b > F.lit(at)))
+            after = after + F.coalesce(late, F.lit(False)).cast("int")
+        ranged = scores.withColumn(bucket, after)
+        counts = {r[0]: r[1] for r in ranged.groupBy(bucket).count().collect()}
+        before = [sum(counts.get(k, 0) for k in range(i)) for i in range(len(cuts) + 1)]
+    order = Window.partitionBy(bucket).orderBy(F.desc_nulls_last(score), F.asc(ord))
+    start = F.element_at(F.array(*map(F.lit, before)), F.col(bucket) + 1)
+    out = ranged.withColumn("position", (start + F.row_number().over(order)).cast("int"))
+    return out.drop(bucket).withColumn(flag, F.col("position") <= n)
 
 
 def page(scores: DataFrame, skip: int, n: int, score: str = "score", ord: str = "ord") -> DataFrame:

@@ -1,10 +1,17 @@
-"""Scores of items and chunks against a profile of several vectors.
+"""Scores of items and chunks against a profile of several vectors; full doubles, never rounded.
 
-Profiles are small by nature; they are broadcast only after their rows are counted (``small``).
+A profile is a stated query set, small by nature; it is broadcast after its rows were counted (``small``), and one
+that is too large is an error: ``dense`` scores against it in blocks.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable, Iterator
+from itertools import islice
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +22,9 @@ PROFILE_ROWS = 10_000
 
 
 def small(profile: DataFrame) -> DataFrame:
-    return F.broadcast(profile) if profile.limit(PROFILE_ROWS + 1).count() <= PROFILE_ROWS else profile
+    if profile.limit(PROFILE_ROWS + 1).count() > PROFILE_ROWS:
+        raise ValueError(f"a profile has at most {PROFILE_ROWS} vectors")
+    return F.broadcast(profile)
 
 
 def _pairs(rows: DataFrame, profile: DataFrame, vector: str) -> DataFrame:
@@ -23,7 +32,7 @@ def _pairs(rows: DataFrame, profile: DataFrame, vector: str) -> DataFrame:
     left = rows.withColumn("__n", v.norm(F.col(vector)))
     right = small(profile.select(F.col("name").alias("__name"), F.col("unit").alias("__unit"), F.col("vector").alias("__v"), v.norm(F.col("vector")).alias("__pn")))
     pairs = left.crossJoin(right)
-    return pairs.withColumn("score", F.round(v.cosine(F.col(vector), F.col("__v"), F.col("__n"), F.col("__pn")), 6))
+    return pairs.withColumn("score", v.cosine(F.col(vector), F.col("__v"), F.col("__n"), F.col("__pn")))
 
 
 def triage(items: DataFrame, profile: DataFrame, ord: str = "ord", vector: str = "vector") -> DataFrame:
@@ -52,5 +61,65 @@ def adherence(keys: DataFrame, chunks: DataFrame, profile: DataFrame, key: str =
     return keys.join(best, key, "left").select(key, F.coalesce("b.score", F.lit(0.0)).alias("score"), F.coalesce("b.product", F.lit("")).alias("product"))
 
 
+def without_failed(keys: DataFrame, failed: DataFrame, key: str = "item") -> DataFrame:
+    """Keys but those with an error: what could not be embedded is left out, not scored 0."""
+    return keys.join(failed.where("erro IS NOT NULL").select(key).distinct(), key, "left_anti")
+
+
 def explain(chunks: DataFrame, profile: DataFrame, vector: str = "vector") -> DataFrame:
     return _pairs(chunks, profile, vector).drop("__v", "__n", "__pn", vector).withColumnsRenamed({"__name": "name", "__unit": "unit"})
+
+
+#: Profile vectors that a task multiplies with at a time.
+BLOCK = 2048
+
+
+def dense(items: DataFrame, profile: DataFrame, ord: str = "ord", vector: str = "vector") -> DataFrame:
+    """ord, score, product as ``triage`` gives them, by products of normalised matrices: for many profile vectors of one length.
+
+    The profile is collected in blocks of BLOCK vectors, each broadcast; a block's best is compared with what earlier
+    blocks found, so ties still go to the first unit. Items are never shuffled. Vectors of another length than the
+    profile's, null ones and those of norm 0 score 0 against all, as ``cosine`` has it for norm 0. Fails on an empty profile.
+    """
+    rows = profile.select("name", "unit", F.col("vector").cast("array<double>").alias("vector")).orderBy("unit").toLocalIterator()
+    kind = items.schema[ord].dataType.simpleString()
+    best = items.select(F.col(ord).alias("ord"), F.col(vector).cast("array<double>").alias("vector"), F.lit(None).cast("double").alias("score"), F.lit(None).cast("string").alias("product"))
+    some, seen, width = False, set(), None
+    while block := list(islice(rows, BLOCK)):
+        some = True
+        # products of equal vectors may differ in a last digit from block to block, so only the first of them is used
+        units = [np.array(r["vector"] or [], np.float64).tobytes() for r in block]
+        units = [hashlib.blake2b(u, digest_size=16).digest() for u in units]
+        block = [r for k, r in enumerate(block) if units[k] not in seen and units[k] not in units[:k]]
+        seen.update(units)
+        if not block:
+            continue
+        width = width or len(block[0]["vector"])
+        shared = items.sparkSession.sparkContext.broadcast(([r["name"] for r in block], _normalised([r["vector"] for r in block], width)))
+        best = best.mapInPandas(_against(shared), f"ord {kind}, vector array<double>, score double, product string")
+    if not some:
+        raise ValueError("the profile is empty")
+    return best.select(F.col("ord").alias(ord), "score", "product")
+
+
+def _normalised(vectors: list, width: int) -> np.ndarray:
+    out = np.array([v if v is not None and len(v) == width else np.zeros(width) for v in vectors], np.float64).reshape(len(vectors), width)
+    norms = np.sqrt((out * out).sum(1, keepdims=True))
+    return out / np.where(norms == 0, 1.0, norms)
+
+
+def _against(shared) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names, units = shared.value
+        for frame in frames:
+            if len(frame):
+                scores = _normalised(frame["vector"].tolist(), units.shape[1]) @ units.T
+                first = scores.argmax(1)
+                found = scores[np.arange(len(frame)), first]
+                before = frame["score"].to_numpy(np.float64)
+                new = np.isnan(before) | (found > before)
+                frame["product"] = np.where(new, np.array(names, object)[first], frame["product"])
+                frame["score"] = np.where(new, found, before)
+            yield frame
+
+    return run

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -34,3 +35,21 @@ def run_once(spark: SparkSession, folder: str, schema: StructType, state: str, c
 
     stream = spark.readStream.schema(schema).json(folder)
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def keep_ranking(scores: DataFrame, table: str, ranking: str, checkpoint: str, key: str = "item", score: str = "score", ord: str = "ord", n: int = 100) -> StreamingQuery:
+    """A stream of scores (key, score, ord) and the ranking of the best n so far, written anew after each batch.
+
+    A batch that is replayed replaces its own rows of the score table, so nothing counts twice; the last score of a key counts.
+    """
+
+    def batch(rows: DataFrame, number: int) -> None:
+        spark = rows.sparkSession
+        own = rows.withColumn("batch", F.lit(number).cast("long"))
+        own.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(table)
+        latest = last_wins(spark.read.parquet(table).withColumn("at", F.struct("batch", ord)), key, "at").drop("at")
+        best = latest.orderBy(F.desc(score), F.asc(ord)).limit(n)
+        ranked = best.withColumn("position", F.row_number().over(Window.orderBy(F.desc(score), F.asc(ord))))  # n rows
+        ranked.write.mode("overwrite").parquet(ranking)
+
+    return scores.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
