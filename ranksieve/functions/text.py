@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -10,7 +9,8 @@ from pyspark.sql import functions as F
 
 #: What ends a line, and what counts as white space at a line's ends.
 LINE_BREAK = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}]"
-SPACE = r"[\t-\r\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+RARE_BREAK = r"[\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}]"
+SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def let(value: Column, of: Callable[[Column], Column]) -> Column:
@@ -19,25 +19,24 @@ def let(value: Column, of: Callable[[Column], Column]) -> Column:
 
 
 def lines(text: Column) -> Column:
-    """Lines of a text, without the empty one that a final break would leave."""
-    return let(F.split(text, LINE_BREAK, -1), lambda x: F.when(F.element_at(x, -1) == "", F.slice(x, 1, F.size(x) - 1)).otherwise(x))
+    """Lines of a text, without the empty one that a final break would leave. Few texts need the long pattern."""
+    parts = F.when(text.rlike(RARE_BREAK), F.split(text, LINE_BREAK, -1)).otherwise(F.split(text, "\n", -1))
+    return let(parts, lambda x: F.when(F.element_at(x, -1) == "", F.slice(x, 1, F.size(x) - 1)).otherwise(x))
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(text, F.lit(SPACE))
 
 
 def is_header(line: Column, shortest: int = 3, longest: int = 80, letters: int = 3, upper: float = 0.8) -> Column:
-    """Short lines most of whose letters are capitals. Lines of too few capitals are known at a glance."""
-    least = max(0, math.ceil(letters * upper - 1e-9))
-    glance = line.rlike(r"(?:\p{Lu}\P{Lu}*+)" + f"{{{least}}}")
+    """Short lines most of whose letters are capitals. Other lines are known by their length."""
 
-    def full(own: Column) -> Column:
+    def short(own: Column) -> Column:
         n = F.length(F.regexp_replace(own, r"\P{L}", ""))
         up = F.length(F.regexp_replace(own, r"\P{Lu}", ""))
-        return F.length(own).between(shortest, longest) & (n >= letters) & (up >= upper * n)
+        return F.when(F.length(own).between(shortest, longest), (n >= letters) & (up >= upper * n)).otherwise(F.lit(False))
 
-    return F.when(glance, let(strip(line), full)).otherwise(F.lit(False))
+    return let(strip(line), short)
 
 
 def slug(x: Column) -> Column:

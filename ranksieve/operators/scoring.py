@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ranksieve.functions import vectors as v
+from ranksieve.functions.names import quoted
 
 #: Largest profile that is broadcast, in rows.
 PROFILE_ROWS = 10_000
@@ -56,8 +57,10 @@ def classify(chunks: DataFrame, priority: DataFrame, vector: str = "vector") ->
 
 def adherence(keys: DataFrame, chunks: DataFrame, profile: DataFrame, key: str = "item", ord: str = "chunk", vector: str = "vector") -> DataFrame:
     """key, score, product of every key: best chunk and vector above 0, else 0 and ''; the first chunk, then vector, of equals."""
-    pairs = _pairs(chunks, profile, vector).where("score > 0")
-    best = pairs.groupBy(key).agg(F.max_by(F.struct("score", F.col("__name").alias("product")), F.struct("score", -F.col(ord), -F.col("__unit"))).alias("b"))
+    if not profile.limit(1).count():
+        return keys.select(key, F.lit(0.0).alias("score"), F.lit("").alias("product"))
+    pairs = dense(chunks, profile, ord, vector, (key,)).where("score > 0")
+    best = pairs.groupBy(key).agg(F.max_by(F.struct("score", "product"), F.struct("score", -F.col(ord))).alias("b"))
     return keys.join(best, key, "left").select(key, F.coalesce("b.score", F.lit(0.0)).alias("score"), F.coalesce("b.product", F.lit("")).alias("product"))
 
 
@@ -74,16 +77,17 @@ def explain(chunks: DataFrame, profile: DataFrame, vector: str = "vector") -> Da
 BLOCK = 2048
 
 
-def dense(items: DataFrame, profile: DataFrame, ord: str = "ord", vector: str = "vector") -> DataFrame:
-    """ord, score, product as ``triage`` gives them, by products of normalised matrices: for many profile vectors of one length.
+def dense(items: DataFrame, profile: DataFrame, ord: str = "ord", vector: str = "vector", keep: tuple[str, ...] = ()) -> DataFrame:
+    """ord, the columns in ``keep``, score, product as ``triage`` gives them, by products of normalised matrices: for profile vectors of one length.
 
     The profile is collected in blocks of BLOCK vectors, each broadcast; a block's best is compared with what earlier
     blocks found, so ties still go to the first unit. Items are never shuffled. Vectors of another length than the
     profile's, null ones and those of norm 0 score 0 against all, as ``cosine`` has it for norm 0. Fails on an empty profile.
     """
     rows = profile.select("name", "unit", F.col("vector").cast("array<double>").alias("vector")).orderBy("unit").toLocalIterator()
-    kind = items.schema[ord].dataType.simpleString()
-    best = items.select(F.col(ord).alias("ord"), F.col(vector).cast("array<double>").alias("vector"), F.lit(None).cast("double").alias("score"), F.lit(None).cast("string").alias("product"))
+    names = [f"k{i}" for i in range(len(keep) + 1)]
+    kinds = ", ".join(f"{n} {items.schema[x].dataType.simpleString()}" for n, x in zip(names, (ord, *keep), strict=True))
+    best = items.select(*[F.col(quoted(x)).alias(n) for n, x in zip(names, (ord, *keep), strict=True)], F.col(quoted(vector)).cast("array<double>").alias("vector"), F.lit(None).cast("double").alias("score"), F.lit(None).cast("string").alias("product"))
     some, seen, width = False, set(), None
     while block := list(islice(rows, BLOCK)):
         some = True
@@ -96,10 +100,10 @@ def dense(items: DataFrame, profile: DataFrame, ord: str = "ord", vector: str =
             continue
         width = width or len(block[0]["vector"])
         shared = items.sparkSession.sparkContext.broadcast(([r["name"] for r in block], _normalised([r["vector"] for r in block], width)))
-        best = best.mapInPandas(_against(shared), f"ord {kind}, vector array<double>, score double, product string")
+        best = best.mapInPandas(_against(shared), f"{kinds}, vector array<double>, score double, product string")
     if not some:
         raise ValueError("the profile is empty")
-    return best.select(F.col("ord").alias(ord), "score", "product")
+    return best.select(*[F.col(n).alias(x) for n, x in zip(names, (ord, *keep), strict=True)], "score", "product")
 
 
 def _normalised(vectors: list, width: int) -> np.ndarray:

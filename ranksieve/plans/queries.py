@@ -75,7 +75,7 @@ def _six(column="score"):
 
 
 def _triage(s, d):
-    return scoring.triage(_items(s, d), _profile(s, d)).withColumn("score", _six())
+    return scoring.dense(_items(s, d), _profile(s, d)).withColumn("score", _six())
 
 
 def _adherence(s, d, chunks):
@@ -254,9 +254,9 @@ def _other_profile(s, d):
     return _table(s, d, "embeddings").where("vec_id >= 57 and vec_id < 157").select(F.concat(F.lit("o"), "label").alias("name"), F.col("vec_id").alias("unit"), F.col("embedding").alias("vector"))
 
 
-def q40_dense_scores(s, d):
+def q40_pairwise_triage(s, d):
     items = _table(s, d, "embeddings").select(F.col("vec_id").alias("ord"), F.col("embedding").alias("vector"))
-    return scoring.dense(items, _profile(s, d)).withColumn("score", _six())
+    return scoring.triage(items, _profile(s, d)).withColumn("score", _six())
 
 
 def q41_profile_comparison(s, d):
@@ -441,7 +441,7 @@ ORACLES = {
  FROM b JOIN d ON d.lang = b.lang AND d.r = b.r + 1)
  SELECT lang, batch, count(*) AS n, min(doc_id) AS first_doc FROM b GROUP BY 1, 2""",
     "q39_chunk_hash": f"WITH {_CHUNKS} SELECT doc_id, chunk_ord, sha256(chunk) AS hash FROM chunks",
-    "q40_dense_scores": f"WITH {_VEC} SELECT ord, score, name AS product FROM (SELECT *, row_number() OVER (PARTITION BY ord ORDER BY score DESC, unit) AS k FROM ({_DENSE % ('p', 'vec_id >= 0', 'vec_id < 49')})) WHERE k = 1",
+    "q40_pairwise_triage": f"WITH {_VEC} SELECT ord, score, name AS product FROM (SELECT *, row_number() OVER (PARTITION BY ord ORDER BY score DESC, unit) AS k FROM ({_DENSE % ('p', 'vec_id >= 0', 'vec_id < 49')})) WHERE k = 1",
     "q41_profile_comparison": f"""WITH {_VEC}, o AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ord ORDER BY score DESC, unit) AS k FROM ({_DENSE % ('p', 'vec_id >= 157', 'vec_id < 49')})) WHERE k = 1),
  n AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ord ORDER BY score DESC, unit) AS k FROM ({_DENSE % ('o', 'vec_id >= 157', 'vec_id BETWEEN 57 AND 156')})) WHERE k = 1),
  t AS (SELECT *, CAST(row_number() OVER (ORDER BY score DESC, ord) AS INTEGER) AS position FROM n ORDER BY score DESC, ord LIMIT 50)
