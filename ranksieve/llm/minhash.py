@@ -52,6 +52,8 @@ MISS = 1e-6
 BROADCAST_ROWS = 200_000
 #: Rows of a posting list that one task compares with.
 LIST_BLOCK = 1024
+#: Largest set that is compared whole within the join of step 4, as 31-bit hashes, of which so many may coincide.
+FINE, SLACK = 512, 2
 #: Part of all rows that a class's copies may be before its rows are joined apart, so there are at most 1/HOT such classes.
 HOT = 0.001
 
@@ -175,8 +177,10 @@ def _open_pairs(sets: DataFrame, label: DataFrame, percent: int) -> DataFrame:
     mixed = sizes.groupBy("token").agg(F.max(F.struct("k", "label")).alias("m"), F.sum("k").alias("k"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
     mixed = mixed.select("token", F.col("m.label").alias("major"), F.ceil(F.col("k") / LIST_BLOCK).cast("int").alias("blocks"))
     listed = c.Stage(posts.df.join(mixed, "token").withColumn("minor", F.col("label") != F.col("major")), "minhash-lists")
-    x = listed.df.where("posted").select("token", F.col("node").alias("a"), F.col("label").alias("ca"), F.col("n").alias("na"), F.col("at").alias("ia"), "minor", "blocks")
-    y = listed.df.select("token", F.col("node").alias("b"), F.col("label").alias("cb"), F.col("n").alias("nb"), F.col("at").alias("ib"), F.col("minor").alias("other"), "blocks")
+    whole = F.when(F.col("n") <= FINE, F.transform("items", lambda v: v.bitwiseAND(0x7FFFFFFF).cast("int")))
+    detail = sized.select("node", whole.alias("fine"))
+    x = listed.df.where("posted").join(detail, "node").select("token", F.col("node").alias("a"), F.col("label").alias("ca"), F.col("n").alias("na"), F.col("at").alias("ia"), F.col("fine").alias("fa"), "minor", "blocks")
+    y = listed.df.join(detail, "node").select("token", F.col("node").alias("b"), F.col("label").alias("cb"), F.col("n").alias("nb"), F.col("at").alias("ib"), F.col("fine").alias("fb"), F.col("minor").alias("other"), "blocks")
 
     def block(of: str) -> Column:
         return F.pmod(F.xxhash64(of), F.col("blocks")).cast("int").alias("block")
@@ -186,7 +190,10 @@ def _open_pairs(sets: DataFrame, label: DataFrame, percent: int) -> DataFrame:
 
     smaller = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
     most = F.least("ia", "ib") + F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib"))
-    fits = smaller & (F.col("ca") != F.col("cb")) & ((100 + percent) * most >= percent * (F.col("na") + F.col("nb")))
+    needed = percent * (F.col("na") + F.col("nb"))  # a hundred and percent times what a link has in common
+    shared = F.size(F.array_intersect("fa", "fb")).cast("long") + SLACK
+    close = F.when(F.col("fa").isNotNull() & F.col("fb").isNotNull(), (100 + percent) * shared >= needed).otherwise(F.lit(True))
+    fits = smaller & (F.col("ca") != F.col("cb")) & ((100 + percent) * most >= needed) & close
     # of two classes one at least is outside the list's largest component
     one = x.where("minor").select("*", every()).join(y.select("*", block("b")), ["token", "block"]).where(fits)
     two = x.where("not minor").select("*", block("a")).join(y.where("other").select("*", every()), ["token", "block"]).where(fits)
