@@ -9,12 +9,14 @@ words as hit. Items shorter than SPAN words are one window each; as winnowing ca
 those, all document grams of just those lengths are looked up.
 
 Scale: documents are never shuffled. The benchmark is read in blocks of at most BLOCK_BYTES of
-text (one block for usual benchmarks); each block's index is broadcast, and blocks beyond the
-first are applied one after another to the same rows, which carry their spans along.
-
-Cases: null text or a text without words has no hits; an item without words matches nothing; a
-null item_id cannot be named and is left out; repeated items of one id count once; ties and
-repeated documents are judged each for itself; an empty benchmark leaves all documents clean.
+text (one block for usual benchmarks; larger items are parted, with the words that windows need on
+both sides); each block's index, arrays of some four bytes a byte of text, is broadcast, and blocks
+beyond the first are applied one after another to the same rows, which carry their spans along.
+
+Cases: null text or a text without words has no hits; an item without words matches nothing; the
+words of an item with a null item_id are hit, but it cannot be named and is not counted among the
+items; repeated items of one id count once; ties and repeated documents are judged each for itself;
+an empty benchmark leaves all documents clean; columns of any name pass untouched.
 """
 
 from __future__ import annotations
@@ -32,15 +34,15 @@ from . import common as c
 SPAN = 10
 GRAM = 5
 #: Bytes of benchmark text whose index is broadcast at a time.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 #: Blocks that are applied in one stage of tasks before a table is written.
 BLOCKS_A_STAGE = 2
 
 _WORDS = c.Words(c.ALNUM, fold=True)
 
 
-def winnow(grams: np.ndarray, window: int = SPAN - GRAM + 1) -> np.ndarray:
-    """Places of the least hash (the last of equals) in each run of ``window`` grams."""
+def least(grams: np.ndarray, window: int = SPAN - GRAM + 1) -> np.ndarray:
+    """For each run of ``window`` grams the place of its least hash, the last of equals."""
     n = len(grams) - window + 1
     if n <= 0:
         return np.zeros(0, np.int64)
@@ -50,42 +52,55 @@ def winnow(grams: np.ndarray, window: int = SPAN - GRAM + 1) -> np.ndarray:
         better = other <= best
         best = np.where(better, other, best)
         at = np.where(better, np.arange(j, j + n), at)
-    return np.unique(at)
+    return at
+
+
+def winnow(grams: np.ndarray) -> np.ndarray:
+    """Places of fingerprints."""
+    return np.unique(least(grams))
 
 
 class Index:
-    """Fingerprints and windows of a block of items."""
-
-    def __init__(self, items: list[tuple[object, str]]):
-        windows: dict[tuple[int, int, bytes], set[str]] = {}
-        prints: set[int] = set()
-        for item_id, text in items:
-            data = np.frombuffer((text or "").encode(), np.uint8)
-            starts, ends, hashes, _ = _WORDS.table_of(data, np.array([0, len(data)]))
-            if not len(starts):
-                continue
-            raw = data.tobytes().lower()
-            words = [raw[s:e] for s, e in zip(starts, ends, strict=True)]
-            k = min(SPAN, len(words))
-            for i, h in enumerate(c.windows(hashes, k).tolist()):
-                windows.setdefault((k, h, b" ".join(words[i : i + k])), set()).add(str(item_id))
+    """Fingerprints and windows of a block of items (name or None, text), in arrays.
+
+    ``text`` holds the block's words, each followed by a blank, ``word`` where each begins. ``windows`` has for every
+    length in words the sorted hashes of the windows, and beside each its first word and its item.
+    """
+
+    def __init__(self, items: list[tuple[str | None, str]]):
+        self.names = [name for name, _ in items]
+        texts = [text.encode() for _, text in items]
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        starts, ends, hashes, bounds = _WORDS.table_of(data, np.concatenate([[0], np.cumsum([len(x) for x in texts], dtype=np.int64)]))
+        end = np.cumsum(ends - starts + 1)
+        self.word = np.append(0, end).astype(np.int32)
+        text = np.full(self.word[-1], 32, np.uint8)
+        inside = np.ones(len(text), bool)
+        inside[end - 1] = False
+        text[inside] = data[_WORDS.is_word[data]]
+        self.text = text.tobytes().lower()
+        count = np.diff(bounds)
+        item = np.repeat(np.arange(len(items), dtype=np.int32), count)
+        self.windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        self.prints = np.zeros(0, c.U64)
+        for k in np.unique(np.minimum(count[count > 0], SPAN)).tolist():
             if k == SPAN:
+                first = np.flatnonzero(item[: 1 - SPAN] == item[SPAN - 1 :])
                 grams = c.windows(hashes, GRAM)
-                prints.update(grams[winnow(grams)].tolist())
-        self.prints = np.array(sorted(prints), c.U64)
-        self.by_length: dict[int, tuple[np.ndarray, dict[int, list[tuple[bytes, frozenset[str]]]]]] = {}
-        for k in sorted({w[0] for w in windows}):
-            found: dict[int, list[tuple[bytes, frozenset[str]]]] = {}
-            for (length, h, text), ids in windows.items():
-                if length == k:
-                    found.setdefault(h, []).append((text, frozenset(ids)))
-            self.by_length[k] = (np.array(sorted(found), c.U64), found)
+                self.prints = np.unique(grams[np.unique(least(grams)[first])])
+            else:
+                first = bounds[:-1][count == k]
+            values, owner = _at(hashes, first, k), item[first]
+            order = np.lexsort((owner, values))
+            values, owner, first = values[order], owner[order], first[order]
+            new = np.append(True, (values[1:] != values[:-1]) | (owner[1:] != owner[:-1]))
+            self.windows[k] = values[new], first[new].astype(np.int32), owner[new]
 
     def search(self, raw: bytes, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, set[str]]:
-        """Starts and lengths (in words) of windows of a document that items have, and those items."""
+        """Starts and lengths (in words) of windows of a document that items have, and those items' names."""
         n = len(hashes)
-        at_all, len_all, items = [], [], set()
-        for k, (known, found) in self.by_length.items():
+        at_all, len_all, names = [], [], set()
+        for k, (known, first, owner) in self.windows.items():
             if n < k:
                 continue
             if k == SPAN:
@@ -100,15 +115,15 @@ class Index:
             else:
                 values = c.windows(hashes, k)
                 tries = np.arange(len(values))
-            ok = _among(values, known)
-            for i, h in zip(tries[ok].tolist(), values[ok].tolist(), strict=True):
-                text = b" ".join(raw[s:e] for s, e in zip(starts[i : i + k], ends[i : i + k], strict=True))
-                for other, ids in found[h]:
-                    if text == other:
-                        at_all.append(i)
-                        len_all.append(k)
-                        items |= ids
-        return np.array(at_all, np.int64), np.array(len_all, np.int64), items
+            lo, hi = np.searchsorted(known, values, "left"), np.searchsorted(known, values, "right")
+            for i, a, b in zip(*(x[lo < hi].tolist() for x in (tries, lo, hi)), strict=True):
+                own = b" ".join(raw[s:e] for s, e in zip(starts[i : i + k].tolist(), ends[i : i + k].tolist(), strict=True))
+                same = [e for e in range(a, b) if self.text[self.word[first[e]] : self.word[first[e] + k] - 1] == own]
+                if same:
+                    at_all.append(i)
+                    len_all.append(k)
+                    names.update(self.names[owner[e]] for e in same)
+        return np.array(at_all, np.int64), np.array(len_all, np.int64), names - {None}
 
 
 def _at(hashes: np.ndarray, places: np.ndarray, k: int) -> np.ndarray:
@@ -127,16 +142,36 @@ def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(at, len(known) - 1)] == values
 
 
+def _parts(text: str, limit: int) -> Iterator[str]:
+    """A text, or parts of it of about ``limit`` bytes that have every window of SPAN words in one of them."""
+    data = text.encode()
+    if len(data) <= limit:
+        yield text
+        return
+    starts, ends = _WORDS.spans(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+    i = 0
+    while i < len(starts):
+        j = max(i + SPAN, int(np.searchsorted(ends, starts[i] + limit, side="right")))
+        j = len(starts) if len(starts) - j < SPAN else j
+        yield data[starts[i] : ends[j - 1]].decode()
+        i = j - SPAN + 1 if j < len(starts) else j
+
+
 def blocks(benchmark: DataFrame, item_id: str, text: str, limit: int = BLOCK_BYTES) -> Iterator[Index]:
-    """The benchmark's indexes, one block of bounded size after another."""
+    """The benchmark's indexes, one block of bounded size after another; rows come by partitions of about that size."""
     held, size = [], 0
-    rows = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(text).alias("t")).where("i is not null and t is not null")
+    rows = benchmark.select(F.col(c.quoted(item_id)).cast("string").alias("i"), F.col(c.quoted(text)).alias("t")).where("t is not null")
+    total = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    if total > limit:
+        rows = rows.repartition(-(-total // limit))
     for row in rows.toLocalIterator():
-        if held and size + len(row["t"]) > limit:
-            yield Index(held)
-            held, size = [], 0
-        held.append((row["i"], row["t"]))
-        size += len(row["t"])
+        for part in _parts(row["t"], limit):
+            more = len(part.encode())
+            if held and size + more > limit:
+                yield Index(held)
+                held, size = [], 0
+            held.append((row["i"], part))
+            size += more
     yield Index(held)
 
 
@@ -167,59 +202,60 @@ def merge(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     return np.stack([lo[first], hi[last]], 1)
 
 
-_STATE = "__hits struct<n_words:long,spans:array<struct<start:long,end:long>>,items:array<string>>"
+_STATE = "struct<n_words:long,spans:array<struct<start:long,end:long>>,items:array<string>>"
 
 
-def _mark(docs: DataFrame, text: str, index: Index) -> DataFrame:
-    """All columns of docs and ``__hits``; hits that earlier blocks found are kept."""
+def _mark(docs: DataFrame, text: str, index: Index, hits: str) -> DataFrame:
+    """All columns of docs and ``hits``; hits that earlier blocks found are kept."""
     shared = docs.sparkSession.sparkContext.broadcast(index)
-    had = "__hits" in docs.columns
+    had = hits in docs.columns
     at = docs.columns.index(text)
-    names = [x for x in docs.columns if x != "__hits"]
+    names = [x for x in docs.columns if x != hits]
     span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     kind = pa.struct([("n_words", pa.int64()), ("spans", span_type), ("items", pa.list_(pa.string()))])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = scan(batch.column(at), shared.value)
-        old = batch.column(batch.schema.get_field_index("__hits")).to_pylist() if had else [None] * batch.num_rows
+        old = batch.column(batch.schema.get_field_index(hits)).to_pylist() if had else [None] * batch.num_rows
         rows = []
         for (n, spans, items), before in zip(found, old, strict=True):
-            if before and before["spans"]:
+            if before:
                 earlier = np.array([(s["start"], s["end"]) for s in before["spans"]], np.int64).reshape(-1, 2)
                 spans = np.concatenate([spans, earlier])
                 spans = merge(spans[:, 0], spans[:, 1])
                 items = items | set(before["items"])
             rows.append({"n_words": n, "spans": [{"start": int(a), "end": int(b)} for a, b in spans], "items": sorted(items)})
-        kept = [batch.column(k) for k, x in enumerate(batch.schema.names) if x != "__hits"]
-        return pa.RecordBatch.from_arrays([*kept, pa.array(rows, kind)], [*names, "__hits"])
+        kept = [batch.column(k) for k, x in enumerate(batch.schema.names) if x != hits]
+        return pa.RecordBatch.from_arrays([*kept, pa.array(rows, kind)], [*names, hits])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "__hits")
-    return c.map_batches(docs, run, f"{schema}, {_STATE}")
+    schema = ", ".join(f"{c.quoted(f.name)} {f.dataType.simpleString()}" for f in docs.schema if f.name != hits)
+    return c.map_batches(docs, run, f"{schema}, {c.quoted(hits)} {_STATE}")
 
 
-def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """All columns of docs and ``__hits``: n_words, spans of hit words, item ids sorted as strings."""
-    out, k = docs.drop("__hits"), 0
-    for index in blocks(benchmark, item_id, item_text, block_bytes):
+def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, str]:
+    """All columns of docs and one more, whose name is returned: n_words, spans of hit words, item ids sorted as strings."""
+    out, (hits,) = docs, c.free_names(docs, "hits")
+    for k, index in enumerate(blocks(benchmark, item_id, item_text, block_bytes)):
         if k and k % BLOCKS_A_STAGE == 0:
             out = c.Stage(out, "decontam").df
-        out, k = _mark(out, text, index), k + 1
-    return out
+        out = _mark(out, text, index, hits)
+    return out, hits
 
 
 def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items, spans, contaminated for each document."""
-    hits = find(docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")), benchmark, block_bytes=block_bytes)
-    n_hit = F.aggregate("__hits.spans", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"])
-    return hits.select(
-        "doc_id", F.col("__hits.n_words").alias("n_words"), n_hit.alias("n_hit"), F.size("__hits.items").cast("long").alias("n_items"),
-        F.col("__hits.items").alias("items"), F.col("__hits.spans").alias("spans"), (n_hit > 0).alias("contaminated"),
+    found, hits = find(docs.select(F.col(c.quoted(id_col)).alias("doc_id"), F.col(c.quoted(text)).alias("text")), benchmark, block_bytes=block_bytes)
+    n_hit = F.aggregate(f"{hits}.spans", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"])
+    return found.select(
+        "doc_id", F.col(f"{hits}.n_words").alias("n_words"), n_hit.alias("n_hit"), F.size(f"{hits}.items").cast("long").alias("n_items"),
+        F.col(f"{hits}.items").alias("items"), F.col(f"{hits}.spans").alias("spans"), (n_hit > 0).alias("contaminated"),
     )
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Documents without a hit, with all their columns."""
-    return find(docs, benchmark, text).where(F.size("__hits.spans") == 0).select(*[f"`{x}`" for x in docs.columns])
+    found, hits = find(docs, benchmark, text, block_bytes=block_bytes)
+    return found.where(F.size(f"{hits}.spans") == 0).drop(hits)
 
 
 def brute(doc: str | None, items: list[tuple[object, str | None]]) -> dict:
@@ -238,5 +274,5 @@ def brute(doc: str | None, items: list[tuple[object, str | None]]) -> dict:
         for i in range(len(own) - k + 1) if k else ():
             if tuple(own[i : i + k]) in grams:
                 hit.update(range(i, i + k))
-                ids.add(str(item_id))
+                ids |= set() if item_id is None else {str(item_id)}
     return {"n_words": len(own), "n_hit": len(hit), "n_items": len(ids), "items_sha256": hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest(), "contaminated": bool(hit)}
