@@ -11,10 +11,11 @@ leaves' paths are read off the same pointers, each node once. A path becomes one
 In texts and roles the first character of a control string is followed by a backslash (and by
 one more for each that stands there already), so ``parse`` gives back every text exactly.
 
-Cases: null texts, roles and scores count as '', '' and 0; a parent that is not there makes its child
-a root; rows that repeat a (tree, id) are turns of their own and never joined twice (callers number
-them, see ``from_turns``); nodes on a cycle have no root and are left out; a null tree is a tree;
-empty tables give empty results; the longest path sets the size of a row.
+Cases: null texts, roles and scores count as '', '' and 0; a parent that is null or not there makes its child
+a root; of rows that repeat a (tree, id) one, the same in every run, stands for the id, and replies go on from it,
+while the others are turns without replies; so are rows with a null id; nodes on a cycle have no root and are
+left out; a null tree is a tree; other columns are not read; empty tables give empty results; the longest
+path sets the size of a row.
 """
 
 from __future__ import annotations
@@ -53,45 +54,45 @@ def from_turns(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
     return own.select("tree", "id", F.when(F.col("id") > 1, F.col("id") - 1).alias("parent"), "role", "text", F.lit(0.0).alias("score"))
 
 
-def paths(messages: DataFrame, best: int = 1) -> DataFrame:
-    """tree, rank, depth, id: the nodes of the ``best`` best root-to-leaf paths of each tree.
+def numbered(messages: DataFrame) -> DataFrame:
+    """The messages as nodes: n, a number of each row, and a hash of what it says, beside its columns; a written table."""
+    own = messages.select("tree", "id", "parent", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), F.coalesce("score", F.lit(0.0)).cast("double").alias("score"))
+    said = F.xxhash64("parent", "role", "text", "score")
+    return c.Stage(own.withColumns({"said": said, "n": F.monotonically_increasing_id()}), "chat-messages").df
 
-    Nodes are known by a hash-free number given here, so trees of any key and null keys join alike.
-    """
-    base = messages.select("tree", "id", "parent", F.coalesce("score", F.lit(0.0)).cast("double").alias("score"))
-    kids = base.select("tree", "id", "parent", "score")
-    heads = base.select(F.col("tree").alias("t"), F.col("id").alias("i"), F.lit(True).alias("there"))
-    nodes = kids.join(heads, F.col("tree").eqNullSafe(F.col("t")) & (F.col("parent") == F.col("i")), "left")
-    up = F.when(F.col("there"), F.col("parent"))
-    nodes = c.Stage(nodes.select("tree", "id", up.alias("up"), "score"), "chat-nodes")
+
+def paths(nodes: DataFrame, best: int = 1) -> DataFrame:
+    """tree, rank, depth, n: the nodes of the ``best`` best root-to-leaf paths of each tree of ``numbered`` messages."""
+    base = nodes.select("n", "tree", "id", "parent", "said", "score")
+    heads = base.where("id is not null").groupBy(F.col("tree").alias("t"), F.col("id").alias("i")).agg(F.min(F.struct("said", "n"))["n"].alias("up"))
+    linked = base.where("parent is not null").join(heads, F.col("tree").eqNullSafe(F.col("t")) & (F.col("parent") == F.col("i")), "left").select("n", "up", "score")
+    roots = base.where("parent is null").select("n", F.lit(None).cast("long").alias("up"), "score")
+    first = linked.unionByName(roots).select("n", "up", F.lit(1).cast("long").alias("steps"), F.col("score").alias("total"))
+    first = c.Stage(first, "chat-nodes").df
 
     # up: the ancestor 2**k steps above; steps and total: what lies from the node to just below it.
     # Only nodes with such an ancestor go into the next join; the others are at their root.
-    first = nodes.df.select("tree", "id", "up", F.lit(1).cast("long").alias("steps"), F.col("score").alias("total"))
     levels, active, ended, size = [], first.where("up is not null"), first.where("up is null"), first.count()
     while (1 << len(levels)) <= size and active.limit(1).count():
         levels.append(active)
-        above = active.union(ended).select(F.col("tree").alias("t"), F.col("id").alias("i"), F.col("up").alias("further"), F.col("steps").alias("s"), F.col("total").alias("sum"))
-        joined = active.join(above, F.col("tree").eqNullSafe(F.col("t")) & (F.col("up") == F.col("i")))
-        now = c.Stage(joined.select("tree", "id", F.col("further").alias("up"), (F.col("steps") + F.col("s")).alias("steps"), (F.col("total") + F.col("sum")).alias("total")), "chat-level").df
+        above = active.union(ended).select(F.col("n").alias("of"), F.col("up").alias("further"), F.col("steps").alias("s"), F.col("total").alias("sum"))
+        joined = active.join(above, F.col("up") == F.col("of"))
+        now = c.Stage(joined.select("n", F.col("further").alias("up"), (F.col("steps") + F.col("s")).alias("steps"), (F.col("total") + F.col("sum")).alias("total")), "chat-level").df
         active, ended = now.where("up is not null"), ended.union(now.where("up is null"))
 
-    parents = nodes.df.where("up is not null").select(F.col("tree").alias("t"), F.col("up").alias("i")).distinct()
-    leaves = ended.join(parents, F.col("tree").eqNullSafe(F.col("t")) & (F.col("id") == F.col("i")), "left_anti")
-    ranked = leaves.withColumn("rank", F.row_number().over(Window.partitionBy("tree").orderBy(F.desc(F.col("total") / F.col("steps")), "id")))
-    found = ranked.where(F.col("rank") <= best).select("tree", "rank", "id", F.col("steps").alias("depth"))
+    parents = first.where("up is not null").select(F.col("up").alias("n")).distinct()
+    leaves = ended.join(parents, "n", "left_anti").join(base.select("n", "tree", "id", "said"), "n")
+    order = Window.partitionBy("tree").orderBy(F.desc(F.col("total") / F.col("steps")), "id", "said", "n")
+    found = leaves.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= best).select("tree", "rank", "n", F.col("steps").alias("depth"))
     for k in reversed(range(len(levels))):
-        jump = levels[k].select(F.col("tree").alias("t"), F.col("id").alias("i"), "up")
-        more = found.join(jump, F.col("tree").eqNullSafe(F.col("t")) & (F.col("id") == F.col("i")))
-        found = found.unionByName(more.select("tree", "rank", F.col("up").alias("id"), (F.col("depth") - F.lit(1 << k)).alias("depth")))
-        found = c.Stage(found, "chat-paths").df
+        more = found.join(levels[k].select("n", "up"), "n").select("tree", "rank", F.col("up").alias("n"), (F.col("depth") - F.lit(1 << k)).alias("depth"))
+        found = c.Stage(found.unionByName(more), "chat-paths").df
     return found
 
 
-def render(messages: DataFrame, chosen: DataFrame) -> DataFrame:
+def render(nodes: DataFrame, chosen: DataFrame) -> DataFrame:
     """tree, rank, formatted, loss: one conversation a path; loss spans (code points) cover assistants' texts."""
-    m = messages.select(F.col("tree").alias("t"), F.col("id").alias("i"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = chosen.join(m, F.col("tree").eqNullSafe(F.col("t")) & (F.col("id") == F.col("i")))
+    rows = chosen.join(nodes.select("n", "role", "text"), "n")
     open_, close = _marks(F.col("role"))
     rows = rows.select("tree", "rank", "depth", "role", open_.alias("open"), F.concat(open_, escape(F.col("text")), close).alias("piece"), close.alias("close"))
     before = F.sum(F.length("piece").cast("long")).over(Window.partitionBy("tree", "rank").orderBy("depth")) - F.length("piece")
@@ -124,5 +125,5 @@ def loss_text(formatted: Column, loss: Column) -> Column:
 
 def format_trees(messages: DataFrame, best: int = 1) -> DataFrame:
     """tree, rank, formatted, loss of the best paths of each tree."""
-    kept = c.Stage(messages, "chat-messages").df
-    return render(kept, paths(kept, best))
+    nodes = numbered(messages)
+    return render(nodes, paths(nodes, best))
