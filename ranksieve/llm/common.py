@@ -29,11 +29,14 @@ BATCH_BYTES = 4 << 20
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Where the setting is absent (tests in local mode) a temporary folder is used.
+    Where the setting is absent a temporary folder is used in local mode, as in tests; elsewhere that is an error, as
+    executors would not see the driver's folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     found = getattr(spark.sparkContext, "_ranksieve_shared", None)
     if not found:
         found = "file://" + tempfile.mkdtemp(prefix="ranksieve-")

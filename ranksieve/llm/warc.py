@@ -7,6 +7,9 @@ offset, length, URL and digest. Reading: the index alone decides which records a
 ranges are sorted by file and offset, ranges closer than GAP bytes are joined into reads of up to
 READ bytes, and only those are fetched.
 
+Headers are lines, so ids are percent-encoded in them, and a URL with line breaks or outer blanks is
+stored in another header as well, from which it is read back as it was.
+
 Cases: a null html is an empty payload, a null URL an empty one; a null id is stored as such; rows
 equal in payload and in the largest id are all responses; an empty table gives no archive.
 """
@@ -16,7 +19,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -35,8 +39,16 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
+_NO_ID = "<urn:ranksieve:no-page>"
+
+
 def _name(page_id) -> str:
-    return f"<urn:ranksieve:page:{'' if page_id is None else page_id}>"
+    return _NO_ID if page_id is None else f"<urn:ranksieve:page:{quote(str(page_id), safe='')}>"
+
+
+def _named(name: str | None, kind: Callable):
+    """The id that ``_name`` gave its name to."""
+    return None if name in (None, _NO_ID) else kind(unquote(name.removeprefix("<urn:ranksieve:page:").removesuffix(">")))
 
 
 def record(page_id, url: str, payload: bytes, refers_to=None, revisit: bool = False) -> tuple[bytes, str]:
@@ -44,9 +56,11 @@ def record(page_id, url: str, payload: bytes, refers_to=None, revisit: bool = Fa
     own, block = digest(payload), _HTTP if revisit else _HTTP + payload
     head = [
         "WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {_name(page_id)}",
-        "WARC-Date: 1970-01-01T00:00:00Z", "WARC-Target-URI: " + url.replace("\r", "%0D").replace("\n", "%0A"),
+        "WARC-Date: 1970-01-01T00:00:00Z", "WARC-Target-URI: " + url.strip().replace("\r", "%0D").replace("\n", "%0A"),
         f"WARC-Payload-Digest: sha1:{own}", f"X-Payload-Length: {len(payload)}",
     ]
+    if url != url.strip() or "\r" in url or "\n" in url:
+        head.append("X-Target-URI: " + quote(url, safe=""))
     if revisit:
         head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {_name(refers_to)}"]
     head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
@@ -134,9 +148,7 @@ def read(index: DataFrame, folder: str, page_type: str = "long") -> DataFrame:
     kind = pa.int64() if page_type in ("long", "bigint") else pa.int32() if page_type == "int" else pa.string()
     names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "html"]
 
-    def named(x: str | None):
-        x = (x or "").removeprefix("<urn:ranksieve:page:").removesuffix(">")
-        return None if not x else x if kind == pa.string() else int(x)
+    of = str if kind == pa.string() else int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, top = filesystem(folder)
@@ -155,7 +167,9 @@ def read(index: DataFrame, folder: str, page_type: str = "long") -> DataFrame:
                         n = len(payload)
                         if digest(payload) != stored:
                             raise ValueError(f"the payload of {headers['WARC-Record-ID']} is damaged")
-                    out.append((named(headers["WARC-Record-ID"]), headers["WARC-Target-URI"], n, stored, headers["WARC-Type"], named(headers.get("WARC-Refers-To")), None if payload is None else payload.decode()))
+                    url = unquote(headers["X-Target-URI"]) if "X-Target-URI" in headers else headers["WARC-Target-URI"]
+                    ids = (_named(headers.get(x), of) for x in ("WARC-Record-ID", "WARC-Refers-To"))
+                    out.append((next(ids), url, n, stored, headers["WARC-Type"], next(ids), None if payload is None else payload.decode()))
                 kinds = (kind, pa.string(), pa.int64(), pa.string(), pa.string(), kind, pa.string())
                 yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(kinds)], names)
 

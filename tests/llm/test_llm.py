@@ -52,11 +52,44 @@ def test_chat(spark):
     assert chat.format_trees(m.where("false")).count() == 0
 
 
+def test_chat_branches_repeats_and_nulls(spark):
+    """Against all paths tried one by one: random trees with equal scores, repeated ids and null ids."""
+    rng = random.Random(7)
+    rows = []
+    for tree in range(30):
+        for i in range(rng.randrange(1, 14)):
+            rows.append((tree, rng.choice([i, i, i, None]), rng.randrange(i) if i else None, rng.choice(["user", "assistant", None]), f"{tree}.{i}", rng.choice([0.0, 0.5, 1.0, None])))
+    rows += [(99, 1, None, "user", "root", 0.0), (99, 2, 1, "user", "a", 0.5), (99, 2, 1, "assistant", "b", 0.5), (99, 3, 2, "user", "end", 0.5), (99, None, 3, "user", "after", 9.0)]
+    df = spark.createDataFrame(rows, "tree int, id int, parent int, role string, text string, score double").withColumn("n", F.lit(1)).withColumn("said", F.lit("x"))
+    out = chat.format_trees(df.repartition(3), best=100).select("tree", "rank", chat.parse(F.col("formatted")).alias("p"), chat.loss_text(F.col("formatted"), F.col("loss")).alias("l")).collect()
+    got = {}
+    for r in sorted(out, key=lambda r: (r["tree"], r["rank"])):
+        got.setdefault(r["tree"], []).append([t["text"] for t in r["p"]])
+        assert r["l"] == "".join(t["text"] for t in r["p"] if t["role"] == "assistant")
+    stands = {(r["tree"], r["id"]): r["text"] for r in chat.numbered(df).where("id is not null").groupBy("tree", "id").agg(F.min(F.struct("said", "n", "text"))["text"].alias("text")).collect()}
+    of = {r[4] if r[0] != 99 else (99, r[4]): r for r in rows}
+    for tree in got:
+        own = [r for r in rows if r[0] == tree]
+        up = {r[4]: stands.get((tree, r[2])) if r[2] is not None else None for r in own}
+        score = {r[4]: r[5] or 0.0 for r in own}
+        want = []
+        for r in own:
+            if r[4] not in up.values():
+                path = [r[4]]
+                while up[path[0]] is not None:
+                    path.insert(0, up[path[0]])
+                want.append(path)
+        assert sorted(got[tree]) == sorted(want), tree
+        means = [sum(score[t] for t in p) / len(p) for p in got[tree]]
+        assert all(a > b - 1e-12 for a, b in zip(means, means[1:], strict=False))
+    assert len(of) == len(rows) and got[99][0][-1] == "after" and len(got[99]) == 2
+
+
 # ---------------------------------------------------------------- 2
 def test_decontaminate(spark, texts):
-    items = [(1, " ".join(texts[5].split()[20:45])), (2, "x"), (3, None), (4, "..."), (5, " ".join(texts[3].split()[:10]).upper()), (6, " ".join(texts[4].split()[7:14])), (1, "tie")]
+    items = [(1, " ".join(texts[5].split()[20:45])), (2, "x"), (3, None), (4, "..."), (5, " ".join(texts[3].split()[:10]).upper()), (6, " ".join(texts[4].split()[7:14])), (1, "tie"), (None, " ".join(texts[5].split()[300:330])), (9, " ".join(texts[5].split()[100:290]))]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    for size in (1 << 20, 20):
+    for size in (1 << 20, 200, 20):
         got = decontam.report(docs_of(spark, texts), bench, block_bytes=size).orderBy("doc_id").collect()
         for r, x in zip(got, texts, strict=True):
             want = decontam.brute(x, items)
@@ -66,6 +99,22 @@ def test_decontaminate(spark, texts):
     assert decontam.report(docs_of(spark, texts).where("false"), bench).count() == 0
 
 
+def test_decontaminate_a_full_block(spark):
+    import pickle
+
+    rng = random.Random(2)
+    items = [(str(i), " ".join(f"w{rng.randrange(10**6)}" for _ in range(1000))) for i in range(1000)]
+    size = sum(len(x) for _, x in items)
+    index = decontam.Index(items)
+    assert size > 7_000_000 and len(pickle.dumps(index)) < 6 * size
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    own = [items[3][1], "x " + " ".join(items[700][1].split()[500:512]) + " y", "nothing here"]
+    rows = [(i, x, 7, "z") for i, x in enumerate(own)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __hits int, __HITS_ string")
+    assert [(r["n_hit"], r["items"]) for r in decontam.report(df, bench).orderBy("doc_id").collect()] == [(1000, ["3"]), (12, ["700"]), (0, [])]
+    assert [tuple(r) for r in decontam.clean(df, bench).collect()] == [rows[2]]
+
+
 # ---------------------------------------------------------------- 3
 def brute_groups(texts, percent):
     sets = []
@@ -156,6 +205,15 @@ def test_warc(spark):
     assert warc.write(pages.where("false"), common.scratch(spark, "t")).count() == 0
 
 
+def test_warc_keeps_odd_ids_and_urls(spark):
+    rows = [("", "a\nb ", "1"), ("x\r\ny: z", " u", "2"), ("<é 1>%41", "", "3"), (None, None, "3"), ("b", "%0A", "3")]
+    pages = spark.createDataFrame(rows, "page_id string, url string, html string")
+    folder = common.scratch(spark, "t")
+    got = warc.read(common.Stage(warc.write(pages, folder), "t").df, folder, "string").collect()
+    assert Counter((r["page_id"], r["url"]) for r in got) == Counter((i, u or "") for i, u, _ in rows)
+    assert {r["page_id"]: r["refers_to"] for r in got if r["record_type"] == "revisit"} == {"<é 1>%41": "b", None: "b"}
+
+
 # ---------------------------------------------------------------- 6
 def test_token_files(spark, texts):
     from tokenizers import Tokenizer
