@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ranksieve.functions.names import quoted
+
 from .cache import append, misses
 
 Post = Callable[[list[str]], list[list[float]]]
@@ -129,6 +131,29 @@ def in_order(answer: dict) -> list[list[float]]:
     return [x["values"] for x in answer["embeddings"]]
 
 
+def embed(rows: DataFrame, client: Callable[[], Callable[[list[str]], list[list[float]]]], text: str = "text", vector: str = "embedding") -> DataFrame:
+    """All columns and the vector of each text, null for a null one; the embedder gets a batch of rows at a time.
+
+    An embedder that gives another number of vectors than texts is an error, as rows would get others' vectors.
+    """
+    columns = rows.columns
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ask = client()
+        for frame in frames:
+            there = frame[text].notna().to_numpy()
+            texts = frame[text][there].tolist()
+            found = ask(texts) if texts else []
+            if len(found) != len(texts):
+                raise RuntimeError(f"{len(found)} vectors for {len(texts)} texts")
+            vectors = iter(found)
+            frame[vector] = [next(vectors) if x else None for x in there]
+            yield frame[[*columns, vector]]
+
+    fields = [f"{quoted(f.name)} {f.dataType.simpleString()}" for f in rows.schema]
+    return rows.mapInPandas(run, ", ".join([*fields, f"{quoted(vector)} array<double>"]))
+
+
 def fill(texts: DataFrame, cache: DataFrame, path: str, model: str, client: Callable[[], Callable[[list[str]], list[list[float]]]], staging: str, text: str = "text", group: int = 1000, seconds: float = 240.0) -> DataFrame:
     """Embeds distinct texts that ``cache`` (hash) lacks, appends them to the table at ``path``; returns hash, erro of the rest.
 

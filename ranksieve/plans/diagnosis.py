@@ -9,6 +9,12 @@ from ranksieve.functions.names import free_names
 from ranksieve.functions.text import extension
 
 
+def characters(files: DataFrame, texts: DataFrame, key: str = "item", seq: str = "seq") -> DataFrame:
+    """``files`` (key, seq, name) with chars: how many characters their texts (key, seq, text) have in all, null without a text."""
+    sums = texts.groupBy(key, seq).agg(F.sum(F.length("text")).alias("chars"))
+    return files.select(key, seq, "name").join(sums, [key, seq], "left")
+
+
 def presence(listed: DataFrame, local: DataFrame, key: str = "item", seq: str = "seq") -> DataFrame:
     """Listed files with on_disk and, if so, the extension and the characters of their texts (0 where none could be read).
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -39,19 +41,15 @@ def selected(rows: DataFrame, score: str, n: int | None = None, flag: str | None
     return out if n is None else out.limit(n)
 
 
-def _units(spark: SparkSession, folder: str, units: Column) -> DataFrame:
+def profiles(spark: SparkSession, folder: str, units: Callable[[Column], Column] = profile_units) -> DataFrame:
+    """name (file stem), hash, unit, text of every unit of the Markdown profiles of a folder; ``units`` cuts a file into them."""
     raw = _whole(spark, folder, pathGlobFilter="*.md")
-    return raw.select("name", F.sha2("value", 256).alias("hash"), F.posexplode(units).alias("unit", "text"))
-
-
-def profiles(spark: SparkSession, folder: str) -> DataFrame:
-    """name (file stem), hash, unit, text of every unit of the Markdown profiles of a folder."""
-    return _units(spark, folder, profile_units(F.col("value")))
+    return raw.select("name", F.sha2("value", 256).alias("hash"), F.posexplode(units(F.col("value"))).alias("unit", "text"))
 
 
 def priority_profiles(spark: SparkSession, folder: str) -> DataFrame:
     """The same of priority groups, whose units are all bullets of a file."""
-    return _units(spark, folder, bullets(F.col("value")))
+    return profiles(spark, folder, bullets)
 
 
 def profile_cache(spark: SparkSession, folder: str) -> DataFrame:

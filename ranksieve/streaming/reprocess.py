@@ -53,3 +53,9 @@ def keep_ranking(scores: DataFrame, table: str, ranking: str, checkpoint: str, k
         ranked.write.mode("overwrite").parquet(ranking)
 
     return scores.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def append_vectors(vectors: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """A stream of (modelo, hash, vector) into the cache table: the first vector of a model and hash, once."""
+    once = vectors.dropDuplicates(["modelo", "hash"]).withColumn("ord", F.unix_micros(F.current_timestamp()))
+    return once.writeStream.format("parquet").partitionBy("modelo").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -309,3 +309,36 @@ def test_ranking_stream(spark, tmp_path):
     assert go() == ["a", "b"]
     (src / "2.json").write_text('{"item":"a","score":0.1,"ord":0}\n{"item":"d","score":0.9,"ord":3}\n')
     assert go() == ["d", "b"]
+
+
+def test_vector_stream_appends_once(spark, tmp_path):
+    from ranksieve.streaming.reprocess import append_vectors
+
+    schema = StructType.fromDDL("modelo string, hash string, vector array<double>")
+    src = tmp_path / "in"
+    src.mkdir()
+
+    def go():
+        append_vectors(spark.readStream.schema(schema).json(str(src)), str(tmp_path / "cache"), str(tmp_path / "cp")).awaitTermination()
+        return sorted((r["modelo"], r["hash"]) for r in spark.read.parquet(str(tmp_path / "cache")).collect())
+
+    (src / "1.json").write_text('{"modelo":"m","hash":"a","vector":[1]}\n{"modelo":"m","hash":"a","vector":[2]}\n{"modelo":"o","hash":"a","vector":[3]}\n')
+    assert go() == [("m", "a"), ("o", "a")]
+    (src / "2.json").write_text('{"modelo":"m","hash":"a","vector":[4]}\n{"modelo":"m","hash":"b","vector":[5]}\n')
+    assert go() == [("m", "a"), ("m", "b"), ("o", "a")]
+
+
+def test_embed_keeps_rows_together(spark):
+    rows = spark.createDataFrame([(1, "a", 9), (2, None, 8), (3, "ccc", 7)], "id int, text string, n int")
+    got = embedding.embed(rows, lambda: lambda texts: [[float(len(x))] for x in texts]).orderBy("id").collect()
+    assert [tuple(r) for r in got] == [(1, "a", 9, [1.0]), (2, None, 8, None), (3, "ccc", 7, [3.0])]
+    with pytest.raises(Exception, match="0 vectors for"):
+        embedding.embed(rows, lambda: lambda texts: []).collect()
+
+
+def test_characters_of_files(spark):
+    local = spark.createDataFrame([("i", 1, "a.PDF"), ("i", 2, "b.txt")], "item string, seq int, name string")
+    texts = spark.createDataFrame([("i", 2, "abc"), ("i", 2, "de")], "item string, seq int, text string")
+    listed = spark.createDataFrame([("i", 1, "k"), ("i", 2, "k"), ("i", 3, "k")], "item string, seq int, kind string")
+    out = diagnosis.presence(listed, diagnosis.characters(local, texts)).orderBy("seq").collect()
+    assert [(r["on_disk"], r["extension"], r["chars"]) for r in out] == [(True, ".pdf", 0), (True, ".txt", 5), (False, None, 0)]
