@@ -6,6 +6,9 @@ the share that it rejects are measured; rules then run in order of rejections pe
 only on what those before it let pass. The verdict is the conjunction of all rules, so the
 order never changes a result.
 
+``keep`` is where the order pays: a rule runs on what is left. ``measure`` reports the base measures of
+every row, so it makes those first, and the cascade saves the other rules' work only.
+
 Cases: a null text has no words and fails ``few_words``; an empty table gives an empty result;
 repeated rows are judged each for itself; other columns, whatever their names, pass untouched.
 """
@@ -48,12 +51,20 @@ class Batch:
         return kept[name]
 
     def take(self, rows: np.ndarray) -> Batch:
-        """Only these rows; measures already made are carried over."""
+        """Only these rows, in ascending order; measures already made are carried over."""
         lengths = np.diff(self.offs)[rows]
         offs = np.concatenate([[0], np.cumsum(lengths)])
         parts = [self.data[self.offs[i] : self.offs[i + 1]] for i in rows]
         out = Batch(np.concatenate(parts) if parts else self.data[:0], offs)
         out._kept = {k: v[rows] for k, v in self._kept.items() if k in _PER_ROW}
+        if "words" in self._kept:
+            starts, ends, hashes, bounds = self._kept["words"]
+            count = np.diff(bounds)
+            there = np.zeros(self.n, bool)
+            there[rows] = True
+            own = np.repeat(there, count)
+            shift = np.repeat(offs[:-1] - self.offs[rows], count[rows])
+            out._kept["words"] = starts[own] + shift, ends[own] + shift, hashes[own], np.concatenate([[0], np.cumsum(count[rows])])
         return out
 
 
@@ -166,8 +177,10 @@ def estimate(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULE
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
         for _, _, b in _batches(batch.column(0)):
+            shared = b.words  # what several rules share is no rule's own cost
             for r in rules:
                 fresh = Batch(b.data, b.offs)
+                fresh._kept["words"] = shared
                 began = time.perf_counter_ns()
                 n = int(np.count_nonzero(r.rejects(fresh)))
                 out.append((r.name, b.n, n, time.perf_counter_ns() - began))
@@ -176,7 +189,7 @@ def estimate(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULE
         )
 
     share = min(1.0, 2 * rows / max(1, docs.count()))  # so about twice ``rows`` rows meet in the limit, at any size
-    few = docs.select(F.col(text).alias("text")).sample(fraction=share, seed=7).limit(rows)
+    few = docs.select(F.col(c.quoted(text)).alias("text")).sample(fraction=share, seed=7).limit(rows)
     found = c.map_batches(few, run, "rule string, n_rows long, n_rejected long, cost_ns long")
     return found.groupBy("rule").agg(F.sum("n_rows").alias("n_rows"), F.sum("n_rejected").alias("n_rejected"), F.sum("cost_ns").alias("cost_ns"))
 
@@ -209,9 +222,9 @@ def measure(docs: DataFrame, order: tuple[Rule, ...], id_col: str = "doc_id", te
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         cols: dict[str, list] = {k: [] for k in (*names, "base_failed", "kept")}
         for _, _, b in _batches(batch.column(1)):
-            kept = cascade(b, order)
-            for k in names:
+            for k in names:  # asked for of every row; the cascade finds them made and adds the other rules' measures
                 cols[k].append(getattr(b, k))
+            kept = cascade(b, order)
             failed = np.logical_or.reduce([r.rejects(b) for r in BASE])
             cols["base_failed"].append(failed)
             cols["kept"].append(kept & ~failed)
@@ -219,7 +232,7 @@ def measure(docs: DataFrame, order: tuple[Rule, ...], id_col: str = "doc_id", te
 
     ids = docs.schema[id_col].dataType.simpleString()
     schema = f"doc_id {ids}, " + ", ".join(f"{k} long" for k in names) + ", base_failed boolean, kept boolean"
-    return c.map_batches(docs.select(id_col, text), run, schema)
+    return c.map_batches(docs.select(F.col(c.quoted(id_col)), F.col(c.quoted(text))), run, schema)
 
 
 def keep(docs: DataFrame, order: tuple[Rule, ...], text: str = "text") -> DataFrame:
