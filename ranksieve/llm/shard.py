@@ -2,7 +2,8 @@
 
 Documents are ordered by a hash of their text, so equal texts are neighbours. A sample weighted by
 size gives splitters at its quantiles, which cut the order into many narrow ranges; ranges found
-overfull, by bytes or by rows, are cut again at splitters of a sample of their own. Then
+overfull, by bytes or by rows, are cut again at splitters of a sample of their own, until none is or
+none can be cut. Then
 the exact sizes of the ranges give each shard a run of consecutive ranges of nearly the same bytes.
 Groups of equal texts stay in one shard unless they hold more than GROUP of a shard's bytes; such
 groups are cut into parts by a hash of the id first. Slots are places in a range plus what the
@@ -23,8 +24,8 @@ from pyspark.sql import functions as F
 
 from . import common as c
 
-#: Ranges a shard, keys in a sample, rounds of subdividing, and the part of a shard that a group may hold whole.
-RANGES, SAMPLE, ROUNDS, GROUP = 64, 32_768, 6, 0.1
+#: Ranges a shard, keys in a sample, and the part of a shard that a group may hold whole.
+RANGES, SAMPLE, GROUP = 64, 32_768, 0.1
 
 Key = tuple[int, int]
 
@@ -85,7 +86,7 @@ def shards(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id", text: st
         return [k for r in picked.collect() for k in [(r["h"], r["part"])] * min(r["count"], SAMPLE)]
 
     splitters = _quantiles(sample(keyed, 1.0), n_shards * RANGES) if n else []
-    for _ in range(ROUNDS):
+    while True:
         sizes = _sizes(keyed, splitters)
         over = [r for r, (size, count, keys, _, _) in sizes.items() if keys > 1 and (size > 2 * target or count > 4 * target_rows)]
         if not over:
@@ -99,8 +100,6 @@ def shards(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id", text: st
         if more <= set(splitters):
             break
         splitters = sorted({*splitters, *more})
-    else:
-        sizes = _sizes(keyed, splitters)
 
     place: dict[int, tuple[int, int]] = {}
     done, filled, last, last_h = 0, [0] * n_shards, 0, None
