@@ -459,3 +459,57 @@ def test_pipeline(spark, tmp_path, texts):
     docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, str(tmp_path)).columns == docs.columns
+
+
+def brute_pipeline(rows, items):
+    """doc_id to text as the stages leave it: rules, groups, windows and spans tried one by one."""
+    import tiktoken
+
+    def passes(x):
+        n, chars, symbols, dup, repeated = brute_quality(x)
+        w = re.findall(r"[^\x20\x09-\x0D]+", x or "")
+        lines = sum(bool(re.search(r"[^\x20\x09-\x0D]", line)) for line in (x or "").split("\n"))
+        doubled = sum(a == b for a, b in zip(w, w[1:], strict=False))
+        return not (n < 10 or 100 * repeated > 20 * n or 10 * symbols > n or 2 * (x or "").count("!") > n or chars < 2 * n or chars > 20 * n or 10 * dup > 3 * lines or 10 * doubled > 3 * n)
+
+    left = [(i, x) for i, x in rows if passes(x)]
+    left = [left[k] for k, (_, root) in enumerate(brute_groups([x for _, x in left], 80)) if root == k]
+    left = [(i, x) for i, x in left if not decontam.brute(x, items)["contaminated"]]
+    out = {}
+    for i, x in left:
+        at, parts = 0, []
+        for span in filter(None, brute_added(x).split(",")):
+            _, a, b = span.split(":")
+            if int(a) >= at:
+                parts += [x[at : int(a)], "[SECRET]"]
+            at = max(at, int(b))
+        out[i] = "".join([*parts, x[at:]])
+    ranks = bpe.Encoder.load(P.path("byte_bpe_50k.tiktoken"), P.PATTERN).v.ranks
+    lib = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return {i: (lib.encode_ordinary(x), hashlib.sha256(x.encode()).hexdigest()) for i, x in out.items()}
+
+
+def test_pipeline_against_brute_force(spark, tmp_path):
+    rng = random.Random(12)
+    base = [" ".join(rng.choice(["alpha", "beta", "gamma", "delta", "Épsilon,"]) + str(rng.randrange(10_000)) for _ in range(rng.randrange(30, 150))) for _ in range(25)]
+    draw = lambda a: "".join(rng.choice(a) for _ in range(40))
+    letters = "ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"
+    leak = " ".join(base[3].split()[5:25])
+    own = list(base)
+    own += [base[k] for k in (0, 0, 1)] + [base[k] + " end" for k in (2, 4)]
+    for k in (5, 6, 7, 8):  # near copies on both sides of the similarity
+        w = base[k].split()
+        for at in range(0, len(w), rng.choice([12, 25, 60])):
+            w[at] = "other"
+        own.append(" ".join(w))
+    own += [f"{base[9]} password = '{draw(letters)}' and {draw(letters + '0123456789')}, AKIA{'Q7' * 8} {base[10][:40]}", f"{draw('0123456789abcdef')} {base[11]}\n{draw('0123456789abcdef')}x", f"{base[12]} {leak}", leak.upper() + " and more of it"]
+    own += [None, "", "few words", "# " * 60, base[13] + " !" * 90, "same words again and again " * 9, "\n".join([base[14][:50]] * 8), "a b c d e f g h i j k l", "x" * 300 + " y" * 12]
+    rows = list(enumerate(own))
+    rng.shuffle(rows)
+    spark.createDataFrame([(i, x, "en", "s", len(x or "")) for i, x in rows], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    items = [(1, leak), (2, None), (3, "...")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    want = brute_pipeline(sorted(rows, key=lambda r: r[0]), items)
+    got = {r["doc_id"]: (r["ids"], r["decoded_sha256"]) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    assert got == want
+    assert 20 < len(want) < len(own) - 15 and sum(hashlib.sha256((own[i] or "").encode()).hexdigest() != d for i, (_, d) in want.items()) == 2
