@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ranksieve.functions.names import free_names
 
 
+def _sum(terms: list[Column]) -> Column:
+    """In a tree of little depth."""
+    half = len(terms) // 2
+    return terms[0] if len(terms) == 1 else _sum(terms[:half]) + _sum(terms[half:])
+
+
 #: Rows whose keys the driver sees to split the order, and rows a range, about, at most RANGES of them.
 SAMPLE, RANGE_ROWS, RANGES = 4096, 100_000, 512
 
@@ -27,16 +33,17 @@ def mark(scores: DataFrame, n: int, score: str = "score", ord: str = "ord", flag
         parts = min(RANGES, -(-scores.count() // RANGE_ROWS))
         keys = sorted(((r[0] is None, -(r[0] or 0.0), r[1]) for r in sample if r[1] is not None))
         cuts = sorted({keys[len(keys) * i // parts] for i in range(1, parts)})
-        after = F.lit(0)
-        for none, value, at in cuts:  # whether a row stands behind the cut
+
+        def behind(none: bool, value: float, at) -> Column:
             late = a.isNull() & (b > F.lit(at)) if none else a.isNull() | (a < -value) | ((a == -value) & (b > F.lit(at)))
-            after = after + F.coalesce(late, F.lit(False)).cast("int")
-        ranged = scores.withColumn(bucket, after)
+            return F.coalesce(late, F.lit(False)).cast("int")
+
+        ranged = scores.withColumn(bucket, _sum([behind(*cut) for cut in cuts]) if cuts else F.lit(0))
         counts = {r[0]: r[1] for r in ranged.groupBy(bucket).count().collect()}
         before = [sum(counts.get(k, 0) for k in range(i)) for i in range(len(cuts) + 1)]
     order = Window.partitionBy(bucket).orderBy(F.desc_nulls_last(score), F.asc(ord))
-    start = F.element_at(F.array(*map(F.lit, before)), F.col(bucket) + 1)
-    out = ranged.withColumn("position", (start + F.row_number().over(order)).cast("int"))
+    start = F.element_at(F.array(*map(F.lit, before)).cast("array<bigint>"), F.col(bucket) + 1)
+    out = ranged.withColumn("position", start + F.row_number().over(order))
     return out.drop(bucket).withColumn(flag, F.col("position") <= n)
 
 

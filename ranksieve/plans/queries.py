@@ -87,7 +87,7 @@ def q09_cosine_pairs(s, d):
 
 
 def q10_triage_rank(s, d):
-    return ranking.mark(_triage(s, d), 300).select("ord", "score", "product", "position", "selected")
+    return ranking.mark(_triage(s, d), 300).select("ord", "score", "product", F.col("position").cast("int").alias("position"), "selected")
 
 
 def q11_product_counts(s, d):
@@ -123,7 +123,7 @@ def q15_adherence_cap(s, d):
 
 
 def q16_adherence_full(s, d):
-    return ranking.mark(_adherence(s, d, _kept(s, d)), 20, ord="item").select("item", "score", "product", "position", "selected")
+    return ranking.mark(_adherence(s, d, _kept(s, d)), 20, ord="item").select("item", "score", "product", F.col("position").cast("int").alias("position"), "selected")
 
 
 def q17_explain_scores(s, d):
