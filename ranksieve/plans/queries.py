@@ -398,41 +398,100 @@ ORACLES = {
     "q01_split_lines": f"WITH {_LINES} SELECT doc_id, CAST(line_ord AS INTEGER) AS line_ord, line FROM lines",
     "q02_header_lines": f"WITH {_LINES} SELECT doc_id, CAST(line_ord AS INTEGER) AS line_ord, line FROM lines WHERE {_HEAD}",
     "q03_sections": f"WITH {_SECTIONS} SELECT * FROM sections",
-    "q04_degenerate_flag": f"WITH {_SECTIONS} SELECT doc_id, count(*) AS n_sections, count(*) >= 2 AND avg(length(section)) < 2000 AS degenerate FROM sections GROUP BY doc_id",
-    "q05_windows": "SELECT doc_id, CAST(i AS INTEGER) AS window_ord, substr(text, CAST(i * 1700 + 1 AS BIGINT), 2000) AS window_text FROM (SELECT doc_id, text, unnest(range(CAST(greatest(0, ceil((length(text) - 2000) / 1700.0)) AS BIGINT) + 1)) AS i FROM documents)",
+    "q04_degenerate_flag": (
+        f"WITH {_SECTIONS} SELECT doc_id, count(*) AS n_sections, count(*) >= 2 AND avg(length(section)) < 2000 AS degenerate "
+        "FROM sections GROUP BY doc_id"
+    ),
+    "q05_windows": (
+        "SELECT doc_id, CAST(i AS INTEGER) AS window_ord, substr(text, CAST(i * 1700 + 1 AS BIGINT), 2000) AS window_text "
+        "FROM (SELECT doc_id, text, unnest(range(CAST(greatest(0, ceil((length(text) - 2000) / 1700.0)) AS BIGINT) + 1)) AS i "
+        "FROM documents)"
+    ),
     "q06_chunks": f"WITH {_CHUNKS} SELECT * FROM chunks",
-    "q07_chunk_stats": f"WITH {_CHUNKS}, n AS (SELECT count(*) AS n FROM chunks GROUP BY doc_id) SELECT CAST(sum(n) AS BIGINT) AS chunks, quantile_cont(n, 0.5) AS median_n, quantile_cont(n, 0.95) AS p95_n FROM n",
+    "q07_chunk_stats": (
+        f"WITH {_CHUNKS}, n AS (SELECT count(*) AS n FROM chunks GROUP BY doc_id) "
+        "SELECT CAST(sum(n) AS BIGINT) AS chunks, quantile_cont(n, 0.5) AS median_n, quantile_cont(n, 0.95) AS p95_n "
+        "FROM n"
+    ),
     "q08_distinct_chunks": f"WITH {_CHUNKS} SELECT sha256(chunk) AS hash, min(doc_id) AS first_doc, count(*) AS n FROM chunks GROUP BY 1",
     "q09_cosine_pairs": f"WITH {_VEC} SELECT ord, unit, score FROM pairs",
-    "q10_triage_rank": f"WITH {_TRIAGE} SELECT ord, score, product, CAST(row_number() OVER w AS INTEGER) AS position, row_number() OVER w <= 300 AS selected FROM tri WINDOW w AS (ORDER BY score DESC, ord)",
-    "q11_product_counts": f"WITH {_TRIAGE} SELECT coalesce(product, 'total') AS product, count(*) AS n, round(avg(score), 4) AS mean_score, max(score) AS max_score FROM tri GROUP BY ROLLUP (product)",
+    "q10_triage_rank": (
+        f"WITH {_TRIAGE} SELECT ord, score, product, CAST(row_number() OVER w AS INTEGER) AS position, row_number() OVER w <= 300 AS "
+        "selected FROM tri WINDOW w AS (ORDER BY score DESC, ord)"
+    ),
+    "q11_product_counts": (
+        f"WITH {_TRIAGE} SELECT coalesce(product, 'total') AS product, count(*) AS n, round(avg(score), 4) AS mean_score, max(score) "
+        "AS max_score FROM tri GROUP BY ROLLUP (product)"
+    ),
     "q12_classify_chunks": f"WITH {_CLASS} SELECT * FROM cls",
     "q13_adherence_no_priority": f"WITH {_VEC}, {_ADHERE % 'true'} SELECT * FROM adh",
     "q14_priority_filter": f"WITH {_CLASS} SELECT item, count(*) AS n_kept FROM cls WHERE class <> 'baixa' GROUP BY item",
-    "q15_adherence_cap": f"WITH {_VEC}, f AS (SELECT ord FROM (SELECT ord, row_number() OVER (PARTITION BY item ORDER BY ord) AS k FROM items) WHERE k <= 5), {_ADHERE % 'ord IN (SELECT ord FROM f)'} SELECT * FROM adh",
+    "q15_adherence_cap": (
+        f"WITH {_VEC}, f AS (SELECT ord FROM (SELECT ord, row_number() OVER (PARTITION BY item ORDER BY ord) AS k "
+        f"FROM items) WHERE k <= 5), {_ADHERE % 'ord IN (SELECT ord FROM f)'} SELECT * "
+        "FROM adh"
+    ),
     "q16_adherence_full": f"WITH {_CLASS}, {_ADHERE % "ord IN (SELECT chunk FROM cls WHERE class <> 'baixa')"} SELECT item, score, product, CAST(row_number() OVER w AS INTEGER) AS position, row_number() OVER w <= 20 AS selected FROM adh WINDOW w AS (ORDER BY score DESC, item)",
-    "q17_explain_scores": f"WITH {_VEC} SELECT ord, unit, score, CAST(k AS INTEGER) AS k FROM (SELECT *, row_number() OVER (PARTITION BY ord ORDER BY score DESC, unit) AS k FROM pairs) WHERE k <= 3",
+    "q17_explain_scores": (
+        f"WITH {_VEC} SELECT ord, unit, score, CAST(k AS INTEGER) AS k FROM (SELECT *, row_number() OVER (PARTITION BY ord ORDER BY "
+        "score DESC, unit) AS k FROM pairs) WHERE k <= 3"
+    ),
     "q18_main_documents": f"""WITH f AS (SELECT p_partkey, p_partkey % 7 + p_partkey // 50 * 7 AS notice, ({_KIND_SQL})[CAST(p_partkey % {len(_KINDS)} + 1 AS BIGINT)] AS kind FROM part),
  r AS (SELECT *, kind = 'Edital' AS n, list_position(['Termo de Referência', 'Projeto Básico', 'Estudo Técnico Preliminar'], kind) AS m, list_position(['DFD', 'Minuta do Contrato', 'Minuta de Ata de Registro de Preços', 'Outros Documentos', 'Mapa de Riscos'], kind) AS l FROM f),
  b AS (SELECT *, bool_or(n) OVER w AS hn, min(nullif(m, 0)) OVER w AS bm, min(nullif(l, 0)) OVER w AS bl FROM r WINDOW w AS (PARTITION BY notice))
  SELECT notice, p_partkey, kind FROM b WHERE CASE WHEN hn OR bm IS NOT NULL THEN n OR coalesce(nullif(m, 0) = bm, false) WHEN bl IS NOT NULL THEN coalesce(nullif(l, 0) = bl, false) ELSE true END""",
-    "q19_cache_misses": "SELECT DISTINCT sha256(text) AS hash FROM documents WHERE sha256(text) NOT IN (SELECT sha256(text) FROM documents WHERE doc_id % 2 = 0)",
+    "q19_cache_misses": (
+        "SELECT DISTINCT sha256(text) AS hash FROM documents WHERE sha256(text) NOT IN (SELECT sha256(text) "
+        "FROM documents WHERE doc_id % 2 = 0)"
+    ),
     "q20_cache_lookup": "SELECT doc_id AS ord, max(doc_id) OVER (PARTITION BY text) AS last_entry FROM documents",
     "q21_reprocess": "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS date FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 5 = 0",
-    "q22_index_join": "SELECT o_orderkey, coalesce(c_name, '') AS c_name, coalesce(n_name, '') AS n_name FROM orders LEFT JOIN (SELECT * FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 0) ON o_custkey = c_custkey",
-    "q23_missing_in_index": "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_totalprice > 400000)",
-    "q24_semi_main_files": "SELECT l_returnflag, count(*) AS n FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size <= 10) GROUP BY 1",
+    "q22_index_join": (
+        "SELECT o_orderkey, coalesce(c_name, '') AS c_name, coalesce(n_name, '') AS n_name "
+        "FROM orders LEFT JOIN (SELECT * FROM customer JOIN nation ON c_nationkey = n_nationkey "
+        "WHERE c_acctbal > 0) ON o_custkey = c_custkey"
+    ),
+    "q23_missing_in_index": (
+        "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey "
+        "FROM orders WHERE o_custkey IS NOT NULL AND o_totalprice > 400000)"
+    ),
+    "q24_semi_main_files": (
+        "SELECT l_returnflag, count(*) AS n FROM lineitem WHERE l_partkey IN (SELECT p_partkey "
+        "FROM part WHERE p_size <= 10) GROUP BY 1"
+    ),
     "q25_union_days": "SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n FROM events GROUP BY 1",
     "q26_ordered_concat": "SELECT conv_id, string_agg(text, chr(10) ORDER BY turn, text) AS text FROM conversations GROUP BY 1",
     "q27_rank_slice": f"WITH {_TRIAGE} SELECT ord, score FROM tri ORDER BY score DESC, ord LIMIT 10 OFFSET 20",
-    "q28_first_files": "SELECT l_orderkey, l_linenumber, CAST(k AS INTEGER) AS k FROM (SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS k FROM lineitem) WHERE k <= 2",
-    "q29_ratio_to_base": "SELECT event_type, n, round(n / first_value(n) OVER (ORDER BY event_type), 6) AS ratio FROM (SELECT event_type, count(*) AS n FROM events GROUP BY 1)",
-    "q30_payload_fields": "SELECT o_orderkey, o_orderkey || '/' || year(o_orderdate) AS label, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || CASE WHEN o_orderkey % 3 = 2 THEN '+03:00' ELSE 'Z' END AS published, strftime(o_orderdate, '%d/%m/%Y') AS shown, 'https://example.org/' || c_custkey || '/' || o_orderkey AS link FROM orders JOIN customer ON o_custkey = c_custkey",
+    "q28_first_files": (
+        "SELECT l_orderkey, l_linenumber, CAST(k AS INTEGER) AS k FROM (SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION "
+        "BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS k FROM lineitem) "
+        "WHERE k <= 2"
+    ),
+    "q29_ratio_to_base": (
+        "SELECT event_type, n, round(n / first_value(n) OVER (ORDER BY event_type), 6) AS ratio "
+        "FROM (SELECT event_type, count(*) AS n FROM events GROUP BY 1)"
+    ),
+    "q30_payload_fields": (
+        "SELECT o_orderkey, o_orderkey || '/' || year(o_orderdate) AS label, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || CASE WHEN "
+        "o_orderkey % 3 = 2 THEN '+03:00' ELSE 'Z' END AS published, strftime(o_orderdate, '%d/%m/%Y') AS shown, "
+        "'https://example.org/' || c_custkey || '/' || o_orderkey AS link FROM orders "
+        "JOIN customer ON o_custkey = c_custkey"
+    ),
     "q31_half_even": "SELECT vec_id, CAST(round_even(CAST(vec_id / 200 * 100 AS DOUBLE), 0) AS INTEGER) AS pct FROM embeddings",
-    "q32_file_names": r"SELECT page_id, regexp_extract(p, '([^/]*)/*$', 1) AS name, translate(url, '/\', '__') AS slug, lower(regexp_extract(p, '[^/](\.[^./]+)$', 1)) AS ext FROM (SELECT page_id, url, regexp_replace(url, '[?#].*$', '') AS p FROM pages)",
-    "q33_est_tokens": "SELECT lang, CAST(sum(greatest(1, length(text) // 4)) AS BIGINT) AS tokens, max(greatest(1, length(text) // 4)) AS most FROM documents GROUP BY 1",
+    "q32_file_names": (
+        r"SELECT page_id, regexp_extract(p, '([^/]*)/*$', 1) AS name, translate(url, '/\', '__') AS slug, lower(regexp_extract(p, "
+        r"'[^/](\.[^./]+)$', 1)) AS ext FROM (SELECT page_id, url, regexp_replace(url, '[?#].*$', '') AS p "
+        r"FROM pages)"
+    ),
+    "q33_est_tokens": (
+        "SELECT lang, CAST(sum(greatest(1, length(text) // 4)) AS BIGINT) AS tokens, max(greatest(1, length(text) // 4)) AS most "
+        "FROM documents GROUP BY 1"
+    ),
     "q34_counters_by_type": "SELECT event_type, count(*) AS n, min(event_id) AS first_id, round(sum(value), 3) AS total FROM events GROUP BY 1",
-    "q35_false_positive_rate": "SELECT count(*) AS k, round(avg(CASE WHEN quality = 0 THEN 1.0 ELSE 0.0 END), 6) AS fp_rate FROM (SELECT quality FROM documents JOIN labels USING (doc_id) ORDER BY n_chars DESC, doc_id LIMIT 100)",
+    "q35_false_positive_rate": (
+        "SELECT count(*) AS k, round(avg(CASE WHEN quality = 0 THEN 1.0 ELSE 0.0 END), 6) AS fp_rate "
+        "FROM (SELECT quality FROM documents JOIN labels USING (doc_id) ORDER BY n_chars DESC, doc_id LIMIT 100)"
+    ),
     "q36_text_truncation": "SELECT doc_id, substr(text, 1, 1800) AS shown FROM documents",
     "q37_json_semantics": "SELECT event_id, event_id % 3 = 2 AS active FROM events",
     "q38_greedy_batches": """WITH RECURSIVE d AS (SELECT lang, doc_id, greatest(1, length(text) // 4) AS t, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS r FROM documents),
@@ -441,7 +500,10 @@ ORACLES = {
  FROM b JOIN d ON d.lang = b.lang AND d.r = b.r + 1)
  SELECT lang, batch, count(*) AS n, min(doc_id) AS first_doc FROM b GROUP BY 1, 2""",
     "q39_chunk_hash": f"WITH {_CHUNKS} SELECT doc_id, chunk_ord, sha256(chunk) AS hash FROM chunks",
-    "q40_pairwise_triage": f"WITH {_VEC} SELECT ord, score, name AS product FROM (SELECT *, row_number() OVER (PARTITION BY ord ORDER BY score DESC, unit) AS k FROM ({_DENSE % ('p', 'vec_id >= 0', 'vec_id < 49')})) WHERE k = 1",
+    "q40_pairwise_triage": (
+        f"WITH {_VEC} SELECT ord, score, name AS product FROM (SELECT *, row_number() OVER (PARTITION BY ord ORDER BY score DESC, "
+        f"unit) AS k FROM ({_DENSE % ('p', 'vec_id >= 0', 'vec_id < 49')})) WHERE k = 1"
+    ),
     "q41_profile_comparison": f"""WITH {_VEC}, o AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ord ORDER BY score DESC, unit) AS k FROM ({_DENSE % ('p', 'vec_id >= 157', 'vec_id < 49')})) WHERE k = 1),
  n AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ord ORDER BY score DESC, unit) AS k FROM ({_DENSE % ('o', 'vec_id >= 157', 'vec_id BETWEEN 57 AND 156')})) WHERE k = 1),
  t AS (SELECT *, CAST(row_number() OVER (ORDER BY score DESC, ord) AS INTEGER) AS position FROM n ORDER BY score DESC, ord LIMIT 50)
@@ -452,18 +514,32 @@ ORACLES = {
  r AS (SELECT *, bytes / 1048576 / seconds AS mb, files / seconds AS fs FROM b), g AS (SELECT *, mb / first_value(mb) OVER (ORDER BY level) AS gain FROM r)
  SELECT level, seconds, round(mb, 6) AS mb_per_s, round(fs, 6) AS files_per_s, round(gain, 6) AS gain, round(gain * 100 / level, 6) AS efficiency, transient, other_failures FROM g""",
     "q43_presence": f"WITH {_PRESENT} SELECT item, seq, kind, on_disk, extension, chars FROM present",
-    "q44_common_extensions": f"WITH {_PRESENT}, e AS (SELECT extension, count(*) AS n, count(*) FILTER (chars = 0) AS n_empty, min(seq) AS first FROM present WHERE extension IS NOT NULL GROUP BY 1) SELECT extension, n, n_empty, CAST(row_number() OVER (ORDER BY n DESC, first) AS INTEGER) AS position FROM e",
+    "q44_common_extensions": (
+        f"WITH {_PRESENT}, e AS (SELECT extension, count(*) AS n, count(*) FILTER (chars = 0) AS n_empty, min(seq) AS first "
+        "FROM present WHERE extension IS NOT NULL GROUP BY 1) SELECT extension, n, n_empty, CAST(row_number() OVER (ORDER BY n DESC, "
+        "first) AS INTEGER) AS position FROM e"
+    ),
     "q45_rechunk_report": f"WITH {_RECHUNK} SELECT * FROM report",
-    "q46_rechunk_totals": f"WITH {_RECHUNK} SELECT count(*) AS items, CAST(sum(chunks_before) AS BIGINT) AS total_before, CAST(sum(chunks_after) AS BIGINT) AS total_after, count(*) FILTER (docs_main = 0) AS without_main, count(*) FILTER (chunks_after = 0) AS without_chunks FROM report",
+    "q46_rechunk_totals": (
+        f"WITH {_RECHUNK} SELECT count(*) AS items, CAST(sum(chunks_before) AS BIGINT) AS total_before, CAST(sum(chunks_after) AS "
+        "BIGINT) AS total_after, count(*) FILTER (docs_main = 0) AS without_main, count(*) FILTER (chunks_after = 0) AS "
+        "without_chunks FROM report"
+    ),
     "q47_diagnosis": f"""WITH {_PRESENT}, k AS (SELECT DISTINCT p_partkey // 7 AS item FROM part WHERE p_partkey % 11 = 0)
  SELECT item, count(*) FILTER (NOT on_disk) AS n_missing, string_agg(seq || ':' || kind || ':' || on_disk || ':' || coalesce(extension, 'None') || ':' || chars, ',' ORDER BY seq) AS files FROM present WHERE item NOT IN (SELECT item FROM k) GROUP BY item""",
-    "q48_descriptors": f"WITH {_MAIN_SQL} SELECT item, string_agg(seq || '|' || kind || '|PDF|' || p_name, ',' ORDER BY seq) AS documents FROM main GROUP BY item",
+    "q48_descriptors": (
+        f"WITH {_MAIN_SQL} SELECT item, string_agg(seq || '|' || kind || '|PDF|' || p_name, ',' ORDER BY seq) AS documents "
+        "FROM main GROUP BY item"
+    ),
     "q49_panel": """SELECT CAST(o_orderkey AS VARCHAR) AS numero_controle_pncp, o_orderkey || '/' || year(o_orderdate) AS numero_compra, c_name AS orgao, c_mktsegment AS unidade, 'SP' AS uf, CAST(NULL AS VARCHAR) AS municipio,
  o_orderpriority AS modalidade, o_orderstatus AS objeto, o_totalprice AS valor_estimado, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS data_publicacao, CAST(NULL AS VARCHAR) AS data_abertura_propostas, 'x' AS data_encerramento_propostas,
  'https://example.org/' || c_custkey || '/' || year(o_orderdate) || '/' || o_orderkey AS link_pncp, CAST(round_even(o_orderkey % 1000 / 1000 * 100, 0) AS INTEGER) AS score,
  CASE WHEN o_orderkey % 4 = 0 THEN 'none' WHEN o_orderkey % 3 = 0 THEN 'read' ELSE 'old' END AS justificativa_ia, CASE WHEN o_orderkey % 4 > 0 AND o_orderkey % 3 = 0 THEN o_orderkey % 2 = 0 END AS ia_aderente,
  CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 0 END AS n_documents FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 10 < 3""",
-    "q50_constant_lookup": "SELECT o_orderkey, score, reason FROM orders LEFT JOIN (VALUES ('1-URGENT', 0.9::DOUBLE, 'first'), ('3-MEDIUM', 0.5::DOUBLE, 'later'), ('none', 0.1::DOUBLE, 'never')) AS v(p, score, reason) ON o_orderpriority = p",
+    "q50_constant_lookup": (
+        "SELECT o_orderkey, score, reason FROM orders LEFT JOIN (VALUES ('1-URGENT', 0.9::DOUBLE, 'first'), ('3-MEDIUM', 0.5::DOUBLE, "
+        "'later'), ('none', 0.1::DOUBLE, 'never')) AS v(p, score, reason) ON o_orderpriority = p"
+    ),
     "q51_scalars": """SELECT event_id, CASE WHEN event_id % 5 > 0 THEN strftime(ts, '%Y-%m-%d') ELSE '' END AS day, CASE WHEN event_id % 5 > 0 THEN strftime(ts, '%Y%m%d') ELSE '' END AS compact, event_id % 3 = 0 AS too_many,
  'About ' || event_type || ': ' || CASE WHEN event_id % 7 > 0 THEN props ELSE '[nothing]' END || '.' AS prompt, round_even(event_id / 16, 2) AS rounded FROM events""",
     "q52_failed_left_out": f"WITH {_VEC} SELECT DISTINCT item FROM items WHERE item % 4 <> 1",
