@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ranksieve.functions import vectors as v
-from ranksieve.functions.names import quoted
+from ranksieve.functions.names import free_names, quoted
 
 #: Largest profile that is broadcast, in rows.
 PROFILE_ROWS = 10_000
@@ -28,31 +28,36 @@ def small(profile: DataFrame) -> DataFrame:
     return F.broadcast(profile)
 
 
-def _pairs(rows: DataFrame, profile: DataFrame, vector: str) -> DataFrame:
-    """Every row with every profile vector: the profile is a stated, bounded query set."""
-    left = rows.withColumn("__n", v.norm(F.col(vector)))
-    right = small(profile.select(F.col("name").alias("__name"), F.col("unit").alias("__unit"), F.col("vector").alias("__v"), v.norm(F.col("vector")).alias("__pn")))
-    pairs = left.crossJoin(right)
-    return pairs.withColumn("score", v.cosine(F.col(vector), F.col("__v"), F.col("__n"), F.col("__pn")))
+def _pairs(rows: DataFrame, profile: DataFrame, vector: str, keep: list[str]) -> tuple[DataFrame, str, str, str]:
+    """The kept columns of every row with every profile vector, and the names of three more: score, name and unit."""
+    own, norm, name, unit, other, length, score = free_names(rows, "own", "norm", "name", "unit", "other", "length", "score")
+    of = F.col(quoted(vector))
+    left = rows.select(*[F.col(quoted(x)) for x in keep], of.alias(own), v.norm(of).alias(norm))
+    right = small(profile.select(F.col("name").alias(name), F.col("unit").alias(unit), F.col("vector").alias(other), v.norm(F.col("vector")).alias(length)))
+    pairs = left.crossJoin(right).withColumn(score, v.cosine(F.col(own), F.col(other), F.col(norm), F.col(length)))
+    return pairs.drop(own, norm, other, length), score, name, unit
 
 
 def triage(items: DataFrame, profile: DataFrame, ord: str = "ord", vector: str = "vector") -> DataFrame:
     """ord, score, product: the best profile vector of each item; the first of equals. Fails on an empty profile."""
     if not profile.limit(1).count():
         raise ValueError("the profile is empty")
-    best = _pairs(items, profile, vector).groupBy(ord).agg(F.max_by(F.struct("score", F.col("__name").alias("product")), F.struct("score", -F.col("__unit"))).alias("b"))
+    pairs, score, name, unit = _pairs(items, profile, vector, [ord])
+    first = F.struct(F.col(score), -F.col(unit))
+    best = pairs.groupBy(ord).agg(F.max_by(F.struct(F.col(score).alias("score"), F.col(name).alias("product")), first).alias("b"))
     return best.select(ord, "b.score", "b.product")
 
 
 def classify(chunks: DataFrame, priority: DataFrame, vector: str = "vector") -> DataFrame:
-    """Adds ``class``: baixa only if its best similarity is strictly above that of incluir."""
+    """Adds low, keep and ``class``, which is baixa only if its best similarity is strictly above that of incluir."""
     keys = [x for x in chunks.columns if x != vector]
-    pairs = _pairs(chunks, priority, vector)
+    pairs, score, name, _ = _pairs(chunks, priority, vector, keys)
 
     def best(group: str) -> Column:
-        return F.coalesce(F.max(F.when(F.col("__name") == group, F.col("score"))), F.lit(-1.0))
+        return F.coalesce(F.max(F.when(F.col(name) == group, F.col(score))), F.lit(-1.0))
 
-    return pairs.groupBy(*keys).agg(best("baixa").alias("low"), best("incluir").alias("keep")).withColumn("class", F.when(F.col("low") > F.col("keep"), "baixa").otherwise("incluir"))
+    both = pairs.groupBy(*map(quoted, keys)).agg(best("baixa").alias("low"), best("incluir").alias("keep"))
+    return both.withColumn("class", F.when(F.col("low") > F.col("keep"), "baixa").otherwise("incluir"))
 
 
 def adherence(keys: DataFrame, chunks: DataFrame, profile: DataFrame, key: str = "item", ord: str = "chunk", vector: str = "vector") -> DataFrame:
@@ -70,7 +75,9 @@ def without_failed(keys: DataFrame, failed: DataFrame, key: str = "item") -> Dat
 
 
 def explain(chunks: DataFrame, profile: DataFrame, vector: str = "vector") -> DataFrame:
-    return _pairs(chunks, profile, vector).drop("__v", "__n", "__pn", vector).withColumnsRenamed({"__name": "name", "__unit": "unit"})
+    """All columns but the vector, and name, unit and score of every profile vector."""
+    pairs, score, name, unit = _pairs(chunks, profile, vector, [x for x in chunks.columns if x != vector])
+    return pairs.withColumnsRenamed({name: "name", unit: "unit", score: "score"})
 
 
 #: Profile vectors that a task multiplies with at a time.
