@@ -150,6 +150,27 @@ def test_near_duplicates_edges(spark, texts):
     assert minhash.groups(df.where("false")).count() == 0
 
 
+def test_one_row_of_each_group_stays(spark, texts):
+    a, b = texts[3], texts[4]
+    rows = [(None, a, 1), (7, a, 2), (7, a, 3), (9, a, 4), (None, b, 5), (None, b, 6), (3, "", 7), (None, None, 8), (None, None, 9), (5, texts[2], 10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __row int").withColumn("__dropped", F.lit("x"))
+    got = minhash.keep(df.repartition(3))
+    assert got.columns == df.columns
+    kept = [tuple(r) for r in got.collect()]
+    assert sorted(str(r[:2]) for r in kept) == sorted(str(r) for r in [(7, a), (None, b), (3, ""), (None, None), (None, None), (5, texts[2])])
+    assert {r[2] for r in kept} > {7, 8, 9, 10} and all(r[3] == "x" for r in kept)
+
+
+def test_texts_of_one_template(spark):
+    """Each pair has 200 of 260 shingles in common; pairs within a posting list are not tried."""
+    rng = random.Random(2)
+    shared = [f"w{rng.randrange(10**6)}" for _ in range(204)]
+    own = [" ".join([*shared[:102], *(f"u{i}x{j}" for j in range(26)), *shared[102:]]) for i in range(400)]
+    own += [own[5] + " end", own[9]]
+    got = {r["doc_id"]: r["component_id"] for r in minhash.groups(docs_of(spark, own)).collect()}
+    assert [got[400], got[401]] == [5, 9] and all(got[i] == i for i in range(400))
+
+
 # ---------------------------------------------------------------- 4
 @pytest.fixture(scope="module")
 def encoder():
