@@ -238,7 +238,8 @@ def migrate(old: DataFrame, path: str, value: str = "value") -> None:
     if jvm.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jvm):
         there = spark.read.option("basePath", path).schema("hash string, vector array<double>, modelo string").parquet(path).select("modelo", "hash")
         rows = rows.join(there, ["modelo", "hash"], "left_anti")
-    rows.write.mode("append").partitionBy("modelo").parquet(path)
+    # before whatever is appended later
+    rows.withColumn("ord", F.lit(0).cast("long")).write.mode("append").partitionBy("modelo").parquet(path)
 
 
 def judge(rows: DataFrame, key: str, prompt: str, call: Callable[[], Callable[[str], str]], estimate: Callable[[str], int], most: int = 100_000) -> DataFrame:
