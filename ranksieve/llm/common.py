@@ -9,6 +9,7 @@ probability of about 2**-64.
 from __future__ import annotations
 
 import ctypes
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -138,6 +139,20 @@ def groups(offs: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         i = j
 
 
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def sliced_words(raw: bytes) -> Iterator[list[bytes]]:
+    """Words `[^\\x20\\x09-\\x0D]+` of a text, in lists that each hold a slice of it, so few words are held at a time."""
+    at = 0
+    while at < len(raw):
+        found = _SPACE.search(raw, at + SLICE_BYTES)
+        end = found.start() if found else len(raw)
+        if words := raw[at:end].split():
+            yield words
+        at = end
+
+
 # ---------------------------------------------------------------- word hashing
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _RANDOM = _rng.integers(1, 2**63, 256, dtype=np.int64).astype(U64) * U64(2) + U64(1)

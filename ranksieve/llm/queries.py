@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, common, decontam, html, minhash, quality, secrets, shard, tokenfile, warc
+from . import bpe, chat, common, decontam, html, minhash, periodic, quality, secrets, shard, simhash, tokenfile, warc, whiten
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,7 +71,19 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.main_text(_table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_decontaminate, op3_near_duplicates, op4_byte_bpe, op5_warc, op6_token_files, op7_shards, op8_secrets, op9_quality, op10_main_text)}
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.groups(_table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.report(periodic.with_periods(_table(spark, sf_dir, "documents")))
+
+
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_decontaminate, op3_near_duplicates, op4_byte_bpe, op5_warc, op6_token_files, op7_shards, op8_secrets, op9_quality, op10_main_text, op11_whitening, op12_simhash, op13_periodic_runs)}
 
 _OP1 = r"""
 WITH all_turns AS (
