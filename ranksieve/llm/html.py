@@ -6,11 +6,14 @@ to its grandparent, and a sixth, a ninth, ... to the next of LEVELS ancestors; a
 multiplied by one less its link density. The best container, or the whole article or else main that it lies
 in, is kept with those siblings that score a fifth of the best or are long paragraphs with few links.
 
-Menus, footers, sidebars and the like that an element or role states never count nor stay. A class or id
-drops an element only if all its words say so (cookie-notice, but not no-sidebar or social-science) and most
-of the page's text, or an article or main, lies elsewhere; so with headers of the page and forms. Reader comments
-go even where they are most of a page that has another text. Other names with such words (has-sidebar) drop an element only if it
-mostly links or holds a form.
+Menus, footers, sidebars and the like that an element or role states never count nor stay, nor do buttons, labels and
+other controls within a text. A class or id drops an element only if all its words say so (cookie-notice, but not
+no-sidebar or social-science) and most of the text lies elsewhere: of the page, where no article or main does, or of the article or
+main that it lies in; so with headers of the page and forms. Reader comments go even where they are most of a page, or of an
+article, that has another text, and so do articles that are named as comments. Inside articles and mains headings never go by name, an
+id of one word tells of the article's own sections (section#related), as some classes do (TITLES), an element named
+header goes only if it holds no heading, and lists of two items or more go if they are links. Other names with such
+words (has-sidebar) drop an element only if it mostly links or holds a form.
 
 Cases: null or empty html, and pages without text, give an empty text; unclosed or misplaced tags,
 broken references and unclosed scripts are read as browsers do, roughly; repeated pages are
@@ -41,7 +44,9 @@ _TOKEN = re.compile(
 )
 _BLOCK = set("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul head".split())
 _VOID = {"hr"}
-_OUT = set("aside button dialog footer head menu nav title".split())
+_OUT = set("aside dialog footer head menu nav title".split())
+#: Controls that stand within a text; what they hold is no part of it.
+_MUTE = set("button datalist label meter output progress".split())
 #: What an opening element ends if it is open: paragraphs end at any block.
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 _HOLDS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr"}, "th": {"tr"}}
@@ -54,6 +59,9 @@ _WORD = set(
 #: Words that an article's own parts may have as names, and words that tell nothing beside others.
 _DOUBT = set("advertising comment consent cookie cookies discussion footer header login menu menus navigation notice notices notification notifications pagination promotion recommended related replies reply respond responses search share sharing social".split())
 _PLAIN = set("area bar block box container inner list section slot unit wrap wrapper".split())
+#: Beside them inside articles; and words that there name sections of the article too.
+_INNER = set("article body button buttons content entry group heading icons item items link links panel post posts row text title".split())
+_TITLES = set("advertising discussion menu menus navigation search".split())
 #: Beside them, words of place; and words of what readers write.
 _PLACE = set("bottom left main page right site top".split())
 _READERS = set("comment comments discussion disqus replies reply respond responses".split())
@@ -65,14 +73,17 @@ _PRIOR = {"article": 25.0, "main": 15.0, "section": 5.0, "div": 5.0, "blockquote
 
 
 class _Node:
-    __slots__ = ("article", "chars", "depth", "doubt", "form", "gone", "inside", "links", "out", "parent", "points", "readers", "sure", "tag", "top")
+    __slots__ = ("article", "chars", "depth", "doubt", "form", "gone", "head", "heading", "inside", "items", "links", "out", "parent", "points", "readers", "scope", "sure", "tag", "top")
 
     def __init__(self, tag: str, parent: _Node | None, out: bool):
         self.tag, self.parent, self.out, self.gone = tag, parent, out, out
         self.depth = parent.depth + 1 if parent is not None else 0
         self.inside = tag in ("article", "main") or (parent is not None and parent.inside)
         self.points, self.chars, self.links, self.article, self.top = None, 0, 0, 0, None
-        self.doubt = self.form = self.sure = self.readers = False
+        self.doubt = self.form = self.sure = self.readers = self.head = False
+        self.heading, self.items = bool(_HEADING.fullmatch(tag)), 0
+        # the article or main that it lies in
+        self.scope = None if parent is None else parent if parent.tag in ("article", "main") else parent.scope
 
     def density(self) -> float:
         return self.links / self.chars if self.chars else 0.0
@@ -85,24 +96,36 @@ def _names(node: _Node, attributes: str) -> None:
     """What an element's attributes and name say of it; ``inside`` an article, where a header belongs to the article."""
     tag, inside = node.tag, node.parent.inside
     node.sure = tag == "form" or (tag == "header" and not inside)
-    if not attributes or tag in ("html", "body", "article", "main"):
+    if not attributes or tag in ("html", "body", "main"):
         return
+    node.out = node.out or bool(_HIDDEN.search(attributes))
     for m in _NAMES.finditer(attributes):
-        value = (m[2] or m[3] or m[4] or "").lower()
-        if m[1].lower() == "role":
-            node.out = node.out or bool(_ROLE & set(value.split()))
-        elif not (inside and _HEADING.fullmatch(tag)):
+        kind, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        if kind == "role":
+            node.out = node.out or bool(tag != "article" and _ROLE & set(value.split()))
+        elif not (inside and node.heading):
             for name in value.split():
                 words = set(_PARTS.findall(name))
-                own = words & _WORD
-                if not own:
-                    continue
-                plain = words <= (_WORD | _PLAIN if inside else _WORD | _PLAIN | _PLACE)
-                if plain and (not inside or own - _DOUBT):
-                    node.sure, node.readers = True, node.readers or bool(own & _READERS)
-                elif not _HEADING.fullmatch(tag) and not own <= {"header"}:
-                    node.doubt = True
-    node.out = node.out or bool(_HIDDEN.search(attributes))
+                if words & _WORD:
+                    _named(node, words, kind, inside)
+
+
+def _named(node: _Node, words: set[str], kind: str, inside: bool) -> None:
+    """What one name, of words that tell something, says of an element."""
+    own = words & _WORD
+    if node.tag == "article":  # only what readers write
+        if own <= _READERS and words <= _WORD | _PLAIN | _INNER:
+            node.sure = node.readers = True
+        return
+    plain = words <= (_WORD | _PLAIN | _INNER if inside else _WORD | _PLAIN | _PLACE)
+    clear = bool(own - _DOUBT) or not (own <= _TITLES or (kind == "id" and len(words) == 1))
+    if plain and (clear or not inside):
+        if inside and own == {"header"}:
+            node.head = True
+        else:
+            node.sure, node.readers = True, node.readers or bool(own & _READERS)
+    elif not node.heading and not own <= {"header"}:
+        node.doubt = True
 
 
 def blocks(page: str) -> tuple[list[tuple[str, _Node]], list[_Node]]:
@@ -111,6 +134,7 @@ def blocks(page: str) -> tuple[list[tuple[str, _Node]], list[_Node]]:
     nodes, stack, out, held, link = [root], [root], [], [], 0
     places: dict[str, list[int]] = {}  # of open elements in the stack, by tag
     chars = 0
+    mute: tuple[str, int] | None = None  # the outermost open control, and how deep it lies
 
     def flush() -> None:
         nonlocal chars
@@ -125,15 +149,19 @@ def blocks(page: str) -> tuple[list[tuple[str, _Node]], list[_Node]]:
         chars = 0
 
     def pop(k: int) -> None:
-        nonlocal link
+        nonlocal link, mute
         flush()
         for node in stack[k:]:
             places[node.tag].pop()
         del stack[k:]
+        if mute and mute[1] > k:
+            mute = None
         link = 0
 
     def take(raw: str) -> None:
         nonlocal chars
+        if mute:
+            return
         text = unescape(raw) if "&" in raw else raw
         held.append(text)
         if link:
@@ -155,6 +183,11 @@ def blocks(page: str) -> tuple[list[tuple[str, _Node]], list[_Node]]:
             held.append("\n")
         elif tag == "a":
             link = 0 if closing else 1
+        elif tag in _MUTE:
+            if closing:
+                mute = mute if mute and mute[0] != tag else None
+            else:
+                mute = mute or (tag, len(stack))
         elif tag in _BLOCK:
             if closing:
                 k = last((tag,))
@@ -174,10 +207,13 @@ def blocks(page: str) -> tuple[list[tuple[str, _Node]], list[_Node]]:
                 pop(len(stack) - 1)
             if tag in _VOID:
                 continue
+            if tag != "div":  # a control that was never closed
+                mute = None
             above = stack[-1]
             node = _Node(tag, above, above.out or tag in _OUT)
             _names(node, m[3] or m[6] or "")
             node.form = tag == "form"
+            above.items += tag == "li"
             places.setdefault(tag, []).append(len(stack))
             stack.append(node)
             nodes.append(node)
@@ -188,7 +224,7 @@ def blocks(page: str) -> tuple[list[tuple[str, _Node]], list[_Node]]:
 
 
 def _judge(nodes: list[_Node]) -> None:
-    """Sums of texts, links and forms over what an element holds; then which elements go."""
+    """Sums of texts, links, forms and headings over what an element holds; then which elements go."""
     for node in reversed(nodes):
         if node.tag in ("article", "main"):
             node.article = node.chars
@@ -197,11 +233,15 @@ def _judge(nodes: list[_Node]) -> None:
             node.parent.chars += node.chars
             node.parent.links += node.links
             node.parent.form = node.parent.form or node.form
-    total, articles = nodes[0].chars, nodes[0].article
+            node.parent.heading = node.parent.heading or node.heading
+    root = nodes[0]
     for node in nodes:
         up = node.parent is not None and node.parent.gone
-        minor = 2 * node.chars <= total or (node.readers and node.chars < total) or (not node.inside and node.article < articles)
-        node.gone = up or node.out or (node.sure and minor) or (node.doubt and (node.form or 2 * node.links > node.chars) and minor)
+        whole = (node.scope or root).chars
+        minor = 2 * node.chars <= whole or (node.readers and node.chars < whole) or (not node.inside and node.article < root.article)
+        named = node.sure or (node.head and not node.heading) or (node.doubt and (node.form or 2 * node.links > node.chars))
+        listed = node.scope is not None and node.tag in ("ul", "ol") and node.items > 1 and 10 * node.links >= 9 * node.chars
+        node.gone = up or node.out or ((named or listed) and minor)
 
 
 def extract(page: str | None) -> str:
