@@ -10,10 +10,12 @@ candidate is reported, in several parts if they lie within.
 
 One pass finds the runs of base64 characters, WINDOW or longer; candidates, access keys and hex strings lie
 within runs, so all other patterns but that of assignments see runs only. Places are code points, ends
-exclusive, summed from the lengths of the parts that a text is split into.
+exclusive: running sums of the lengths of the parts that a text is split into. Running sums and maxima are made in blocks,
+what base spans leave is looked up by binary search, and texts are redacted in chunks, so time is linear in a text's
+length, but for the logarithm of its spans' number, however many spans and runs it has.
 
 Cases: a null text is empty and has no spans; empty tables give empty results; matches that touch or
-repeat are all kept; texts and candidates are scanned whole, in time linear in their length; documents
+repeat are all kept; texts and candidates are scanned whole; documents
 repeat as often as they stand; columns of any name pass untouched.
 """
 
@@ -34,6 +36,8 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 
 WINDOW = 20
+#: Characters of a text that are redacted in one go.
+CHUNK = 256
 _RUN = "[A-Za-z0-9+/_=-]"
 RUN = rf"(?<!{_RUN}){_RUN}{{{WINDOW}}}"
 #: Where runs begin and end.
@@ -72,19 +76,58 @@ def _let(value: Column, of) -> Column:
     return F.element_at(F.transform(F.array(value), of), 1)
 
 
-def _places(text: Column, offset: Column, pattern: str, keep, kind: str, ord: int) -> Column:
-    """Spans of the matches for which ``keep`` holds; ``offset`` is where the text begins."""
-    start = F.struct(offset.cast("long").alias("at"), _none().alias("out"))
+#: Elements that one fold gathers; folds are nested once: a part of n costs (FOLD + n / FOLD^2) / 2 copies of a number, 200 for
+#: a text of ten million parts, which has 200 MB or more.
+FOLD = 256
+
+
+def _fold(values: Column, start: Column, add) -> Column:
+    """Running totals from ``start`` on. An array that grows is copied, so this is for FOLD values."""
+    begin = F.struct(start.alias("t"), F.array().cast("array<long>").alias("out"))
 
     def step(acc, x):
-        at = acc["at"] + F.length(x["before"])
-        end = at + F.coalesce(F.length(x["match"]), F.lit(0))
-        out = F.when(x["match"].isNotNull() & keep(x["match"]), F.concat(acc["out"], F.array(_span(at, end, F.lit(ord), F.lit(kind))))).otherwise(acc["out"])
-        return F.struct(end.cast("long").alias("at"), out.alias("out"))
+        total = add(acc["t"], x)
+        return F.struct(total.alias("t"), F.concat(acc["out"], F.array(total)).alias("out"))
+
+    return F.aggregate(values, begin, step, lambda acc: acc["out"]).cast("array<long>")
+
+
+def running(values: Column, add) -> Column:
+    """Running totals of an array of longs that are 0 or more, in blocks, each from the total before it."""
+    zero = F.lit(0).cast("long")
+
+    def blocks(v: Column) -> Column:
+        cut = F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / FOLD).cast("int")), lambda b: F.slice(v, b * FOLD + 1, F.lit(FOLD)))
+
+        def level(own: Column) -> Column:
+            totals = _fold(F.transform(own, lambda x: F.aggregate(x, zero, add)), zero, add)
+            return _let(totals, lambda t: F.flatten(F.transform(own, lambda x, i: _fold(x, F.coalesce(F.get(t, i - 1), zero), add))))
 
+        return _let(cut, level)
+
+    # casts name the type, which otherwise is found anew, through all that is below, at every level above
+    return _let(values, lambda v: F.when(F.size(v) <= FOLD, _fold(v, zero, add)).otherwise(blocks(v).cast("array<long>"))).cast("array<long>")
+
+
+def _sum(a: Column, b: Column) -> Column:
+    return a + b
+
+
+def _length(s: Column) -> Column:
+    return F.coalesce(F.length(s), F.lit(0)).cast("long")
+
+
+def _places(text: Column, offset: Column, pattern: str, keep, kind: str, ord: int) -> Column:
+    """Spans of the matches for which ``keep`` holds; ``offset`` is where the text begins."""
     # what follows the last match stands beside none
     zipped = F.arrays_zip(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("match"), F.split(text, pattern, -1).alias("before"))
-    return F.aggregate(zipped, start, step, lambda acc: acc["out"])
+
+    def spans(parts: Column) -> Column:
+        ends = running(F.transform(parts, lambda x: _length(x["before"]) + _length(x["match"])), _sum)
+        found = F.filter(F.arrays_zip(parts.alias("p"), ends.alias("end")), lambda x: x["p"]["match"].isNotNull() & keep(x["p"]["match"]))
+        return F.transform(found, lambda x: _span(offset + x["end"] - _length(x["p"]["match"]), offset + x["end"], F.lit(ord), F.lit(kind)))
+
+    return _let(zipped, spans).cast(f"array<{_SPAN}>")
 
 
 def entropy(s: Column, alphabet: str) -> Column:
@@ -118,7 +161,7 @@ def entropy(s: Column, alphabet: str) -> Column:
         start = F.struct(counts.alias("counts"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"), F.lit(0).alias("seen"))
         return F.aggregate(F.arrays_zip(code.alias("new"), old.alias("old")), start, step, lambda acc: acc["best"])
 
-    return _let(F.transform(F.split(s, ""), lambda ch: F.instr(F.lit(alphabet), ch) - 1), scan)
+    return _let(F.transform(F.split(s, ""), lambda ch: F.instr(F.lit(alphabet), ch) - 1), scan).cast("double")
 
 
 def _is_secret(candidate: Column, alphabet: str, least: float) -> Column:
@@ -132,14 +175,13 @@ def _is_secret(candidate: Column, alphabet: str, least: float) -> Column:
 
 def _runs(text: Column) -> Column:
     """Place and characters of each run."""
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<at:long,s:string>>").alias("out"))
 
-    def step(acc, part):
-        run = F.struct(acc["at"].alias("at"), part.alias("s"))
-        out = F.when(part.rlike(RUN), F.concat(acc["out"], F.array(run))).otherwise(acc["out"])
-        return F.struct((acc["at"] + F.length(part)).alias("at"), out.alias("out"))
+    def placed(parts: Column) -> Column:
+        ends = running(F.transform(parts, _length), _sum)
+        found = F.filter(F.arrays_zip(parts.alias("s"), ends.alias("end")), lambda x: x["s"].rlike(RUN))
+        return F.transform(found, lambda x: F.struct((x["end"] - _length(x["s"])).alias("at"), x["s"].alias("s")))
 
-    return F.aggregate(F.split(text, RUN_EDGES, -1), start, step, lambda acc: acc["out"])
+    return _let(F.split(text, RUN_EDGES, -1), placed).cast("array<struct<at:long,s:string>>")
 
 
 def _in_run(run: Column) -> Column:
@@ -161,23 +203,49 @@ def scan(docs: DataFrame, text: str = "text") -> tuple[DataFrame, str, str]:
         hinted |= F.contains(F.col(low), F.lit(hint))
     assign = _places(F.col(whole), F.lit(0), ASSIGN, lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= 6, "assign", 0)
     out = out.withColumn(base, F.array_sort(F.concat(F.when(hinted, assign).otherwise(_none()), F.filter(found, lambda s: s["ord"] <= 2))))
-    apart = F.flatten(F.transform(F.filter(found, lambda s: s["ord"] > 2), lambda m: _apart(m, F.col(base))))
+    apart = _let(_gaps(F.col(base)), lambda gaps: F.flatten(F.transform(F.filter(found, lambda s: s["ord"] > 2), lambda m: _apart(m, gaps))))
     return out.withColumn(spans, F.array_sort(F.concat(F.col(base), apart))).drop(whole, low, found), base, spans
 
 
-def _apart(span: Column, base: Column) -> Column:
-    """The parts of a span that no base span (they are in order) covers."""
+def _ends(spans: Column) -> Column:
+    """For spans in order: how far each and those before it reach."""
+    return running(F.transform(spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
+
+
+def _gaps(base: Column) -> Column:
+    """start and end of what no base span (they are in order) covers, in order; the last gap has no end."""
+
+    def of(ends: Column) -> Column:
+        start = F.concat(F.array(F.lit(0).cast("long")), ends)
+        end = F.concat(F.transform(base, lambda s: s["start"]), F.array(F.lit(1 << 62)))
+        return F.filter(F.arrays_zip(start.alias("start"), end.alias("end")), lambda g: g["start"] < g["end"])
+
+    return _let(_ends(base), of).cast("array<struct<start:long,end:long>>")
+
 
-    def part(start: Column, end: Column) -> Column:
-        return F.when(start < end, F.array(_span(start, end, span["ord"], span["kind"]))).otherwise(_none())
+def _below(values: Column, holds) -> Column:
+    """How many of the first elements of an array hold, those that do standing before those that do not; by binary search."""
+    n = F.size(values)
+    steps = F.array(*(F.lit(1 << k) for k in reversed(range(31))))
 
-    def step(acc, b):
-        out = F.concat(acc["out"], part(acc["at"], F.least(b["start"], span["end"])))
-        return F.struct(F.greatest(acc["at"], b["end"]).alias("at"), out.alias("out"))
+    def step(lo, add):
+        at = lo + add
+        return F.when((add <= n - lo) & holds(F.get(values, F.least(at, n) - 1)), at).otherwise(lo)
 
-    start = F.struct(span["start"].alias("at"), _none().alias("out"))
-    near = F.filter(base, lambda b: (b["end"] > span["start"]) & (b["start"] < span["end"]))
-    return F.aggregate(near, start, step, lambda acc: F.concat(acc["out"], part(acc["at"], span["end"])))
+    return F.aggregate(steps, F.lit(0), step).cast("int")
+
+
+def _range(values: Column, first: Column, last: Column, of) -> Column:
+    """``of`` the elements from first (from 0) up to but without last."""
+    return F.transform(F.slice(values, first + 1, F.greatest(F.lit(0), last - first)), of)
+
+
+def _apart(span: Column, gaps: Column) -> Column:
+    """The parts of a span that lie in gaps."""
+    part = lambda g: _span(F.greatest(g["start"], span["start"]), F.least(g["end"], span["end"]), span["ord"], span["kind"])
+    some = _range(gaps, _below(gaps, lambda g: g["end"] <= span["start"]), _below(gaps, lambda g: g["start"] < span["end"]), part)
+    none = (F.size(gaps) == 1) & (F.get(gaps, F.lit(0))["start"] == 0)
+    return F.when(none, F.array(_span(span["start"], span["end"], span["ord"], span["kind"]))).otherwise(some).cast(f"array<{_SPAN}>")
 
 
 def joined(spans: Column) -> Column:
@@ -200,15 +268,31 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", length:
     found, _, spans = scan(docs, text)
     (clean,) = c.free_names(found, "clean")
     body = F.col(c.quoted(text))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
 
-    def step(acc, s):
-        fresh = s["start"] >= acc["at"]
-        before = F.substr(body, (acc["at"] + 1).cast("int"), F.greatest(F.lit(0), s["start"] - acc["at"]).cast("int"))
-        out = F.when(fresh, F.concat(acc["out"], F.array(before, F.lit(mark)))).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
+    def covered(ends: Column) -> Column:
+        """start and end of the stretches that overlapping spans cover, in order."""
+        fresh = F.filter(F.arrays_zip(F.col(spans)["start"].alias("start"), F.concat(F.array(F.lit(0).cast("long")), ends).alias("before")), lambda x: x["start"] >= x["before"])
+        end = F.concat(F.slice(F.transform(fresh, lambda x: x["before"]), 2, F.greatest(F.lit(0), F.size(fresh) - 1)), F.array(F.element_at(ends, -1)))
+        return F.arrays_zip(F.transform(fresh, lambda x: x["start"]).alias("start"), end.alias("end"))
+
+    def piece(chunk: Column, i: Column, cover: Column) -> Column:
+        """A chunk of the text less what is covered; a mark stands where a covered stretch begins."""
+        a, b = i.cast("long") * CHUNK, i.cast("long") * CHUNK + CHUNK
+        here = _range(cover, _below(cover, lambda s: s["end"] <= a), _below(cover, lambda s: s["start"] < b), lambda s: s)
+
+        def cut(own: Column) -> Column:
+            def before(s: Column, k: Column) -> Column:
+                start = F.greatest(a, F.coalesce(F.get(own, k - 1)["end"], a))
+                kept = F.substr(chunk, (start - a + 1).cast("int"), F.greatest(F.lit(0), s["start"] - start).cast("int"))
+                return F.when(s["start"] >= a, F.concat(kept, F.lit(mark))).otherwise(F.lit(""))
+
+            after = F.substr(chunk, (F.least(b, F.element_at(own, -1)["end"]) - a + 1).cast("int"))
+            return F.when(F.size(own) == 0, chunk).otherwise(F.concat(F.array_join(F.transform(own, before), ""), after))
+
+        return _let(here, cut).cast("string")
 
-    pieces = F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.array(F.substr(body, (acc["at"] + 1).cast("int")))))
+    chunks = F.regexp_extract_all(body, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+    pieces = _let(_let(_ends(F.col(spans)), covered).cast("array<struct<start:long,end:long>>"), lambda cover: F.transform(chunks, lambda x, i: piece(x, i, cover)))
     some = F.size(spans) > 0
     out = found.withColumn(clean, F.when(some, F.array_join(pieces, "")).otherwise(body))
 

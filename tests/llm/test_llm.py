@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ranksieve.llm import bpe, chat, common, decontam, html, minhash, quality, secrets, shard, tokenfile, warc
+from ranksieve.llm import bpe, chat, common, decontam, html, minhash, quality, queries, secrets, shard, tokenfile, warc
 
 DOCS = "doc_id long, text string, kept string, n_words int, __x int"
 
@@ -289,6 +289,49 @@ def test_shards(spark, texts):
     assert shard.shards(docs_of(spark, many).where("false")).count() == 0
 
 
+def hold_shards(rows, docs, n, most):
+    """The law: every document once, slots gapless, sizes within ``most`` of the mean."""
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in rows) == Counter((i, len((x or "").encode()) + 1, zlib.crc32((x or "").encode())) for i, x in docs)
+    slots, sizes = {}, [0] * n
+    for r in rows:
+        slots.setdefault(r["shard"], []).append(r["slot"])
+        sizes[r["shard"]] += r["size"]
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+    mean = sum(sizes) / n
+    assert 2 - most <= min(sizes) / mean and max(sizes) / mean <= most, (min(sizes) / mean, max(sizes) / mean)
+
+
+def test_shards_of_repeated_rows_and_few_texts(spark):
+    rng = random.Random(9)
+    rows = [(7, "the very same row")] * 4000 + [(i, "x" * rng.randrange(100)) for i in range(1499)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    hold_shards(shard.shards(df).collect(), rows, 16, 1.01)
+    copies = [(i, "one text for all") for i in range(3000)] + [(None, None)] * 50
+    hold_shards(shard.shards(spark.createDataFrame(copies, "doc_id long, text string")).collect(), copies, 16, 1.02)
+    sized = [(i, "y" * int(10 ** (rng.random() * 4))) for i in range(1000)]
+    hold_shards(shard.shards(spark.createDataFrame(sized, "doc_id long, text string").repartition(3)).collect(), sized, 16, 1.02)
+
+
+def test_shards_of_documents_larger_than_a_shard(spark):
+    assert shard._cuts([0, 0, 0, 0], 400) == [100, 200, 300] and shard._cuts([500, 0, 100, 0], 50) == [0, 25, 25]
+    rows = [(1, "a" * 50_000), (2, "b" * 9000)] + [(i, "c" * 9) for i in range(3, 400)]
+    got = shard.shards(spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()
+    sizes = Counter()
+    for r in got:
+        sizes[r["shard"]] += r["size"]
+    a, b, third, most = sorted(sizes.values())
+    assert len(got) == len(rows) and (third, most) == (9001, 50_001) and a + b == 3970 and b - a <= 20
+    small = shard.shards(spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")).collect()
+    assert len({r["shard"] for r in small}) == 2 and {r["slot"] for r in small} == {0}
+
+
+def test_shards_query(spark):
+    docs = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
+    got = queries.op7_shards(spark, "/root/testdata/sf0.01").collect()
+    assert {(r["law"], r["grown_shard"]) for r in got} == {("bytes", None)}
+    hold_shards(got, docs, 16, 1.02)
+
+
 # ---------------------------------------------------------------- 8
 def brute_secrets(x):
     a = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -381,6 +424,38 @@ def test_entropy(spark):
     assert abs(got - best) < 1e-9
 
 
+@pytest.mark.parametrize("unit", ["a" * 21 + ". ", "token=abcdefgh ", "q7Zx9Ab3dE5gH7jK9mN1pQ2rS-" + "0f1e2d3c" * 3 + "-"])
+def test_secrets_take_time_in_proportion(spark, unit):
+    """Of the text's length, however many runs, base spans or spans beside each other it has; and all are found."""
+    took = []
+    for size in (1 << 17, 1 << 19):
+        x = unit * (size // len(unit))
+        df = spark.createDataFrame([(1, x)], "doc_id long, text string")
+        began = time.time()
+        row = secrets.report(df).first()
+        clean = secrets.redact(df, length=None).first()["text"]
+        took.append(time.time() - began)
+        spans = [s.split(":") for s in row["spans"].split(",") if s]
+        kinds = Counter(k for k, _, _ in spans)
+        n = size // len(unit)
+        if unit.startswith("a"):
+            assert not spans and clean == x
+        elif unit.startswith("t"):
+            assert kinds == {"assign": n} and clean == "[SECRET] " * n
+        else:
+            assert kinds == {"hex": n, "entropy_base64": n + 1} and clean == "[SECRET]" * (2 * n + 1)
+    assert took[1] < 12 * max(took[0], 1.0), took
+
+
+def test_running_totals(spark):
+    rng = random.Random(3)
+    rows = [[rng.randrange(100) for _ in range(n)] for n in (0, 1, 2, 63, 64, 65, 128, 4095, 4097, 70_000)]
+    df = spark.createDataFrame([(x,) for x in rows], "v array<long>")
+    for name, add in (("sum", lambda a, b: a + b), ("max", lambda a, b: F.greatest(a, b))):
+        got = [r[0] for r in df.select(secrets.running(F.col("v"), add)).collect()]
+        assert got == [(np.cumsum(x) if name == "sum" else np.maximum.accumulate(np.array(x, int))).tolist() for x in rows]
+
+
 # ---------------------------------------------------------------- 9
 def brute_quality(x):
     w = re.findall(r"[^\x20\x09-\x0D]+", x or "")
@@ -457,10 +532,35 @@ def test_html_names_around_articles():
     assert html.extract(f"<body>{part}{readers}") == want == html.extract(f"<body><article>{part}</article>{readers}")
 
 
+LONG = "Some long paragraph, with commas, and, as it goes on, enough words to score well. "
+
+
+@pytest.mark.parametrize("tag", ["article", "main"])
+@pytest.mark.parametrize(
+    "part",
+    ['<ol class="comment-list"><li class="comment"><p>BAD %s</p></li></ol>', '<div class="replies"><p>BAD %s</p></div>', '<div class="cookie-notice"><p>BAD %s</p></div>', '<div id="cookie-notice">BAD</div>',
+     '<div class="related">BAD text</div>', '<div class="related-posts"><h3>BAD</h3><p>BAD</p></div>', '<div class="share">BAD</div>', '<div class="login-box">BAD</div>', '<div class="footer">BAD</div>',
+     '<div class="sponsored-content">BAD %s</div>', "<ul><li><a href=x>BAD one</a><li><a href=y>BAD two</a></ul>", "<p>Go on.<button>BAD</button></p>", "<label>BAD</label>", "<button><div>BAD</div></button>",
+     '<section id="comments"><p>BAD %s</p></section>', '<div class="comments"><article class="comment"><p>BAD %s%s%s</p></article></div>', '<div class="header">BAD</div>', "<form><p>BAD</p></form>", "<div role=alert>BAD</div>"],
+)
+def test_html_unwanted_parts_inside(tag, part):
+    page = f"<body><div><{tag}><h1>Title</h1><p>{LONG}</p><p>{LONG}</p>{part.replace('%s', LONG)}<p>End.</p></{tag}></div></body>"
+    text = html.extract(page)
+    assert "BAD" not in text and text.startswith(f"Title {LONG.strip()} {LONG.strip()}") and text.endswith("End.")
+
+
+def test_html_controls_and_comment_articles():
+    assert html.extract(f'<body><article><h1>T</h1><p>{LONG}</p></article><article class="comment"><p>No {LONG * 3}</p></article></body>') == f"T {LONG.strip()}"
+    assert html.extract(f'<article class="comment"><p>{LONG}</p></article>') == LONG.strip()
+    assert html.extract("<p>ab<button>no</button> cd <b>e</b><label>no<p>f") == "ab cd e f"
+    assert html.extract(f'<article><div class="header"><h1>Title</h1></div><p>{LONG}</p><ul><li>one<li><a href=x>two</a></ul></article>') == f"Title {LONG.strip()} one two"
+    assert html.extract(f'<main><section id="related"><h2>Related</h2><p>{LONG}</p></section><p>{LONG}</p><div class="discussion"><p>Yes.</p></div></main>').count("Some long") == 2
+
+
 def test_html_is_linear():
     body = "Some long paragraph, with commas, and enough words to score well in any page. "
     n = 40_000
-    pages = ["<a " * 8 * n, "<div>" * 5 * n, "<div>text, x " * 2 * n, "<div>" * n + "<li></li>" * n, "<a '<b \"" * 2 * n, "<script " * 3 * n, "<!--" * 3 * n, "<td><tr>" + "<div>" * n + "<td></td>" * n, "<form>" * 3 * n + body, "<div>" * n + "</p>x" * n, "&" * 8 * n, "<" * 8 * n]
+    pages = ["<a " * 8 * n, "<div>" * 5 * n, "<div>text, x " * 2 * n, "<div>" * n + "<li></li>" * n, "<a '<b \"" * 2 * n, "<script " * 3 * n, "<!--" * 3 * n, "<td><tr>" + "<div>" * n + "<td></td>" * n, "<form>" * 3 * n + body, "<div>" * n + "</p>x" * n, "&" * 8 * n, "<" * 8 * n, "<button>x</label>" * n, "<ul><li>" * n]
     for page in pages:
         began = time.process_time()
         html.extract(page)
