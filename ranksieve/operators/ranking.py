@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ranksieve.functions.names import free_names
+from ranksieve.functions.names import free_names, quoted
+from ranksieve.sources.shared import written
 
 
 def _sum(terms: list[Column]) -> Column:
@@ -21,24 +22,27 @@ SAMPLE, RANGE_ROWS, RANGES = 4096, 100_000, 512
 def mark(scores: DataFrame, n: int, score: str = "score", ord: str = "ord", flag: str = "selected") -> DataFrame:
     """All rows, with their position and whether it is among the first n; null scores come last.
 
-    A sample of keys (score, ord) splits the order into ranges; a range's rows are numbered by one task, beginning with
-    the number of rows in the ranges before it. Scores are read three times: costly ones are best a written table.
+    Scores are computed once and written; what follows reads that table. A sample of its keys (score, ord) splits the order
+    into ranges; a range's rows are numbered by one task, beginning with the number of rows in the ranges before it.
     Where just the first rows are wanted, ``page`` is a top-k without that.
     """
     a, b = F.col(score), F.col(ord)
-    sample = scores.select(a, b).orderBy(F.xxhash64(b, a), a, b).limit(SAMPLE).collect()
+    scores = written(scores, "scores")
     (bucket,) = free_names(scores, "bucket")
-    ranged, before = scores.withColumn(bucket, F.lit(0)), [0]
-    if len(sample) == SAMPLE:
-        parts = min(RANGES, -(-scores.count() // RANGE_ROWS))
+    parts = min(RANGES, -(-scores.count() // RANGE_ROWS))
+    cuts: list[tuple] = []
+    if parts > 1:
+        sample = scores.select(a, b).orderBy(F.xxhash64(b, a), a, b).limit(SAMPLE).collect()
         keys = sorted(((r[0] is None, -(r[0] or 0.0), r[1]) for r in sample if r[1] is not None))
-        cuts = sorted({keys[len(keys) * i // parts] for i in range(1, parts)})
+        cuts = sorted({keys[len(keys) * i // parts] for i in range(1, parts)}) if keys else []
 
-        def behind(none: bool, value: float, at) -> Column:
-            late = a.isNull() & (b > F.lit(at)) if none else a.isNull() | (a < -value) | ((a == -value) & (b > F.lit(at)))
-            return F.coalesce(late, F.lit(False)).cast("int")
+    def behind(none: bool, value: float, at) -> Column:
+        late = a.isNull() & (b > F.lit(at)) if none else a.isNull() | (a < -value) | ((a == -value) & (b > F.lit(at)))
+        return F.coalesce(late, F.lit(False)).cast("int")
 
-        ranged = scores.withColumn(bucket, _sum([behind(*cut) for cut in cuts]) if cuts else F.lit(0))
+    ranged, before = scores.withColumn(bucket, F.lit(0)), [0]
+    if cuts:
+        ranged = scores.withColumn(bucket, _sum([behind(*cut) for cut in cuts]))
         counts = {r[0]: r[1] for r in ranged.groupBy(bucket).count().collect()}
         before = [sum(counts.get(k, 0) for k in range(i)) for i in range(len(cuts) + 1)]
     order = Window.partitionBy(bucket).orderBy(F.desc_nulls_last(score), F.asc(ord))
@@ -52,8 +56,10 @@ def page(scores: DataFrame, skip: int, n: int, score: str = "score", ord: str =
 
 
 def last_wins(rows: DataFrame, key: str, ord: str) -> DataFrame:
-    """One row a key, the last by ord."""
-    return rows.groupBy(key).agg(F.max_by(F.struct(*rows.columns), ord).alias("r")).select("r.*")
+    """One row a key, the last by ord; rows without one come first of all, so a key that has no others keeps one of them."""
+    row = F.struct(*map(quoted, rows.columns))
+    at = F.struct(F.col(quoted(ord)).isNotNull(), F.col(quoted(ord)))
+    return rows.groupBy(F.col(quoted(key))).agg(F.max_by(row, at).alias("r")).select("r.*")
 
 
 def stable_sample(rows: DataFrame, key: str, n: int, seed: int = 17) -> DataFrame:

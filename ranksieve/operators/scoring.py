@@ -1,22 +1,24 @@
 """Scores of items and chunks against a profile of several vectors; full doubles, never rounded.
 
-A profile is a stated query set, small by nature; it is broadcast after its rows were counted (``small``), and one
-that is too large is an error: ``dense`` scores against it in blocks.
+A profile is a stated query set, small by nature: up to PROFILE_ROWS vectors, which are counted first, go to every task, and
+each row is scored where it lies, with no shuffle and no pairs. ``dense`` takes larger ones too, in a grid of tiles.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
-from itertools import islice
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ranksieve.functions import vectors as v
 from ranksieve.functions.names import free_names, quoted
+from ranksieve.sources.shared import written
 
 #: Largest profile that is broadcast, in rows.
 PROFILE_ROWS = 10_000
@@ -28,6 +30,71 @@ def small(profile: DataFrame) -> DataFrame:
     return F.broadcast(profile)
 
 
+@dataclass
+class Profile:
+    """Names and vectors in order of their units; of equal vectors only the first, which wins their ties."""
+
+    names: list[str]
+    vectors: list[np.ndarray]
+
+    @classmethod
+    def of(cls, profile: DataFrame, each: tuple[str, ...] = ()) -> Profile:
+        """A profile of at most PROFILE_ROWS rows; ``each``: columns within which equal vectors count as such."""
+        columns = [F.col("name"), F.col("unit"), F.col("vector").cast("array<double>").alias("vector"), *[F.col(x).alias(f"by_{x}") for x in each]]
+        rows = profile.select(*columns).orderBy("unit").limit(PROFILE_ROWS + 1).collect()
+        if len(rows) > PROFILE_ROWS:
+            raise ValueError(f"a profile has at most {PROFILE_ROWS} vectors")
+        out, seen = cls([], []), set()
+        for r in rows:
+            vector = np.array([np.nan if x is None else x for x in r["vector"] or []], np.float64)
+            key = (hashlib.blake2b(vector.tobytes(), digest_size=16).digest(), *(r[f"by_{x}"] for x in each))
+            if key not in seen:
+                seen.add(key)
+                out.names.append(r["name"])
+                out.vectors.append(vector)
+        return out
+
+    def scores(self, vectors: list[np.ndarray]) -> np.ndarray:
+        """Cosines of vectors with all of the profile's; products over the shorter length, 0 where a norm is 0."""
+        out = np.zeros((len(vectors), len(self.vectors)))
+        own, other = _by_length(vectors), _by_length(self.vectors)
+        for n, rows in own.items():
+            a = np.array([vectors[i] for i in rows]).reshape(len(rows), n)
+            for m, columns in other.items():
+                b = np.array([self.vectors[i] for i in columns]).reshape(len(columns), m)
+                k = min(n, m)
+                norms = np.outer(np.sqrt((a * a).sum(1)), np.sqrt((b * b).sum(1)))
+                out[np.ix_(rows, columns)] = np.where(norms == 0, 0.0, a[:, :k] @ b[:, :k].T / np.where(norms == 0, 1.0, norms))
+        return out
+
+
+def _by_length(vectors: list[np.ndarray]) -> dict[int, list[int]]:
+    out: dict[int, list[int]] = {}
+    for i, x in enumerate(vectors):
+        out.setdefault(len(x), []).append(i)
+    return out
+
+
+def _vectors(column: pa.Array) -> list[np.ndarray]:
+    """Null ones have no entries, so their scores are 0."""
+    return [np.zeros(0) if x is None else np.array([np.nan if e is None else e for e in x], np.float64) for x in column.to_pylist()]
+
+
+def _scored(rows: DataFrame, vector: str, keep: list[str], fields: list[StructField], of) -> DataFrame:
+    """The kept columns and ``fields``, which ``of`` makes from the vectors of a batch; every row stays a row."""
+    (own,) = free_names(rows, "own")
+    schema = StructType([*(rows.schema[x] for x in keep), *fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                made = of(_vectors(part.column(len(keep))))
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], *made], names=[f.name for f in schema])
+
+    return rows.select(*[F.col(quoted(x)) for x in keep], F.col(quoted(vector)).cast("array<double>").alias(own)).mapInArrow(run, schema)
+
+
 def _pairs(rows: DataFrame, profile: DataFrame, vector: str, keep: list[str]) -> tuple[DataFrame, str, str, str]:
     """The kept columns of every row with every profile vector, and the names of three more: score, name and unit."""
     own, norm, name, unit, other, length, score = free_names(rows, "own", "norm", "name", "unit", "other", "length", "score")
@@ -39,25 +106,33 @@ def _pairs(rows: DataFrame, profile: DataFrame, vector: str, keep: list[str]) ->
 
 
 def triage(items: DataFrame, profile: DataFrame, ord: str = "ord", vector: str = "vector") -> DataFrame:
-    """ord, score, product: the best profile vector of each item; the first of equals. Fails on an empty profile."""
-    if not profile.limit(1).count():
+    """ord, score, product: the best profile vector of each row; the first of equals. Fails on an empty profile."""
+    known = Profile.of(profile)
+    if not known.names:
         raise ValueError("the profile is empty")
-    pairs, score, name, unit = _pairs(items, profile, vector, [ord])
-    first = F.struct(F.col(score), -F.col(unit))
-    best = pairs.groupBy(ord).agg(F.max_by(F.struct(F.col(score).alias("score"), F.col(name).alias("product")), first).alias("b"))
-    return best.select(ord, "b.score", "b.product")
+
+    def best(vectors: list[np.ndarray]) -> list[pa.Array]:
+        scores = known.scores(vectors)
+        first = scores.argmax(1)
+        return [pa.array(scores[np.arange(len(first)), first]), pa.array([known.names[i] for i in first], pa.string())]
+
+    return _scored(items, vector, [ord], [StructField("score", DoubleType()), StructField("product", StringType())], best)
 
 
 def classify(chunks: DataFrame, priority: DataFrame, vector: str = "vector") -> DataFrame:
-    """Adds low, keep and ``class``, which is baixa only if its best similarity is strictly above that of incluir."""
-    keys = [x for x in chunks.columns if x != vector]
-    pairs, score, name, _ = _pairs(chunks, priority, vector, keys)
+    """Adds low, keep and ``class``, which is baixa only if its best similarity is strictly above that of incluir.
 
-    def best(group: str) -> Column:
-        return F.coalesce(F.max(F.when(F.col(name) == group, F.col(score))), F.lit(-1.0))
+    Each row is judged by itself, so rows with equal keys stay rows of their own; a group without vectors scores -1.
+    """
+    known = Profile.of(priority, each=("name",))
+
+    def both(vectors: list[np.ndarray]) -> list[pa.Array]:
+        scores, names = known.scores(vectors), np.array(known.names, object)
+        low, keep = (scores[:, names == g].max(1) if (names == g).any() else np.full(len(vectors), -1.0) for g in ("baixa", "incluir"))
+        return [pa.array(low), pa.array(keep), pa.array(np.where(low > keep, "baixa", "incluir").tolist(), pa.string())]
 
-    both = pairs.groupBy(*map(quoted, keys)).agg(best("baixa").alias("low"), best("incluir").alias("keep"))
-    return both.withColumn("class", F.when(F.col("low") > F.col("keep"), "baixa").otherwise("incluir"))
+    fields = [StructField("low", DoubleType()), StructField("keep", DoubleType()), StructField("class", StringType())]
+    return _scored(chunks, vector, [x for x in chunks.columns if x != vector], fields, both)
 
 
 def adherence(keys: DataFrame, chunks: DataFrame, profile: DataFrame, key: str = "item", ord: str = "chunk", vector: str = "vector") -> DataFrame:
@@ -80,57 +155,99 @@ def explain(chunks: DataFrame, profile: DataFrame, vector: str = "vector") -> Da
     return pairs.withColumnsRenamed({name: "name", unit: "unit", score: "score"})
 
 
-#: Profile vectors that a task multiplies with at a time.
-BLOCK = 2048
+#: Items of a tile that a task holds, and profile vectors of its block, which stream by.
+TILE_ITEMS, BLOCK = 1 << 15, 1 << 16
 
 
 def dense(items: DataFrame, profile: DataFrame, ord: str = "ord", vector: str = "vector", keep: tuple[str, ...] = ()) -> DataFrame:
-    """ord, the columns in ``keep``, score, product as ``triage`` gives them, by products of normalised matrices: for profile vectors of one length.
-
-    The profile is collected in blocks of BLOCK vectors, each broadcast; a block's best is compared with what earlier
-    blocks found, so ties still go to the first unit. Items are never shuffled. Vectors of another length than the
-    profile's, null ones and those of norm 0 score 0 against all, as ``cosine`` has it for norm 0. Fails on an empty profile.
+    """ord, the columns in ``keep``, score, product as ``triage`` gives them, for a profile of any size whose vectors have one length.
+
+    Up to PROFILE_ROWS vectors are broadcast and items are scored where they lie. More meet the items in a grid: items are
+    cut into blocks of TILE_ITEMS by their place, profile vectors into blocks of BLOCK by a hash, and each pair of blocks is a
+    tile, whose task holds the items and lets the vectors stream by. The best of an item's tiles is the highest score, then
+    the first unit. The plan has that size whatever the tables have, and nothing of them passes the driver.
+    Vectors of another length than the first unit's, null ones and those of norm 0 score 0 against all, as ``cosine`` has it for norm 0.
+    Fails on an empty profile.
     """
-    rows = profile.select("name", "unit", F.col("vector").cast("array<double>").alias("vector")).orderBy("unit").toLocalIterator()
-    names = [f"k{i}" for i in range(len(keep) + 1)]
-    kinds = ", ".join(f"{n} {items.schema[x].dataType.simpleString()}" for n, x in zip(names, (ord, *keep), strict=True))
-    best = items.select(*[F.col(quoted(x)).alias(n) for n, x in zip(names, (ord, *keep), strict=True)], F.col(quoted(vector)).cast("array<double>").alias("vector"), F.lit(None).cast("double").alias("score"), F.lit(None).cast("string").alias("product"))
-    some, seen, width = False, set(), None
-    while block := list(islice(rows, BLOCK)):
-        some = True
-        # products of equal vectors may differ in a last digit from block to block, so only the first of them is used
-        units = [np.array(r["vector"] or [], np.float64).tobytes() for r in block]
-        units = [hashlib.blake2b(u, digest_size=16).digest() for u in units]
-        block = [r for k, r in enumerate(block) if units[k] not in seen and units[k] not in units[:k]]
-        seen.update(units)
-        if not block:
-            continue
-        width = width or len(block[0]["vector"])
-        shared = items.sparkSession.sparkContext.broadcast(([r["name"] for r in block], _normalised([r["vector"] for r in block], width)))
-        best = best.mapInPandas(_against(shared), f"{kinds}, vector array<double>, score double, product string")
-    if not some:
+    known = profile.select("name", "unit", F.col("vector").cast("array<double>").alias("vector"))
+    first = known.orderBy("unit").limit(1).collect()
+    if not first:
         raise ValueError("the profile is empty")
-    return best.select(*[F.col(n).alias(x) for n, x in zip(names, (ord, *keep), strict=True)], "score", "product")
+    width = len(first[0]["vector"] or [])
+    # products of equal vectors may differ in a last digit from tile to tile, so only the first of them is used
+    distinct = known.groupBy("vector").agg(F.min(F.struct("unit", "name")).alias("f")).select("vector", F.col("f.unit").alias("unit"), F.col("f.name").alias("name"))
+    names = [ord, *keep]
+    if known.limit(PROFILE_ROWS + 1).count() <= PROFILE_ROWS:
+        units = Profile.of(profile)
+        against = _normalised(units.vectors, width)
+
+        def best(vectors: list[np.ndarray]) -> list[pa.Array]:
+            scores = _normalised(vectors, width) @ against.T
+            at = scores.argmax(1)
+            return [pa.array(scores[np.arange(len(at)), at]), pa.array([units.names[i] for i in at], pa.string())]
+
+        return _scored(items, vector, names, [StructField("score", DoubleType()), StructField("product", StringType())], best)
+    return _grid(items, written(distinct, "profile"), width, names, vector)
 
 
 def _normalised(vectors: list, width: int) -> np.ndarray:
-    out = np.array([v if v is not None and len(v) == width else np.zeros(width) for v in vectors], np.float64).reshape(len(vectors), width)
+    fits = [x if x is not None and len(x) == width else np.zeros(width) for x in vectors]
+    out = np.array(fits, np.float64).reshape(len(vectors), width)
     norms = np.sqrt((out * out).sum(1, keepdims=True))
     return out / np.where(norms == 0, 1.0, norms)
 
 
-def _against(shared) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names, units = shared.value
-        for frame in frames:
-            if len(frame):
-                scores = _normalised(frame["vector"].tolist(), units.shape[1]) @ units.T
-                first = scores.argmax(1)
-                found = scores[np.arange(len(frame)), first]
-                before = frame["score"].to_numpy(np.float64)
-                new = np.isnan(before) | (found > before)
-                frame["product"] = np.where(new, np.array(names, object)[first], frame["product"])
-                frame["score"] = np.where(new, found, before)
-            yield frame
-
-    return run
+def _grid(items: DataFrame, profile: DataFrame, width: int, names: list[str], vector: str) -> DataFrame:
+    kept = [f"k{i}" for i in range(len(names))]
+    parts = -(-profile.count() // BLOCK)
+    item = F.monotonically_increasing_id()
+    block = F.floor(item / TILE_ITEMS)
+    own = items.select(item.alias("item"), block.alias("block"), *[F.col(quoted(x)).alias(k) for x, k in zip(names, kept, strict=True)], F.col(quoted(vector)).cast("array<double>").alias("vector"))
+    own = written(own, "items")  # numbers are given once
+    tiles = own.select("block").distinct()
+    rows = own.select("block", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(0).alias("kind"), F.col("item").alias("at"), F.lit(None).cast("string").alias("name"), "vector")
+    units = profile.select(F.pmod(F.xxhash64("unit"), F.lit(parts)).cast("int").alias("part"), F.lit(1).alias("kind"), F.col("unit").cast("long").alias("at"), "name", "vector")
+    units = units.crossJoin(tiles).select("block", "part", "kind", "at", "name", "vector")  # each unit once a block of items
+    met = rows.union(units).repartition("block", "part").sortWithinPartitions("block", "part", "kind", "at")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, ids, vectors, held, score, unit, name = None, [], [], None, None, None, None
+
+        def given() -> pa.RecordBatch:
+            some = held is not None
+            columns = [pa.array(ids if some else [], pa.int64()), pa.array(score if some else [], pa.float64()), pa.array(unit if some else [], pa.int64()), pa.array(name.tolist() if some else [], pa.string())]
+            return pa.RecordBatch.from_arrays(columns, ["item", "score", "unit", "product"])
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
+                b, p, kind, place = (part.column(k).to_numpy(zero_copy_only=False) for k in range(4))
+                edge = np.flatnonzero((b[1:] != b[:-1]) | (p[1:] != p[:-1]) | (kind[1:] != kind[:-1])) + 1
+                for lo, hi in zip([0, *edge], [*edge, len(b)], strict=True):
+                    now = (b[lo], p[lo])
+                    if now != key:
+                        yield given()
+                        key, ids, vectors, held = now, [], [], None
+                    own = _vectors(part.column(5).slice(lo, hi - lo))
+                    if kind[lo] == 0:
+                        ids += place[lo:hi].tolist()
+                        vectors.append(_normalised(own, width))
+                        continue
+                    if not ids:
+                        continue
+                    if held is None:
+                        held, vectors = np.concatenate(vectors), []
+                        score, unit, name = np.full(len(ids), -np.inf), np.zeros(len(ids), np.int64), np.full(len(ids), None, object)
+                    # units come in order, so a later one must be better
+                    said = np.array(part.column(4).slice(lo, hi - lo).to_pylist(), object)
+                    scores = held @ _normalised(own, width).T
+                    first = scores.argmax(1)
+                    found = scores[np.arange(len(ids)), first]
+                    better = found > score
+                    score[better], unit[better], name[better] = found[better], place[lo:hi][first[better]], said[first[better]]
+        yield given()
+
+    best = met.mapInArrow(run, "item long, score double, unit long, product string")
+    best = best.groupBy("item").agg(F.max_by(F.struct("score", "product"), F.struct("score", -F.col("unit"))).alias("b"))
+    out = own.drop("vector", "block").join(best, "item")
+    return out.select(*[F.col(k).alias(x) for k, x in zip(kept, names, strict=True)], "b.score", "b.product")
