@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+from pyspark import BarrierTaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,13 +46,48 @@ def batches(texts: list[str], most: int, budget: int, estimate: Callable[[str],
         yield batch
 
 
+@dataclass
+class Pace:
+    """One spacing for the requests of all tasks: task k of n may start one at epoch + (m n + k) spacing, for each m once.
+
+    ``epoch`` is the same for all, and so must their clocks be, but for a small part of the spacing.
+    """
+
+    task: int
+    tasks: int
+    epoch: float
+    spacing: float
+    sleep: Callable[[float], None] = time.sleep
+    clock: Callable[[], float] = time.time
+    turn: int = 0
+
+    @classmethod
+    def of_stage(cls, spacing: float, **how) -> Pace:
+        """Of a task of a barrier stage, whose tasks agree on the epoch before any goes on."""
+        context = BarrierTaskContext.get()
+        clock = how.get("clock", time.time)
+        epoch = max(map(float, context.allGather(repr(clock()))))
+        return cls(context.partitionId(), len(context.getTaskInfos()), epoch, spacing, **how)
+
+    def wait(self) -> None:
+        """Sleeps until the next start of this task that is not over."""
+        now = self.clock()
+        if self.spacing > 0:
+            self.turn = max(self.turn, math.ceil(((now - self.epoch) / self.spacing - self.task) / self.tasks))
+            start = self.epoch + (self.turn * self.tasks + self.task) * self.spacing
+            self.turn += 1
+            if start > now:
+                self.sleep(start - now)
+
+
 @dataclass
 class Client:
     """Vectors of texts in their order, over ``post``, one batch at a time.
 
     Batches start ``spacing`` seconds apart. Transient failures are tried again after waits that double up to
     ``cap``, with jitter; a batch with too many tokens is halved until it fits. What remains is a RuntimeError.
-    Each task has its own client, so the number of partitions is the number of requests in flight.
+    Each task has its own client, so the number of partitions is the number of requests in flight. With a ``pace`` the requests of
+    all tasks, those tried again too, start ``spacing`` apart.
     """
 
     post: Post
@@ -66,11 +102,12 @@ class Client:
     clock: Callable[[], float] = time.monotonic
     jitter: Callable[[], float] = random.random
     last: float | None = None
+    pace: Pace | None = None
 
     def __call__(self, texts: list[str]) -> list[list[float]]:
         out: list[list[float]] = []
         for batch in batches(texts, self.most, self.budget, self.estimate):
-            if self.last is not None and (wait := self.spacing - (self.clock() - self.last)) > 0:
+            if self.pace is None and self.last is not None and (wait := self.spacing - (self.clock() - self.last)) > 0:
                 self.sleep(wait)
             self.last = self.clock()
             out += self._fitting(batch)
@@ -92,6 +129,8 @@ class Client:
     def _patient(self, batch: list[str]) -> list[list[float]]:
         failure: Exception | None = None
         for attempt in range(self.attempts):
+            if self.pace is not None:
+                self.pace.wait()
             try:
                 return self.post(batch)
             except Transient as e:
@@ -154,19 +193,20 @@ def embed(rows: DataFrame, client: Callable[[], Callable[[list[str]], list[list[
     return rows.mapInPandas(run, ", ".join([*fields, f"{quoted(vector)} array<double>"]))
 
 
-def fill(texts: DataFrame, cache: DataFrame, path: str, model: str, client: Callable[[], Callable[[list[str]], list[list[float]]]], staging: str, text: str = "text", group: int = 1000, seconds: float = 240.0) -> DataFrame:
+def fill(texts: DataFrame, cache: DataFrame, path: str, model: str, client: Callable[..., Callable[[list[str]], list[list[float]]]], staging: str, text: str = "text", group: int = 1000, seconds: float = 240.0, spacing: float | None = None, flight: int = 8) -> DataFrame:
     """Embeds distinct texts that ``cache`` (hash) lacks, appends them to the table at ``path``; returns hash, erro of the rest.
 
     ``client`` makes an embedder in each task. Texts go in groups of ``group``; before each group but a task's first, the
     task's time is compared with ``seconds``, and beyond it the remaining rows get an error. A failing group fails alone:
     what succeeded is kept, and the next run finds only the rest missing. Results pass through a table at ``staging``, so no
-    text is sent twice within a run unless its task is lost. Null texts are never sent.
+    text is sent twice within a run unless its task is lost. Null texts are never sent. With ``spacing`` the texts go to ``flight`` tasks of a
+    barrier stage (the cluster must run so many at once), and ``client`` gets their common ``Pace``.
     """
     lacking = misses(texts, cache, text)
     number = lacking.count()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        embed, began, first = client(), time.monotonic(), True
+        embed, began, first = client() if spacing is None else client(Pace.of_stage(spacing)), time.monotonic(), True
         for frame in frames:
             for at in range(0, len(frame), group):
                 part = frame.iloc[at : at + group]
@@ -183,7 +223,8 @@ def fill(texts: DataFrame, cache: DataFrame, path: str, model: str, client: Call
                 yield pd.DataFrame({"hash": part["hash"].to_numpy(), "vector": vectors, "erro": failure})
 
     tasks = max(1, math.ceil(number / group))
-    sent = lacking.repartition(tasks, "hash").mapInPandas(run, "hash string, vector array<double>, erro string")
+    tasks = tasks if spacing is None else min(tasks, flight)
+    sent = lacking.repartition(tasks, "hash").mapInPandas(run, "hash string, vector array<double>, erro string", barrier=spacing is not None)
     sent.write.mode("overwrite").parquet(staging)
     done = texts.sparkSession.read.parquet(staging)
     append(done.where("erro is null").select("hash", "vector"), path, model)
