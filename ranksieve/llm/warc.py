@@ -31,6 +31,8 @@ from . import common as c
 from .tokenfile import filesystem
 
 GAP, READ = 64 << 10, 8 << 20
+#: Most rows that are broadcast, of a digest and an id; part of all copies that one payload may have before its pages are joined apart.
+BROADCAST_ROWS, HOT = 200_000, 0.001
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
 
@@ -84,10 +86,18 @@ def roles(pages: DataFrame, id_col: str = "page_id", url: str = "url", html: str
     """page_id, url, html, first (the id that holds the payload; null for payloads that stand for themselves)."""
     own = pages.select(F.col(id_col).alias("page_id"), F.coalesce(F.col(url), F.lit("")).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html"))
     own = own.withColumn("k", F.when(F.octet_length("html") >= min_bytes, F.unhex(F.sha2("html", 256))))
-    first = own.where("k is not null").groupBy("k").agg(F.max("page_id").alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1").select(F.col("k").alias("of"), "first")
+    first = own.where("k is not null").groupBy("k").agg(F.max("page_id").alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1").select(F.col("k").alias("of"), "first", "copies")
     few = c.Stage(first, "warc-copies").df
-    few = F.broadcast(few) if c.sizes_within(few, 200_000) else few
-    return own.join(few, own["k"] == few["of"], "left").select("page_id", "url", "html", "first", F.col("of").isNotNull().alias("copied"))
+    columns = ["page_id", "url", "html", "first", F.col("of").isNotNull().alias("copied")]
+    if c.sizes_within(few, BROADCAST_ROWS):
+        return own.join(F.broadcast(few), own["k"] == few["of"], "left").select(*columns)
+    # payloads of very many copies are looked up apart, so no task gets all pages of one; the rest is dealt by payload
+    many = F.col("copies") > F.lit(HOT) * few.agg(F.sum("copies")).first()[0]
+    hot, rest = F.broadcast(few.where(many)), few.where(~many)  # fewer than 1/HOT
+    others = own.where("k is not null").join(hot, F.col("k") == F.col("of"), "left_anti")
+    parts = [own.join(hot, F.col("k") == F.col("of")).select(*columns), others.join(rest, F.col("k") == F.col("of"), "left").select(*columns)]
+    alone = own.where("k is null").select("page_id", "url", "html", F.lit(None).cast(own.schema["page_id"].dataType).alias("first"), F.lit(False).alias("copied"))
+    return parts[0].unionByName(parts[1]).unionByName(alone)
 
 
 def write(pages: DataFrame, folder: str, **names) -> DataFrame:
