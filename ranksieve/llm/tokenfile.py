@@ -20,6 +20,7 @@ import zlib
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,8 @@ from . import common as c
 LENGTH, ROWS = 2048, 64
 #: Bytes of text that a shard is made of, about.
 SHARD_BYTES = 64 << 20
+#: Shards whose starts one task adds up, and most rows that are broadcast, of a shard and a number.
+BLOCK, BROADCAST_ROWS = 1024, 200_000
 #: Words and blank-separated runs that a worker remembers, and the longest of them.
 WORDS, RUNS, LONGEST = 800_000, 200_000, 256
 #: Characters that are encoded at a time.
@@ -262,9 +265,13 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_col: str
 
 def read(index: DataFrame, folder: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of each document, from the shards."""
-    totals = index.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
-    before = totals.select(F.col("shard").alias("of"), (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("before"))
-    rows = index.join(F.broadcast(before), F.col("shard") == F.col("of"))  # a row a shard
+    totals = index.groupBy("shard").agg(F.sum("n_tokens").alias("n")).withColumn("block", F.floor(F.col("shard") / BLOCK).cast("int"))
+    sums = {r["block"]: r["n"] for r in totals.groupBy("block").agg(F.sum("n").alias("n")).collect()}  # a row for BLOCK shards
+    first = list(accumulate((sums.get(k, 0) for k in range(max(sums, default=0))), initial=0))
+    start = F.element_at(F.split(F.lit(",".join(map(str, first))), ",").cast("array<bigint>"), F.col("block") + 1)
+    before = totals.select(F.col("shard").alias("of"), (start + F.sum("n").over(Window.partitionBy("block").orderBy("shard")) - F.col("n")).alias("before"))
+    before = F.broadcast(before) if c.sizes_within(before, BROADCAST_ROWS) else before  # a row a shard
+    rows = index.join(before, F.col("shard") == F.col("of"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, at = filesystem(folder)
