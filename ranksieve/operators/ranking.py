@@ -55,6 +55,37 @@ def page(scores: DataFrame, skip: int, n: int, score: str = "score", ord: str =
     return scores.orderBy(F.desc(score), F.asc(ord)).offset(skip).limit(n)
 
 
+def quota(rows: DataFrame, key: str, order: list[str], each: int, total: int, cuts: list) -> DataFrame:
+    """The first ``each`` rows of every key by ``order``, and of those the first ``total`` by key and order.
+
+    ``cuts``, ascending, split the keys into ranges. One range is computed, then two, four, ... until there are enough rows;
+    those beyond are not read. Null keys come last. What is kept of each step is written, at most ``total`` rows.
+    """
+    of = F.col(quoted(key))
+    (place,) = free_names(rows, "place")
+    bounds = [None, *sorted(set(cuts)), None]
+    ranges: list[tuple] = [*zip(bounds, bounds[1:], strict=False), "null"]
+    kept, left, size = [rows.limit(0)], total, 1
+    while ranges and left > 0:
+        now, ranges, size = ranges[:size], ranges[size:], 2 * size
+        inside = of.isNull() if now[0] == "null" else of.isNotNull()
+        if now[0] != "null":
+            if now[-1] == "null":
+                now, ranges = now[:-1], ["null"]
+            low, high = now[0][0], now[-1][1]
+            inside = inside if low is None else inside & (of >= F.lit(low))
+            inside = inside if high is None else inside & (of < F.lit(high))
+        first = Window.partitionBy(of).orderBy(*map(quoted, order))
+        part = rows.where(inside).withColumn(place, F.row_number().over(first)).where(F.col(place) <= each)
+        part = written(part.orderBy(of, place).limit(left), "quota").drop(place)
+        left -= part.count()
+        kept.append(part)
+    out = kept[0]
+    for part in kept[1:]:
+        out = out.union(part)
+    return out
+
+
 def last_wins(rows: DataFrame, key: str, ord: str) -> DataFrame:
     """One row a key, the last by ord; rows without one come first of all, so a key that has no others keeps one of them."""
     row = F.struct(*map(quoted, rows.columns))

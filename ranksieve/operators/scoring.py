@@ -7,11 +7,13 @@ each row is scored where it lies, with no shuffle and no pairs. ``dense`` takes
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Accumulator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
@@ -190,6 +192,87 @@ def dense(items: DataFrame, profile: DataFrame, ord: str = "ord", vector: str =
     return _grid(items, written(distinct, "profile"), width, names, vector)
 
 
+class Clusters:
+    """Unit vectors in clusters, each with a center and the distance of its furthest member.
+
+    The vectors nearest to a query are found exactly: by the triangle inequality none of a cluster is nearer than the
+    center's distance less that radius, so clusters for which this exceeds the best found are skipped.
+    """
+
+    #: What rounding may add to a distance.
+    SLACK = 1e-7
+
+    def __init__(self, vectors: np.ndarray):
+        n = len(vectors)
+        # centers are vectors far from each other; sqrt(n) of them cost about as much as the members of one
+        chosen, far = [0], np.linalg.norm(vectors - vectors[0], axis=1)
+        while len(chosen) < math.isqrt(n) and far.max() > 0:
+            chosen.append(int(far.argmax()))
+            far = np.minimum(far, np.linalg.norm(vectors - vectors[chosen[-1]], axis=1))
+        self.centers = vectors[chosen]
+        of = (vectors @ self.centers.T).argmax(1)
+        self.members = [np.flatnonzero(of == k) for k in range(len(chosen))]
+        self.vectors = [vectors[m] for m in self.members]
+        self.radius = np.array([np.linalg.norm(v - c, axis=1).max(initial=0.0) for v, c in zip(self.vectors, self.centers, strict=True)])
+
+    def best(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        """Of each unit query the highest product and the first vector that has it; and how many products were made."""
+        score, at, made = np.full(len(queries), -np.inf), np.full(len(queries), np.iinfo(np.int64).max), queries.shape[0] * len(self.centers)
+        apart = np.sqrt(np.maximum(0.0, 2 - 2 * queries @ self.centers.T))
+        near = apart - self.radius  # no member is nearer
+
+        def look(rows: np.ndarray, k: int) -> None:
+            nonlocal made
+            if not len(rows) or not len(self.members[k]):
+                return
+            products = queries[rows] @ self.vectors[k].T
+            made += products.size
+            first = products.argmax(1)
+            found, which = products[np.arange(len(rows)), first], self.members[k][first]
+            better = (found > score[rows]) | ((found == score[rows]) & (which < at[rows]))
+            score[rows[better]], at[rows[better]] = found[better], which[better]
+
+        nearest = apart.argmin(1)
+        for k in range(len(self.centers)):
+            look(np.flatnonzero(nearest == k), k)
+        for k in range(len(self.centers)):
+            reach = np.sqrt(np.maximum(0.0, 2 - 2 * score))
+            look(np.flatnonzero((nearest != k) & (near[:, k] <= reach + self.SLACK)), k)
+        return score, at, made
+
+
+def pruned(items: DataFrame, profile: DataFrame, ord: str = "ord", vector: str = "vector", keep: tuple[str, ...] = (), products: Accumulator | None = None) -> DataFrame:
+    """The rows of ``dense``, for a profile that is broadcast, by exact search: most products are never made where the profile's vectors lie in clusters.
+
+    ``products``, if given, counts those that are made. Vectors of norm 0 or another length than the first unit's score 0 against all.
+    """
+    known = Profile.of(profile)
+    if not known.names:
+        raise ValueError("the profile is empty")
+    width = len(known.vectors[0])
+    units = _normalised(known.vectors, width)
+    some = np.flatnonzero(units.any(1))  # the others score 0
+    zero = np.flatnonzero(~units.any(1))
+    index = Clusters(units[some]) if len(some) else None
+
+    def best(vectors: list[np.ndarray]) -> list[pa.Array]:
+        own = _normalised(vectors, width)
+        score, at = np.zeros(len(own)), np.zeros(len(own), np.int64)  # the first of all, for items of norm 0
+        rows = np.flatnonzero(own.any(1)) if index is not None else np.zeros(0, np.int64)
+        if len(rows):
+            found, which, made = index.best(own[rows])
+            which = some[which]
+            if len(zero):
+                other = (found < 0) | ((found == 0) & (zero[0] < which))
+                found, which = np.where(other, 0.0, found), np.where(other, zero[0], which)
+            score[rows], at[rows] = found, which
+            if products is not None:
+                products.add(made)
+        return [pa.array(score), pa.array([known.names[i] for i in at], pa.string())]
+
+    return _scored(items, vector, [ord, *keep], [StructField("score", DoubleType()), StructField("product", StringType())], best)
+
+
 def _normalised(vectors: list, width: int) -> np.ndarray:
     fits = [x if x is not None and len(x) == width else np.zeros(width) for x in vectors]
     out = np.array(fits, np.float64).reshape(len(vectors), width)

@@ -350,6 +350,17 @@ def q52_failed_left_out(s, d):
     return scoring.without_failed(_keys(s, d), failed).select("item")
 
 
+def q53_pruned_triage(s, d):
+    found = scoring.pruned(_items(s, d), _profile(s, d)).withColumn("score", _six())
+    return ranking.mark(found, 300).select("ord", "score", "product", F.col("position").cast("int").alias("position"), "selected")
+
+
+def q54_quota_files(s, d):
+    files = _table(s, d, "lineitem")
+    cuts = files.select(F.percentile_approx("l_orderkey", [k / 16 for k in range(1, 16)])).first()[0] or []
+    return ranking.quota(files, "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey"], 2, 1000, cuts).select("l_orderkey", "l_linenumber", "l_partkey")
+
+
 QUERIES = {k: f for k, f in sorted(globals().items()) if k[0] == "q" and k[1:3].isdigit()}
 
 _BREAK = r"(?:\r\n|[\n\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}])"
@@ -543,4 +554,6 @@ ORACLES = {
     "q51_scalars": """SELECT event_id, CASE WHEN event_id % 5 > 0 THEN strftime(ts, '%Y-%m-%d') ELSE '' END AS day, CASE WHEN event_id % 5 > 0 THEN strftime(ts, '%Y%m%d') ELSE '' END AS compact, event_id % 3 = 0 AS too_many,
  'About ' || event_type || ': ' || CASE WHEN event_id % 7 > 0 THEN props ELSE '[nothing]' END || '.' AS prompt, round_even(event_id / 16, 2) AS rounded FROM events""",
     "q52_failed_left_out": f"WITH {_VEC} SELECT DISTINCT item FROM items WHERE item % 4 <> 1",
+    "q54_quota_files": "SELECT l_orderkey, l_linenumber, l_partkey FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS k FROM lineitem) WHERE k <= 2 ORDER BY l_orderkey, k LIMIT 1000",
 }
+ORACLES["q53_pruned_triage"] = ORACLES["q10_triage_rank"]
