@@ -84,6 +84,12 @@ class Stage:
         remove(self.spark, self.path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows over all cores, if the scan has fewer partitions than there are cores, as a table of one row group has."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 # ---------------------------------------------------------------- Arrow plumbing
 def give_back() -> None:
     """Freed memory goes back to the system: a worker lives on after its task, beside those of other steps."""

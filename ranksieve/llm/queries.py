@@ -13,6 +13,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _rows(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows are worked on one by one."""
+    return common.spread(_table(spark, sf_dir, name))
+
+
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = _table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
     said = F.lit("</s>[INST] ok [/INST]")
@@ -27,7 +32,7 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = decontam.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    out = decontam.report(_rows(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
@@ -36,7 +41,7 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.encode(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.encode(_rows(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,11 +64,11 @@ def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.report(_table(spark, sf_dir, "documents"))
+    return secrets.report(_rows(spark, sf_dir, "documents"))
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
+    docs = _rows(spark, sf_dir, "documents")
     return quality.measure(docs, quality.plan(docs))
 
 
@@ -76,11 +81,11 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.groups(_table(spark, sf_dir, "documents"))
+    return simhash.groups(_rows(spark, sf_dir, "documents"))
 
 
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return periodic.report(periodic.with_periods(_table(spark, sf_dir, "documents")))
+    return periodic.report(periodic.with_periods(_rows(spark, sf_dir, "documents")))
 
 
 QUERIES = {f.__name__: f for f in (op1_chat_format, op2_decontaminate, op3_near_duplicates, op4_byte_bpe, op5_warc, op6_token_files, op7_shards, op8_secrets, op9_quality, op10_main_text, op11_whitening, op12_simhash, op13_periodic_runs)}
