@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ranksieve.functions.names import quoted
+from ranksieve.sources import shared
 
 from .cache import append, misses
 
@@ -267,20 +268,22 @@ def profile_vectors(units: DataFrame, cached: DataFrame, model: str, client: Cal
     return cached.join(own.select(*same).distinct(), same, "left_semi").select(*columns).unionByName(new), new
 
 
-def migrate(old: DataFrame, path: str, value: str = "value") -> None:
+def migrate(old: DataFrame, path: str, value: str = "value", delete: tuple[str, ...] = ()) -> None:
     """Legacy caches, each one JSON object {modelo, vetores: {hash: vector}} a row, added to the cache table once.
 
-    Entries that the table has already are left out, so a repeated run adds nothing.
+    Entries that the table has already are left out, so a repeated run adds nothing; two runs at once would both add them. Paths
+    in ``delete``, the legacy files, go once the table has everything.
     """
     spark = old.sparkSession
     read = old.select(F.from_json(value, "modelo string, vetores map<string,array<double>>").alias("j"))
     rows = read.select(F.coalesce("j.modelo", F.lit("")).alias("modelo"), F.explode("j.vetores").alias("hash", "vector")).dropDuplicates(["modelo", "hash"])
-    jvm = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if jvm.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jvm):
+    if shared.exists(spark, path):
         there = spark.read.option("basePath", path).schema("hash string, vector array<double>, modelo string").parquet(path).select("modelo", "hash")
         rows = rows.join(there, ["modelo", "hash"], "left_anti")
     # before whatever is appended later
     rows.withColumn("ord", F.lit(0).cast("long")).write.mode("append").partitionBy("modelo").parquet(path)
+    for gone in delete:
+        shared.file_system(spark, gone).delete(shared.path_of(spark, gone), True)
 
 
 def judge(rows: DataFrame, key: str, prompt: str, call: Callable[[], Callable[[str], str]], estimate: Callable[[str], int], most: int = 100_000) -> DataFrame:

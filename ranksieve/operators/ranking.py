@@ -51,6 +51,12 @@ def mark(scores: DataFrame, n: int, score: str = "score", ord: str = "ord", flag
     return out.drop(bucket).withColumn(flag, F.col("position") <= n)
 
 
+def totals(marked: DataFrame, flag: str = "selected", product: str = "product") -> DataFrame:
+    """total, selected, products: rows, those among the first, and the different products that these name, '' being none."""
+    named = F.when(F.col(flag) & (F.col(product) != ""), F.col(product))
+    return marked.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col(flag)).alias("selected"), F.count_distinct(named).alias("products"))
+
+
 def page(scores: DataFrame, skip: int, n: int, score: str = "score", ord: str = "ord") -> DataFrame:
     return scores.orderBy(F.desc(score), F.asc(ord)).offset(skip).limit(n)
 

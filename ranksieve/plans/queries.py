@@ -361,6 +361,10 @@ def q54_quota_files(s, d):
     return ranking.quota(files, "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey"], 2, 1000, cuts).select("l_orderkey", "l_linenumber", "l_partkey")
 
 
+def q55_ranking_totals(s, d):
+    return ranking.totals(q10_triage_rank(s, d))
+
+
 QUERIES = {k: f for k, f in sorted(globals().items()) if k[0] == "q" and k[1:3].isdigit()}
 
 _BREAK = r"(?:\r\n|[\n\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}])"
@@ -557,3 +561,4 @@ ORACLES = {
     "q54_quota_files": "SELECT l_orderkey, l_linenumber, l_partkey FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS k FROM lineitem) WHERE k <= 2 ORDER BY l_orderkey, k LIMIT 1000",
 }
 ORACLES["q53_pruned_triage"] = ORACLES["q10_triage_rank"]
+ORACLES["q55_ranking_totals"] = f"SELECT count(*) AS total, count(*) FILTER (WHERE selected) AS selected, count(DISTINCT product) FILTER (WHERE selected AND product <> '') AS products FROM ({ORACLES['q10_triage_rank']})"

@@ -412,3 +412,15 @@ def test_posts_come_once(spark, tmp_path):
     with pytest.raises(Exception, match="refused"):
         spark.createDataFrame([(-1, "x")], "id long, t string").write.format("posts").mode("append").options(send="true", report=str(report)).save()
     assert json.loads(report.read_text())["state"] == "aborted"
+
+
+def test_totals_and_migration_that_deletes(spark, tmp_path):
+    marked = spark.createDataFrame([("a", True), ("a", True), ("b", True), ("", True), ("c", False)], "product string, selected boolean")
+    assert tuple(ranking.totals(marked).first()) == (5, 4, 2) and tuple(ranking.totals(marked.where("false")).first()) == (0, 0, 0)
+    old = tmp_path / "old.json"
+    old.write_text(json.dumps({"modelo": "m", "vetores": {"h": [1.0]}}))
+    read = lambda: spark.read.text(str(old), wholetext=True)
+    for _ in range(2):
+        embedding.migrate(read(), str(tmp_path / "cache"))
+    embedding.migrate(read(), str(tmp_path / "cache"), delete=(str(old),))
+    assert not old.exists() and [tuple(r) for r in spark.read.parquet(str(tmp_path / "cache")).collect()] == [("h", [1.0], 0, "m")]
