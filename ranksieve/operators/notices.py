@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import threading
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+import pyarrow as pa
+from pyspark import Accumulator
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -66,6 +70,42 @@ def watched(rows: DataFrame, name: str = "progress") -> tuple[DataFrame, Observa
     return rows.observe(seen, F.count(F.lit(1)).alias("done"), F.coalesce(F.sum(F.size("chunks")), F.lit(0)).alias("chunks")), seen
 
 
+def counted(rows: DataFrame) -> tuple[DataFrame, Accumulator]:
+    """The same rows, and a count of them that grows as tasks end; what runs again counts again."""
+    seen = rows.sparkSession.sparkContext.accumulator(0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return rows.mapInArrow(run, rows.schema), seen
+
+
+@contextmanager
+def telling(seen: Accumulator, tell: Callable[[int], None], seconds: float = 5.0) -> Iterator[None]:
+    """While an action runs within, ``tell`` gets the running count every ``seconds`` if it has changed, and the last one at the end."""
+    over, told = threading.Event(), [None]
+
+    def now() -> None:
+        if seen.value != told[0]:
+            told[0] = seen.value
+            tell(told[0])
+
+    def watch() -> None:
+        while not over.wait(seconds):
+            now()
+
+    thread = threading.Thread(target=watch, daemon=True)
+    thread.start()
+    try:
+        yield
+    finally:
+        over.set()
+        thread.join()
+        now()
+
+
 def skipped(failures: DataFrame) -> int:
     """How many rows have an error."""
     return failures.agg(F.count_if(F.col("erro").isNotNull())).first()[0]

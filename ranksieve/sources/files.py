@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ranksieve.functions.names import free_names, quoted
 from ranksieve.functions.text import bullets, profile_units
 from ranksieve.operators.ranking import last_wins
 
@@ -47,6 +48,18 @@ def profiles(spark: SparkSession, folder: str, units: Callable[[Column], Column]
     return raw.select("name", F.sha2("value", 256).alias("hash"), F.posexplode(units(F.col("value"))).alias("unit", "text"))
 
 
+def in_file_order(units: DataFrame, name: str = "name", unit: str = "unit") -> DataFrame:
+    """The same rows with ``unit`` counted on over all files, in lexicographic order of their names, so ties between files have a winner.
+
+    Only a row a file is put in order by one task.
+    """
+    file, before = free_names(units, "file", "before")
+    sizes = units.groupBy(F.col(quoted(name)).alias(file)).agg((F.max(unit) + 1).alias("n"))
+    first = sizes.select(file, (F.sum("n").over(Window.orderBy(F.asc_nulls_last(file))) - F.col("n")).alias(before))
+    joined = units.join(first, F.col(quoted(name)).eqNullSafe(F.col(file)))
+    return joined.withColumn(unit, (F.col(quoted(unit)) + F.col(before)).cast(units.schema[unit].dataType)).select(*map(quoted, units.columns))
+
+
 def priority_profiles(spark: SparkSession, folder: str) -> DataFrame:
     """The same of priority groups, whose units are all bullets of a file."""
     return profiles(spark, folder, bullets)

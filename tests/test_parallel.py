@@ -424,3 +424,21 @@ def test_totals_and_migration_that_deletes(spark, tmp_path):
         embedding.migrate(read(), str(tmp_path / "cache"))
     embedding.migrate(read(), str(tmp_path / "cache"), delete=(str(old),))
     assert not old.exists() and [tuple(r) for r in spark.read.parquet(str(tmp_path / "cache")).collect()] == [("h", [1.0], 0, "m")]
+
+
+def test_units_in_file_order(spark):
+    from ranksieve.sources import files
+
+    units = spark.createDataFrame([("b", 0, "b0"), ("B", 0, "B0"), ("b", 1, "b1"), ("é", 0, "é0"), ("a", 0, "a0"), ("B", 1, "B1")], "name string, unit int, text string").repartition(3)
+    out = files.in_file_order(units)
+    assert out.columns == units.columns and [(r["unit"], r["text"]) for r in out.orderBy("unit").collect()] == list(enumerate(["B0", "B1", "a0", "b0", "b1", "é0"]))
+
+
+def test_running_count(spark):
+    from ranksieve.operators import notices
+
+    told = []
+    rows, seen = notices.counted(spark.range(1000).repartition(40).select("id", F.lit("x").alias("chunks")))
+    with notices.telling(seen, told.append, 0.02):
+        assert rows.count() == 1000
+    assert told[-1] == 1000 and told == sorted(told) and len(set(told)) == len(told)
