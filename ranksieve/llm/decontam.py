@@ -8,10 +8,13 @@ windows around it, and windows found in the benchmark (same hash, then the same
 words as hit. Items shorter than SPAN words are one window each; as winnowing cannot promise
 those, all document grams of just those lengths are looked up.
 
-Scale: documents are never shuffled. The benchmark is read in blocks of at most BLOCK_BYTES of
-text (one block for usual benchmarks; larger items are parted, with the words that windows need on
-both sides); each block's index, arrays of some four bytes a byte of text, is broadcast, and blocks
-beyond the first are applied one after another to the same rows, which carry their spans along.
+Scale: a benchmark of at most BLOCK_BYTES of text and ids is indexed whole, in arrays of some four bytes
+a byte, and broadcast; documents are not shuffled then. Beyond it, fingerprints and windows of the benchmark
+are tables (``tables``). The documents are read once, beside a bit filter of the benchmark's hashes of
+at most FILTER_BITS, which only lessens work; what passes it is joined with the windows by a digest of
+their bytes. Only documents with such a window are shuffled. Keys that many documents share are dealt
+over DEALT tasks; windows of the same items form a class, so a document meets the items of a class once.
+The driver sees the filter and nothing else of a large benchmark.
 
 Cases: null text or a text without words has no hits; an item without words matches nothing; the
 words of an item with a null item_id are hit, but it cannot be named and is not counted among the
@@ -22,7 +25,7 @@ an empty benchmark leaves all documents clean; columns of any name pass untouche
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +36,14 @@ from . import common as c
 
 SPAN = 10
 GRAM = 5
-#: Bytes of benchmark text whose index is broadcast at a time.
+#: Bytes of a benchmark whose index is broadcast; of a larger one, bytes of a part of an item.
 BLOCK_BYTES = 8 << 20
-#: Blocks that are applied in one stage of tasks before a table is written.
-BLOCKS_A_STAGE = 2
+#: Bits of the filter at most, 64 MB; a power of two.
+FILTER_BITS = 1 << 29
+#: A key of more than 1 / HOT of all rows is hot; its rows are dealt over DEALT tasks.
+HOT, DEALT = 1024, 64
+#: Windows of a benchmark that a task passes on at once.
+SOME = 1 << 16
 
 _WORDS = c.Words(c.ALNUM, fold=True)
 
@@ -64,7 +71,8 @@ class Index:
     """Fingerprints and windows of a block of items (name or None, text), in arrays.
 
     ``text`` holds the block's words, each followed by a blank, ``word`` where each begins. ``windows`` has for every
-    length in words the sorted hashes of the windows, and beside each its first word and its item.
+    length in words the sorted hashes of the different windows, and beside each its first word and the class of its
+    items; ``owners`` has the items of a class. So a window of many items is compared once.
     """
 
     def __init__(self, items: list[tuple[str | None, str]]):
@@ -83,6 +91,8 @@ class Index:
         item = np.repeat(np.arange(len(items), dtype=np.int32), count)
         self.windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         self.prints = np.zeros(0, c.U64)
+        self.owners: list[tuple[int, ...]] = [(i,) for i in range(len(items))]
+        several: dict[tuple[int, ...], int] = {}
         for k in np.unique(np.minimum(count[count > 0], SPAN)).tolist():
             if k == SPAN:
                 first = np.flatnonzero(item[: 1 - SPAN] == item[SPAN - 1 :])
@@ -94,23 +104,52 @@ class Index:
             order = np.lexsort((owner, values))
             values, owner, first = values[order], owner[order], first[order]
             new = np.append(True, (values[1:] != values[:-1]) | (owner[1:] != owner[:-1]))
-            self.windows[k] = values[new], first[new].astype(np.int32), owner[new]
+            self.windows[k] = self._classes(values[new], first[new].astype(np.int32), owner[new], k, several)
+
+    def _bytes(self, first: int, k: int) -> bytes:
+        return self.text[self.word[first] : self.word[first + k] - 1]
+
+    def _classes(self, values: np.ndarray, first: np.ndarray, owner: np.ndarray, k: int, several: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A row a window: hash, first word, class of its items; ``several`` has the classes of more than one."""
+        start = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+        stop = np.append(start[1:], len(values))
+        kind = owner[start].copy()
+        more: list[tuple[int, int]] = []
+        for g in np.flatnonzero(stop - start > 1).tolist():
+            same: dict[bytes, list[int]] = {}
+            for e in range(start[g], stop[g]):
+                same.setdefault(self._bytes(first[e], k), []).append(e)
+            for n, own in enumerate(same.values()):
+                who = tuple(owner[own].tolist())
+                if len(who) == 1:
+                    at = who[0]
+                else:
+                    at = several.setdefault(who, len(self.owners))
+                    if at == len(self.owners):
+                        self.owners.append(who)
+                if n == 0:
+                    kind[g] = at
+                else:  # one hash, other bytes
+                    more.append((own[0], at))
+        out = values[start], first[start], kind
+        if more:
+            own, at = (list(x) for x in zip(*more, strict=True))
+            out = np.append(out[0], values[own]), np.append(out[1], first[own]), np.append(out[2], np.array(at, kind.dtype))
+            order = np.argsort(out[0], kind="stable")
+            out = tuple(x[order] for x in out)
+        return out
 
     def search(self, raw: bytes, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, set[str]]:
         """Starts and lengths (in words) of windows of a document that items have, and those items' names."""
         n = len(hashes)
-        at_all, len_all, names = [], [], set()
-        for k, (known, first, owner) in self.windows.items():
+        at_all, len_all, kinds = [], [], set()
+        for k, (known, first, kind) in self.windows.items():
             if n < k:
                 continue
             if k == SPAN:
-                grams = c.windows(hashes, GRAM)
-                places = winnow(grams)
-                places = places[_among(grams[places], self.prints)]
-                if not len(places):
+                tries = _extended(hashes, lambda x: _among(x, self.prints))
+                if not len(tries):
                     continue
-                tries = np.unique((places[:, None] - np.arange(SPAN - GRAM + 1)).ravel())  # extend
-                tries = tries[(tries >= 0) & (tries <= n - SPAN)]
                 values = _at(hashes, tries, k)
             else:
                 values = c.windows(hashes, k)
@@ -118,11 +157,12 @@ class Index:
             lo, hi = np.searchsorted(known, values, "left"), np.searchsorted(known, values, "right")
             for i, a, b in zip(*(x[lo < hi].tolist() for x in (tries, lo, hi)), strict=True):
                 own = b" ".join(raw[s:e] for s, e in zip(starts[i : i + k].tolist(), ends[i : i + k].tolist(), strict=True))
-                same = [e for e in range(a, b) if self.text[self.word[first[e]] : self.word[first[e] + k] - 1] == own]
-                if same:
-                    at_all.append(i)
-                    len_all.append(k)
-                    names.update(self.names[owner[e]] for e in same)
+                for e in range(a, b):  # one, but for windows of the same hash
+                    if self._bytes(first[e], k) == own:
+                        at_all.append(i)
+                        len_all.append(k)
+                        kinds.add(int(kind[e]))
+        names = {self.names[o] for x in kinds for o in self.owners[x]}
         return np.array(at_all, np.int64), np.array(len_all, np.int64), names - {None}
 
 
@@ -135,6 +175,15 @@ def _at(hashes: np.ndarray, places: np.ndarray, k: int) -> np.ndarray:
         return c.mix(out)
 
 
+def _extended(hashes: np.ndarray, known: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """First words of the windows around fingerprints that are known."""
+    grams = c.windows(hashes, GRAM)
+    places = winnow(grams)
+    places = places[known(grams[places])]
+    tries = np.unique((places[:, None] - np.arange(SPAN - GRAM + 1)).ravel())
+    return tries[(tries >= 0) & (tries <= len(hashes) - SPAN)]
+
+
 def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
     if not len(known) or not len(values):
         return np.zeros(len(values), bool)
@@ -157,22 +206,14 @@ def _parts(text: str, limit: int) -> Iterator[str]:
         i = j - SPAN + 1 if j < len(starts) else j
 
 
-def blocks(benchmark: DataFrame, item_id: str, text: str, limit: int = BLOCK_BYTES) -> Iterator[Index]:
-    """The benchmark's indexes, one block of bounded size after another; rows come by partitions of about that size."""
-    held, size = [], 0
-    rows = benchmark.select(F.col(c.quoted(item_id)).cast("string").alias("i"), F.col(c.quoted(text)).alias("t")).where("t is not null")
-    total = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    if total > limit:
-        rows = rows.repartition(-(-total // limit))
-    for row in rows.toLocalIterator():
-        for part in _parts(row["t"], limit):
-            more = len(part.encode())
-            if held and size + more > limit:
-                yield Index(held)
-                held, size = [], 0
-            held.append((row["i"], part))
-            size += more
-    yield Index(held)
+def _items(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
+    """Items with a text, as i and t."""
+    return benchmark.select(F.col(c.quoted(item_id)).cast("string").alias("i"), F.col(c.quoted(text)).alias("t")).where("t <> ''")
+
+
+def _whole_index(items: DataFrame) -> Index:
+    """The index of a benchmark whose size was checked."""
+    return Index([(row["i"], row["t"]) for row in items.toLocalIterator()])
 
 
 def scan(batch_text: pa.Array, index: Index) -> list[tuple[int, np.ndarray, set[str]]]:
@@ -205,46 +246,196 @@ def merge(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
 _STATE = "struct<n_words:long,spans:array<struct<start:long,end:long>>,items:array<string>>"
 
 
+_KIND = pa.struct([
+    ("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("items", pa.list_(pa.string()))])
+
+
+def _schema(docs: DataFrame) -> str:
+    return ", ".join(f"{c.quoted(f.name)} {f.dataType.simpleString()}" for f in docs.schema)
+
+
 def _mark(docs: DataFrame, text: str, index: Index, hits: str) -> DataFrame:
-    """All columns of docs and ``hits``; hits that earlier blocks found are kept."""
+    """All columns of docs and ``hits``."""
     shared = docs.sparkSession.sparkContext.broadcast(index)
-    had = hits in docs.columns
+    at, names = docs.columns.index(text), docs.columns
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = [
+            {"n_words": n, "spans": [{"start": int(a), "end": int(b)} for a, b in spans], "items": sorted(items)}
+            for n, spans, items in scan(batch.column(at), shared.value)]
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, _KIND)], [*names, hits])
+
+    return c.map_batches(docs, run, f"{_schema(docs)}, {c.quoted(hits)} {_STATE}")
+
+
+# ---------------------------------------------------------------- a benchmark of any size, as tables
+def _digest(raw: bytes, starts: list[int], ends: list[int]) -> bytes:
+    return hashlib.blake2b(b" ".join(raw[s:e] for s, e in zip(starts, ends, strict=True)), digest_size=16).digest()
+
+
+def tables(items: DataFrame, part_bytes: int) -> DataFrame:
+    """Rows of a benchmark: hashes of fingerprints (no key), and windows with hash, length k, digest of their bytes and item."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, text in zip(batch.column(0), batch.column(1), strict=True):
+                for part in _parts(text.as_py(), part_bytes):
+                    raw = part.encode()
+                    data = np.frombuffer(raw, np.uint8)
+                    starts, ends, hashes, _ = _WORDS.table_of(data, np.array([0, len(data)]))
+                    raw, n = raw.lower(), len(hashes)
+                    if not n:
+                        continue
+                    k = min(n, SPAN)
+                    if k == SPAN:
+                        grams = c.windows(hashes, GRAM)
+                        prints = np.unique(grams[winnow(grams)]).view(np.int64)
+                        none = [pa.nulls(len(prints), t) for t in (pa.int32(), pa.binary(), pa.string())]
+                        yield pa.RecordBatch.from_arrays([pa.array(prints), *none], ["hash", "k", "key", "item"])
+                    values = c.windows(hashes, k).view(np.int64)
+                    for at in range(0, len(values), SOME):
+                        end = min(len(values), at + SOME)
+                        lo, hi = starts[at : end + k - 1].tolist(), ends[at : end + k - 1].tolist()
+                        keys = [_digest(raw, lo[j : j + k], hi[j : j + k]) for j in range(end - at)]
+                        cols = [pa.array(values[at:end]), pa.array([k] * len(keys), pa.int32()), pa.array(keys, pa.binary()), pa.array([name.as_py()] * len(keys), pa.string())]
+                        yield pa.RecordBatch.from_arrays(cols, ["hash", "k", "key", "item"])
+        c.give_back()
+
+    return items.mapInArrow(run, "hash long, k int, key binary, item string")
+
+
+def _places(values: np.ndarray, bits: int) -> list[np.ndarray]:
+    return [((values >> c.U64(s)) & c.U64(bits - 1)).astype(np.int64) for s in (0, 17, 35)]
+
+
+def _filter(rows: DataFrame) -> np.ndarray:
+    """Bits of all hashes, some 24 a hash and FILTER_BITS at most, in 64-bit words."""
+    n = rows.select(F.approx_count_distinct("hash")).first()[0]
+    bits = min(FILTER_BITS, 1 << max(16, (24 * n - 1).bit_length()))
+    three = F.array(*(F.shiftrightunsigned("hash", s).bitwiseAND(F.lit(bits - 1)) for s in (0, 17, 35)))
+    place = rows.select(F.explode(three).alias("p"))
+    one = F.expr("shiftleft(1L, cast(p & 63 as int))")
+    found = place.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(one).alias("b")).toArrow()
+    out = np.zeros(bits // 64, c.U64)
+    out[found.column("w").to_numpy()] = found.column("b").to_numpy().view(c.U64)
+    return out
+
+
+def _passes(values: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Whether all bits of a hash are set."""
+    ok = np.ones(len(values), bool)
+    for p in _places(values, len(words) * 64):
+        ok &= (words[p >> 6] >> (p & 63).astype(c.U64)) & c.U64(1) == 1
+    return ok
+
+
+def _tries(docs: DataFrame, text: str, words: np.ndarray, lengths: list[int], name: str, kept: list[str]) -> DataFrame:
+    """Columns ``kept`` of docs and ``name``: n_words, and the windows that pass the filter, each once, with its first words."""
+    shared = docs.sparkSession.sparkContext.broadcast(words)
     at = docs.columns.index(text)
-    names = [x for x in docs.columns if x != hits]
-    span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    kind = pa.struct([("n_words", pa.int64()), ("spans", span_type), ("items", pa.list_(pa.string()))])
+    kind = pa.struct([("n_words", pa.int64()), ("tries", pa.list_(pa.struct([("key", pa.binary()), ("k", pa.int32()), ("at", pa.list_(pa.int64()))])))])
+
+    def tried(raw: bytes, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> list[dict]:
+        found: dict[tuple[bytes, int], list[int]] = {}
+        for k in lengths:
+            if len(hashes) < k:
+                continue
+            if k == SPAN:
+                places = _extended(hashes, lambda x: _passes(x, shared.value))
+                values = _at(hashes, places, k)
+            else:
+                values = c.windows(hashes, k)
+                places = np.arange(len(values))
+            for i in places[_passes(values, shared.value)].tolist():
+                found.setdefault((_digest(raw, starts[i : i + k].tolist(), ends[i : i + k].tolist()), k), []).append(i)
+        return [{"key": key, "k": k, "at": i} for (key, k), i in found.items()]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = scan(batch.column(at), shared.value)
-        old = batch.column(batch.schema.get_field_index(hits)).to_pylist() if had else [None] * batch.num_rows
+        data, offs = c.text_bytes(batch.column(at))
         rows = []
-        for (n, spans, items), before in zip(found, old, strict=True):
-            if before:
-                earlier = np.array([(s["start"], s["end"]) for s in before["spans"]], np.int64).reshape(-1, 2)
-                spans = np.concatenate([spans, earlier])
-                spans = merge(spans[:, 0], spans[:, 1])
-                items = items | set(before["items"])
-            rows.append({"n_words": n, "spans": [{"start": int(a), "end": int(b)} for a, b in spans], "items": sorted(items)})
-        kept = [batch.column(k) for k, x in enumerate(batch.schema.names) if x != hits]
-        return pa.RecordBatch.from_arrays([*kept, pa.array(rows, kind)], [*names, hits])
-
-    schema = ", ".join(f"{c.quoted(f.name)} {f.dataType.simpleString()}" for f in docs.schema if f.name != hits)
-    return c.map_batches(docs, run, f"{schema}, {c.quoted(hits)} {_STATE}")
-
-
-def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, str]:
-    """All columns of docs and one more, whose name is returned: n_words, spans of hit words, item ids sorted as strings."""
-    out, (hits,) = docs, c.free_names(docs, "hits")
-    for k, index in enumerate(blocks(benchmark, item_id, item_text, block_bytes)):
-        if k and k % BLOCKS_A_STAGE == 0:
-            out = c.Stage(out, "decontam").df
-        out = _mark(out, text, index, hits)
-    return out, hits
+        for i, j in c.groups(offs):
+            part = data[offs[i] : offs[j]]
+            starts, ends, hashes, bounds = _WORDS.table_of(part, offs[i : j + 1] - offs[i])
+            raw = part.tobytes().lower()
+            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                rows.append({"n_words": b - a, "tries": tried(raw, starts[a:b], ends[a:b], hashes[a:b])})
+        return pa.RecordBatch.from_arrays([*(batch.column(x) for x in kept), pa.array(rows, kind)], [*kept, name])
+
+    state = "struct<n_words:long,tries:array<struct<key:binary,k:int,at:array<long>>>>"
+    own = docs.select(*map(c.quoted, kept))
+    return c.map_batches(docs, run, ", ".join(filter(None, [_schema(own), f"{c.quoted(name)} {state}"])))
+
+
+def _meet(left: DataFrame, right: DataFrame, key: str, by: str) -> DataFrame:
+    """Inner join in which rows of hot keys of the left side are dealt over tasks by ``by``, with the right side's rows for each.
+
+    Fewer than HOT keys can be hot, so their list is broadcast.
+    """
+    total = left.count()
+    hot = F.broadcast(left.groupBy(key).count().where(F.col("count") * HOT > total).select(key, F.lit(True).alias("hot")))
+    deal = F.when(F.col("hot"), F.pmod(F.xxhash64(by), F.lit(DEALT))).otherwise(F.lit(0)).cast("int")
+    every = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(DEALT - 1))).otherwise(F.array(F.lit(0)))
+    dealt = left.join(hot, key, "left").withColumn("deal", deal).drop("hot")
+    copies = right.join(hot, key, "left").withColumn("deal", F.explode(every)).drop("hot")
+    return dealt.join(copies, [key, "deal"]).drop("deal")
+
+
+def _joined(docs: DataFrame, items: DataFrame, text: str, hits: str, total: int, part_bytes: int, with_text: bool) -> DataFrame:
+    """All columns of docs (text too, if ``with_text``) and ``hits``, by joins."""
+    rows = c.Stage(tables(items.repartition(-(-total // part_bytes)), part_bytes), "benchmark").df
+    lengths = sorted(r["k"] for r in rows.where("k is not null").select("k").distinct().collect())
+    kept = [x for x in docs.columns if with_text or x != text]
+    uid, state = c.free_names(docs, "row", "tries")
+    marked = c.Stage(_tries(docs, text, _filter(rows), lengths, state, kept).withColumn(uid, F.monotonically_increasing_id()), "decontam").df
+    none = F.size(f"{state}.tries") == 0
+    tries = marked.where(~none).select(F.col(uid).alias("uid"), F.explode(f"{state}.tries").alias("t")).select("uid", "t.*")
+
+    owned = rows.where("k is not null").select("key", "item").join(tries.select("key").distinct(), "key", "left_semi").distinct()
+    kind = F.concat_ws(":", F.count("item"), F.bit_xor(F.when(F.col("item").isNotNull(), F.xxhash64("item"))), F.bit_xor(F.when(F.col("item").isNotNull(), F.xxhash64(F.lit(1), "item"))))
+    owned = c.Stage(owned, "owned").df
+    known = c.Stage(owned.groupBy("key").agg(kind.alias("kind")), "windows").df
+    found = c.Stage(_meet(tries, known, "key", "uid"), "found").df
+    spans = found.groupBy("uid").agg(F.collect_list(F.struct("k", "at")).alias("found"))
+    one = known.groupBy("kind").agg(F.min("key").alias("key"))
+    names = c.Stage(owned.where("item is not null").join(one, "key").select("kind", "item"), "names").df
+    named = _meet(found.select("uid", "kind").distinct(), names, "kind", "uid").select("uid", "item").distinct()
+    named = named.groupBy("uid").agg(F.sort_array(F.collect_set("item")).alias("items"))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out = []
+        for had in batch.column("found").to_pylist():
+            lo = np.array([i for x in had for i in x["at"]], np.int64)
+            k = np.array([x["k"] for x in had for _ in x["at"]], np.int64)
+            out.append([{"start": int(a), "end": int(b)} for a, b in merge(lo, lo + k)])
+        return pa.RecordBatch.from_arrays([batch.column("uid"), pa.array(out, _KIND.field("spans").type)], ["uid", "spans"])
+
+    spans = c.map_batches(spans, run, "uid long, spans array<struct<start:long,end:long>>")
+    told = spans.join(named, "uid", "left").select(F.col("uid").alias(uid), F.struct("spans", "items").alias(hits))
+    columns = [F.col(c.quoted(x)) for x in kept]
+    kinds = {"spans": "array<struct<start:long,end:long>>", "items": "array<string>"}
+
+    def hit(value) -> list:
+        had = {x: F.coalesce(value[x], F.array().cast(kind)) if value is not None else F.array().cast(kind) for x, kind in kinds.items()}
+        return [*columns, F.struct(F.col(f"{state}.n_words").alias("n_words"), *(v.alias(x) for x, v in had.items())).alias(hits)]
+
+    met = marked.where(~none).join(told, uid, "left")
+    return marked.where(none).select(*hit(None)).unionByName(met.select(*hit(F.col(hits))))
+
+
+def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES, with_text: bool = True) -> tuple[DataFrame, str]:
+    """All columns of docs (the text only if asked for) and one more, whose name is returned: n_words, spans of hit words, item ids sorted as strings."""
+    (hits,) = c.free_names(docs, "hits")
+    items = _items(benchmark, item_id, item_text)
+    total = items.agg(F.sum(F.octet_length("t") + F.coalesce(F.octet_length("i"), F.lit(0)))).first()[0] or 0
+    if total > block_bytes:
+        return _joined(docs, items, text, hits, total, block_bytes, with_text), hits
+    out = _mark(docs, text, _whole_index(items), hits)
+    return (out if with_text else out.drop(text)), hits
 
 
 def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items, spans, contaminated for each document."""
-    found, hits = find(docs.select(F.col(c.quoted(id_col)).alias("doc_id"), F.col(c.quoted(text)).alias("text")), benchmark, block_bytes=block_bytes)
+    found, hits = find(docs.select(F.col(c.quoted(id_col)).alias("doc_id"), F.col(c.quoted(text)).alias("text")), benchmark, block_bytes=block_bytes, with_text=False)
     n_hit = F.aggregate(f"{hits}.spans", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"])
     return found.select(
         "doc_id", F.col(f"{hits}.n_words").alias("n_words"), n_hit.alias("n_hit"), F.size(f"{hits}.items").cast("long").alias("n_items"),

@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,6 +100,43 @@ def test_decontaminate(spark, texts):
     assert decontam.report(docs_of(spark, texts).where("false"), bench).count() == 0
 
 
+def test_decontaminate_by_joins(spark):
+    """A passage that most items and documents hold, items of all lengths, clashing columns: both ways are as brute force."""
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randrange(400)}"
+    shared = [word() for _ in range(14)]
+    items = [(i, " ".join([word() for _ in range(rng.randrange(8))] + (shared if i % 3 else []) + [word() for _ in range(rng.randrange(1, 6))])) for i in range(150)]
+    items += [(150, None), (None, " ".join(shared)), (151, "...")] + [(i, items[i][1]) for i in range(20)]
+    rows = []
+    for i in range(120):
+        own = [word() for _ in range(rng.randrange(40))]
+        own[5:5] = shared if i % 4 else (items[i][1].upper().split() if i % 8 else [])
+        rows.append((i, " ".join(own) if i % 11 else None, 7, "z"))
+    rows += rows[:5] + [(500, " ".join(shared * 300), 1, "long"), (501, "", 1, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __hits int, `__TRIES` string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = sorted((i, *decontam.brute(x, items).values()) for i, x, *_ in rows)
+    assert len({w[2] for w in want}) > 3 and max(w[3] for w in want) > 90
+    for size in (1 << 20, 600):
+        got = decontam.report(df, bench, block_bytes=size).collect()
+        told = sorted((r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], hashlib.sha256(",".join(r["items"]).encode()).hexdigest(), r["contaminated"]) for r in got)
+        assert told == want, size
+        left = decontam.clean(df, bench, block_bytes=size)
+        assert left.columns == df.columns
+        assert sorted(tuple(r) for r in left.fillna("").collect()) == sorted(tuple(x if x is not None else "" for x in r) for r in rows if not decontam.brute(r[1], items)["contaminated"])
+
+
+def test_decontaminate_windows_of_one_hash(spark, monkeypatch):
+    """Windows whose hashes collide are told apart by their bytes."""
+    zero = lambda hashes, k: np.zeros(max(0, len(hashes) - k + 1), np.uint64)
+    monkeypatch.setattr(common, "windows", zero)
+    monkeypatch.setattr(decontam, "_at", lambda hashes, places, k: np.zeros(len(places), np.uint64))
+    items = [("a", "one two"), ("b", "three four"), ("c", "one two"), (None, "three four")]
+    index = decontam.Index(items)
+    found = decontam.scan(pa.array(["x one two", "four three four", None, "two one"]), index)
+    assert [(n, spans.tolist(), names) for n, spans, names in found] == [(3, [[1, 3]], {"a", "c"}), (3, [[1, 3]], {"b"}), (0, [], set()), (2, [], set())]
+
+
 def test_decontaminate_a_full_block(spark):
     import pickle
 
