@@ -10,7 +10,7 @@ from pyspark.sql import Window
 
 from ranksieve.functions import text as t
 from ranksieve.functions import vectors as v
-from ranksieve.operators import batching, cache, chunking, documents, ranking, scoring
+from ranksieve.operators import batching, cache, chunking, documents, ranking, scoring, table_functions
 
 from . import diagnosis, payload
 
@@ -260,7 +260,7 @@ def q40_pairwise_triage(s, d):
 
 
 def q41_profile_comparison(s, d):
-    items = _table(s, d, "embeddings").where("vec_id >= 157").select(F.col("vec_id").alias("ord"), F.col("embedding").alias("vector"))
+    items = _table(s, d, "embeddings").where("vec_id >= 49 and vec_id not between 57 and 156").select(F.col("vec_id").alias("ord"), F.col("embedding").alias("vector"))
     old, new = (scoring.dense(items, p(s, d)).withColumn("score", _six()) for p in (_profile, _other_profile))
     return diagnosis.compared(old, new, 50)
 
@@ -365,6 +365,16 @@ def q55_ranking_totals(s, d):
     return ranking.totals(q10_triage_rank(s, d))
 
 
+def q56_chunk_table_function(s, d):
+    table_functions.register(s)
+    return s.sql("SELECT doc_id, chunk_ord, chunk FROM text_chunks(TABLE(SELECT doc_id, text FROM {docs}), 'text')", docs=_table(s, d, "documents"))
+
+
+def q57_lateral_chunks(s, d):
+    table_functions.register(s)
+    return s.sql("SELECT item_id, chunk_ord, chunk FROM {items} AS i, LATERAL chunks_of(i.text)", items=_table(s, d, "benchmark"))
+
+
 QUERIES = {k: f for k, f in sorted(globals().items()) if k[0] == "q" and k[1:3].isdigit()}
 
 _BREAK = r"(?:\r\n|[\n\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}])"
@@ -519,8 +529,8 @@ ORACLES = {
         f"WITH {_VEC} SELECT ord, score, name AS product FROM (SELECT *, row_number() OVER (PARTITION BY ord ORDER BY score DESC, "
         f"unit) AS k FROM ({_DENSE % ('p', 'vec_id >= 0', 'vec_id < 49')})) WHERE k = 1"
     ),
-    "q41_profile_comparison": f"""WITH {_VEC}, o AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ord ORDER BY score DESC, unit) AS k FROM ({_DENSE % ('p', 'vec_id >= 157', 'vec_id < 49')})) WHERE k = 1),
- n AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ord ORDER BY score DESC, unit) AS k FROM ({_DENSE % ('o', 'vec_id >= 157', 'vec_id BETWEEN 57 AND 156')})) WHERE k = 1),
+    "q41_profile_comparison": f"""WITH {_VEC}, o AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ord ORDER BY score DESC, unit) AS k FROM ({_DENSE % ('p', 'vec_id NOT BETWEEN 57 AND 156 AND a.vec_id >= 49', 'vec_id < 49')})) WHERE k = 1),
+ n AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ord ORDER BY score DESC, unit) AS k FROM ({_DENSE % ('o', 'vec_id NOT BETWEEN 57 AND 156 AND a.vec_id >= 49', 'vec_id BETWEEN 57 AND 156')})) WHERE k = 1),
  t AS (SELECT *, CAST(row_number() OVER (ORDER BY score DESC, ord) AS INTEGER) AS position FROM n ORDER BY score DESC, ord LIMIT 50)
  SELECT t.ord, position, round_even(t.score, 4) AS score, t.name AS product, round_even(o.score, 4) AS old_score, o.name AS old_product, t.name <> o.name AS moved FROM t LEFT JOIN o USING (ord)""",
     "q42_throughput": """WITH a AS (SELECT CAST(pow(2, length(event_type) % 4) AS INTEGER) AS level, ([200, 200, 200, 404, 429, 503])[CAST(event_id % 6 + 1 AS BIGINT)] AS status, CASE WHEN event_id % 12 <> 0 THEN event_id * 10 END AS bytes FROM events),
@@ -562,3 +572,7 @@ ORACLES = {
 }
 ORACLES["q53_pruned_triage"] = ORACLES["q10_triage_rank"]
 ORACLES["q55_ranking_totals"] = f"SELECT count(*) AS total, count(*) FILTER (WHERE selected) AS selected, count(DISTINCT product) FILTER (WHERE selected AND product <> '') AS products FROM ({ORACLES['q10_triage_rank']})"
+ORACLES["q56_chunk_table_function"] = ORACLES["q06_chunks"]
+ORACLES["q57_lateral_chunks"] = (
+    "WITH documents AS (SELECT item_id AS doc_id, text FROM benchmark), " + ORACLES["q06_chunks"].removeprefix("WITH ").replace("SELECT * FROM chunks", "SELECT doc_id AS item_id, chunk_ord, chunk FROM chunks")
+)
